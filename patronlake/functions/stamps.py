@@ -25,7 +25,8 @@ def utc_wall_clock(instant: Column) -> Column:
 
 def instant_of(wall_clock: Column) -> Column:
     """``timestamp_ntz`` in UTC → ``timestamp``; needed where Spark insists on an instant."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), wall_clock))
+    seconds = (wall_clock - _epoch()).cast("interval second").cast("decimal(18,6)")
+    return F.timestamp_micros((seconds * 1_000_000).cast("bigint"))
 
 
 def parse_stamp(column: Column, kind: T.DataType) -> Column:

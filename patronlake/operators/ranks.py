@@ -38,6 +38,7 @@ def exact_order_statistics(
     each bound, which tells the bracket that holds the rank whatever the sketch's error was. Only
     the values of those brackets, folded to (value, count), are then ranked. So no task sees more
     than a sliver of the distinct values, and a value that fills a third of the rows is one entry.
+    A poor sketch would cost time, never exactness.
 
     ``wanted`` maps an output name to (fraction, rank of n); the fraction only steers the brackets.
     """
@@ -56,13 +57,16 @@ def exact_order_statistics(
 
     bounded = present.withColumn("bounds", bounds())
     bound = [F.element_at("bounds", i + 1) for i in range(len(fractions))]
-    below = F.array(*[F.count_if(F.col("v") < b) for b in bound])
+    # A bracket is either one bound itself or the values between two bounds. So a value that holds
+    # many of the ranks, and comes out as several bounds, does not widen the bracket after it.
+    starts = [start for b in bound for start in ((F.col("v") < b), (F.col("v") <= b))]
+    below = F.sort_array(F.array(*[F.count_if(before) for before in starts]))
     located = bounded.agg(F.count("*").alias("n"), below.alias("below"))
 
     targets = []
     for name, (_, rank) in wanted.items():
         r = rank(F.col("n"))
-        # Bracket k holds the values from bound k up to, and without, bound k + 1.
+        # As many brackets lie wholly before rank r as there are counts less than r.
         bracket = F.size(F.filter("below", _less_than(r)))
         base = F.when(bracket == 0, 0).otherwise(F.try_element_at("below", bracket))
         targets.append(
@@ -72,12 +76,15 @@ def exact_order_statistics(
         )
     target_row = located.select(F.struct(*targets).alias("t"))
 
-    bracket_of = sum((F.when(F.col("v") >= b, 1).otherwise(0) for b in bound), F.lit(0))
+    bracket_of = sum((F.when(before, 0).otherwise(1) for before in starts), F.lit(0))
+    # Values outside the wanted brackets fold into one NULL group per task. A filter would do the
+    # same, but would carry a copy of the subqueries along for every bound it compares.
+    is_wanted = F.col("bracket").isin(*[F.col(f"t.{name}.bracket") for name in wanted])
     folded = (
         bounded.select("v", bracket_of.alias("bracket"))
         .withColumn("t", target_row.scalar())
-        .filter(F.col("bracket").isin(*[F.col(f"t.{name}.bracket") for name in wanted]))
-        .groupBy("bracket", "v")
+        .select(F.when(is_wanted, F.struct("bracket", "v")).alias("kept"))
+        .groupBy("kept.bracket", "kept.v")
         .agg(F.count("*").alias("c"))
     )
     upto = F.sum("c").over(W.partitionBy("bracket").orderBy("v"))

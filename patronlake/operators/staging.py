@@ -18,6 +18,7 @@ from patronlake.functions.stamps import NTZ, shift_text
 from patronlake.functions.text import email_fault, title_case
 from patronlake.functions.vocab import remap_or
 from patronlake.operators.ranks import disc_rank, exact_order_statistics, index_rank
+from patronlake.operators.skew import spread_left_join
 from patronlake.operators.tickets import category_of_rating
 from patronlake.operators.users import TIER_FRACTIONS, tier_of
 
@@ -54,7 +55,7 @@ def account_owners(customers: DataFrame) -> DataFrame:
 def owned_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders with the person behind the account; an unknown account stands for itself."""
     return (
-        orders.join(account_owners(customers), "customer_id", "left")
+        spread_left_join(orders, account_owners(customers), "customer_id", salt_by="order_id")
         .withColumn("known_customer", F.col("owner").isNotNull())
         .withColumn("user_id", F.coalesce("owner", "customer_id"))
         .drop("owner")
@@ -66,12 +67,12 @@ def _purchase_stamp() -> Column:
 
 
 def first_order(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """First purchase per known person."""
+    """First purchase per known person; folded per account before the accounts meet their owners."""
+    per_account = orders.groupBy("customer_id").agg(F.min(_purchase_stamp()).alias("first_at"))
     return (
-        owned_orders(orders, customers)
-        .filter("known_customer")
-        .groupBy("user_id")
-        .agg(F.min(_purchase_stamp()).alias("first_order_at"))
+        per_account.join(account_owners(customers), "customer_id")
+        .groupBy(F.col("owner").alias("user_id"))
+        .agg(F.min("first_at").alias("first_order_at"))
     )
 
 
@@ -177,13 +178,22 @@ def stage_products(products: DataFrame, translations: DataFrame) -> DataFrame:
 def payments_per_user(
     orders: DataFrame, payments: DataFrame, customers: DataFrame
 ) -> DataFrame:
-    """Everything a known person ever paid. Payments are folded per order before the joins."""
+    """Everything a known person ever paid.
+
+    Payments are folded per order, orders per account, and accounts per person, each before the
+    next join, so every join is one row to one row.
+    """
+    paid = order_payments(payments).filter("paid IS NOT NULL").select("order_id", "paid")
+    per_account = (
+        orders.select("order_id", "customer_id")
+        .join(paid, "order_id")
+        .groupBy("customer_id")
+        .agg(F.sum("paid").alias("spend"))
+    )
     return (
-        owned_orders(orders, customers)
-        .filter("known_customer")
-        .join(order_payments(payments).filter("paid IS NOT NULL"), "order_id")
-        .groupBy("user_id")
-        .agg(F.sum("paid").alias("total_spend"))
+        per_account.join(account_owners(customers), "customer_id")
+        .groupBy(F.col("owner").alias("user_id"))
+        .agg(F.sum("spend").alias("total_spend"))
     )
 
 
@@ -239,7 +249,7 @@ def ticket_rating(reviews: DataFrame) -> DataFrame:
 def ticket_contact(reviews: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Ticket → order → person → e-mail; a ticket without a known order has no contact."""
     owners = owned_orders(orders, customers).select("order_id", "user_id")
-    return reviews.join(owners, "order_id", "left").select(
+    return spread_left_join(reviews, owners, "order_id", salt_by="review_id").select(
         F.col("review_id").alias("ticket_id"),
         "user_id",
         pseudonyms.email(F.col("user_id")).alias("email"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +17,11 @@ from patronlake.plans import serving
 from patronlake.sources.landing import ingest_counts
 from patronlake.sources.shapes import RAW_SHAPES
 from patronlake.sources.tables import newest_by_key
-from patronlake.sources.testbed import Testbed
+from patronlake.sources.bench_tables import BenchStar
 from patronlake.streaming import feed
 from patronlake.streaming.scratch import scratch_folder
 
-Query = Callable[[Testbed], DataFrame]
+Query = Callable[[BenchStar], DataFrame]
 
 
 def _tables() -> dict[str, Query]:
@@ -47,7 +47,7 @@ def _tables() -> dict[str, Query]:
     }
 
 
-def _quarantine(t: Testbed) -> DataFrame:
+def _quarantine(t: BenchStar) -> DataFrame:
     plans = [
         (t.raw_orders, orders.orders_plan),
         (t.raw_order_items, orders.order_items_plan),
@@ -59,14 +59,14 @@ def _quarantine(t: Testbed) -> DataFrame:
     )
 
 
-def _remap_drift(t: Testbed) -> DataFrame:
+def _remap_drift(t: BenchStar) -> DataFrame:
     tiered = t.raw("raw_tiered_users")
     return cleaning.drift_counts(t.raw_orders, orders.orders_plan(t.raw_orders)).unionByName(
         cleaning.drift_counts(tiered, users.users_plan(tiered))
     )
 
 
-def _upsert(t: Testbed) -> DataFrame:
+def _upsert(t: BenchStar) -> DataFrame:
     """A full load, then a second one of the buying customers with their tiers revised."""
     revised = users.clean_users(t.raw("raw_tiered_users")).select("user_id", "loyalty_tier")
     second = (
@@ -79,21 +79,21 @@ def _upsert(t: Testbed) -> DataFrame:
     return newest_by_key(first.unionByName(second), "user_id")
 
 
-def _stream_clean(t: Testbed) -> DataFrame:
+def _stream_clean(t: BenchStar) -> DataFrame:
     folder = scratch_folder(t.spark)
     cleaned = feed.clean_event_stream(_event_stream(t))
     feed.write_events(cleaned, f"{folder}/events", f"{folder}/checkpoint").awaitTermination()
     return t.spark.read.schema(cleaned.schema).parquet(f"{folder}/events")
 
 
-def _stream_days(t: Testbed) -> DataFrame:
+def _stream_days(t: BenchStar) -> DataFrame:
     folder = scratch_folder(t.spark)
     counts = feed.counts_by_day(feed.clean_event_stream(_event_stream(t)), "1 day")
     feed.write_day_counts(counts, f"{folder}/days", f"{folder}/checkpoint").awaitTermination()
     return feed.read_day_counts(t.spark, f"{folder}/days")
 
 
-def _event_stream(t: Testbed) -> DataFrame:
+def _event_stream(t: BenchStar) -> DataFrame:
     """The events table read as a file stream, in the feed's shape.
 
     The braces make the path a pattern, which a file stream takes whether the table is one file or
@@ -170,11 +170,11 @@ def _quality() -> dict[str, Query]:
 
 
 def _staging() -> dict[str, Query]:
-    def people(t: Testbed) -> DataFrame:
+    def people(t: BenchStar) -> DataFrame:
         ids = t.market("mk_customers").select(F.col("customer_unique_id").alias("user_id"))
         return ids.distinct()
 
-    def sources(t: Testbed, *names: str) -> list[DataFrame]:
+    def sources(t: BenchStar, *names: str) -> list[DataFrame]:
         return [t.market(f"mk_{name}") for name in names]
 
     return {
@@ -209,8 +209,20 @@ def registered() -> dict[str, Query]:
     return {**_tables(), **_serving(), **_feeds(), **_quality(), **_staging()}
 
 
+@lru_cache(maxsize=4)
+def _star(spark: SparkSession, directory: str) -> BenchStar:
+    """One set of lazy tables per session and directory; it holds plans, no data."""
+    return BenchStar(spark, directory)
+
+
+def raw_tables(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
+    """The six raw tables a transform run starts from."""
+    names = ("users", "products", "orders", "order_items", "events", "tickets")
+    return {name: _star(spark, directory).raw(f"raw_{name}") for name in names}
+
+
 def bound_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        name: (lambda spark, sf_dir, query=query: query(Testbed(spark, sf_dir)))
+        name: (lambda spark, sf_dir, query=query: query(_star(spark, sf_dir)))
         for name, query in registered().items()
     }

@@ -16,15 +16,19 @@ from patronlake.operators.wide import customer_360
 from patronlake.sources import shapes
 
 
-class Testbed:
+class BenchStar:
     """Lazy tables: nothing is read before it is asked for, and nothing runs before an action."""
 
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        """Opened once: each opening reads a footer for the schema."""
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        return self._opened[name]
 
     def _customer_places(self) -> DataFrame:
         nation, region = self.source("nation"), self.source("region")

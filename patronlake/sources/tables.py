@@ -68,14 +68,17 @@ def _layout_keys(spec: S.TableSpec) -> list[str]:
 
 
 def spread(df: DataFrame, spec: S.TableSpec) -> DataFrame:
-    """Range-partition on (month, sort key).
+    """Range-partition on (month, sort key, row key).
 
     Ranges follow the data, so a month that holds a third of all rows is split over as many tasks
-    as its size asks for, and each file covers a narrow key range.
+    as its size asks for, and each file covers a narrow key range. The row key at the end lets even
+    equal sort keys be split.
     """
     if spec.month_of:
         df = df.withColumn("yyyymm", yyyymm(F.col(spec.month_of)))
-    return df.repartitionByRange(*_layout_keys(spec))
+    keys = _layout_keys(spec)
+    row_key = spec.columns[0]
+    return df.repartitionByRange(*keys, *([] if row_key in keys else [row_key]))
 
 
 def newest_by_key(batches: DataFrame, key: str, seq: str = "load_seq") -> DataFrame:
@@ -89,12 +92,11 @@ def newest_by_key(batches: DataFrame, key: str, seq: str = "load_seq") -> DataFr
     )
 
 
-def write_days(df: DataFrame, path: str, day_of: str) -> None:
+def write_days(df: DataFrame, path: str, day_of: str, row_key: str) -> None:
     """Rewrite only the days present in ``df``; running the same day again changes nothing."""
-    day = F.to_date(day_of)
     (
-        df.withColumn("day", day)
-        .repartitionByRange("day", day_of)
+        df.withColumn("day", F.to_date(day_of))
+        .repartitionByRange("day", day_of, row_key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")

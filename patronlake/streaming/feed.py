@@ -37,7 +37,10 @@ def clean_event_stream(raw: DataFrame) -> DataFrame:
 
 
 def with_event_time(events: DataFrame, lateness: str) -> DataFrame:
-    """Watermarks need an instant; clean stamps are UTC wall clock."""
+    """Watermarks need an instant; clean stamps are UTC wall clock. A stream has one watermark, so
+    a column that is there already is kept."""
+    if "event_time" in events.columns:
+        return events
     return events.withColumn("event_time", instant_of(F.col("timestamp"))).withWatermark(
         "event_time", lateness
     )
@@ -45,9 +48,7 @@ def with_event_time(events: DataFrame, lateness: str) -> DataFrame:
 
 def deduplicated(events: DataFrame, lateness: str) -> DataFrame:
     """Drop re-posted events. Ids are remembered for ``lateness`` only, so state stays bounded."""
-    return with_event_time(events, lateness).dropDuplicatesWithinWatermark(["event_id"]).drop(
-        "event_time"
-    )
+    return with_event_time(events, lateness).dropDuplicatesWithinWatermark(["event_id"])
 
 
 def counts_by_day(events: DataFrame, lateness: str) -> DataFrame:

@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "1000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,0 +1,183 @@
+from __future__ import annotations
+
+import datetime as dt
+import hashlib
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from patronlake.functions import pseudonyms, text
+from patronlake.operators import staging
+
+ANCHOR = dt.datetime(2024, 10, 17, 6, 0, 0)  # 6 years and 6 hours after the end of history
+
+
+@pytest.fixture(scope="module")
+def market(spark):
+    customers = spark.createDataFrame(
+        [("c1", "anna", "Rio", "RJ", 1), ("c2", "anna", "Sao", "SP", 2), ("c3", "bob", "Rio", "RJ", 3)],
+        "customer_id string, customer_unique_id string, customer_city string, "
+        "customer_state string, file_row int",
+    )
+    orders = spark.createDataFrame(
+        [("o1", "c1", "delivered", "2018-01-02 03:04:05"), ("o2", "c2", "shipped", "2017-05-06 07:08:09"),
+         ("o3", "c9", "odd", None), ("o4", "c3", None, "?")],
+        "order_id string, customer_id string, order_status string, order_purchase_timestamp string",
+    )
+    payments = spark.createDataFrame(
+        [("o1", "1", "boleto", "10.10"), ("o1", "2", "voucher", "5.05"), ("o2", "1", "pix", "bad"),
+         ("o3", "2", "boleto", "7")],
+        "order_id string, payment_sequential string, payment_type string, payment_value string",
+    )
+    return customers, orders, payments
+
+
+def rows(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+
+
+def test_first_account_of_a_person(market):
+    found = rows(staging.unique_customers(market[0]), "customer_unique_id", "customer_id", "customer_city")
+    assert found == [("anna", "c1", "Rio"), ("bob", "c3", "Rio")]
+
+
+def test_unknown_accounts_stand_for_themselves(market):
+    customers, orders, _ = market
+    assert rows(staging.owned_orders(orders, customers), "order_id", "user_id") == [
+        ("o1", "anna"), ("o2", "anna"), ("o3", "c9"), ("o4", "bob"),
+    ]
+
+
+def test_first_order_of_known_people(market):
+    customers, orders, _ = market
+    assert rows(staging.first_order(orders, customers), "user_id", "first_order_at") == [
+        ("anna", dt.datetime(2017, 5, 6, 7, 8, 9)), ("bob", None),
+    ]
+
+
+def test_staged_orders(market):
+    customers, orders, payments = market
+    staged = staging.stage_orders(orders, payments, customers, ANCHOR)
+    found = {r.order_id: tuple(r)[1:] for r in staged.collect()}
+    assert found == {
+        "o1": ("anna", Decimal("15.15"), "Completed", "Bank Slip", "2024-01-03 09:04:05"),
+        "o2": ("anna", None, "Processing", "Credit Card", "2023-05-07 13:08:09"),
+        "o3": ("c9", Decimal("7.00"), "Pending", "Credit Card", None),
+        "o4": ("bob", None, "Pending", "Credit Card", "?"),
+    }
+
+
+def test_spend_of_known_people_and_tiers(market):
+    customers, orders, payments = market
+    tiers = staging.loyalty_by_payments(orders, payments, customers)
+    assert rows(tiers, "user_id", "total_spend", "loyalty_tier") == [
+        ("anna", Decimal("15.15"), "Platinum"), ("bob", None, None),
+    ]
+
+
+def test_items_products_and_translations(spark):
+    items = spark.createDataFrame(
+        [("o", "1", "p", "2.345"), ("o", "2", "p", "bad")],
+        "order_id string, order_item_id string, product_id string, price string",
+    )
+    assert rows(staging.stage_order_items(items), "item_id", "quantity", "unit_price") == [
+        ("o_1", 1, Decimal("2.35")), ("o_2", 1, Decimal("0.00")),
+    ]
+    products = spark.createDataFrame(
+        [("p1", "cama_mesa"), ("p2", "so_aqui2b"), ("p3", None), ("p4", ""), ("p5", "vazio")],
+        "product_id string, product_category_name string",
+    )
+    words = spark.createDataFrame(
+        [("cama_mesa", "bed_bath"), ("vazio", "")],
+        "product_category_name string, product_category_name_english string",
+    )
+    found = {r.product_id: (r.product_name, r.category) for r in staging.stage_products(products, words).collect()}
+
+    def number(product_id):
+        return int(hashlib.md5(product_id.encode()).hexdigest()[:6], 16) % 10000
+
+    assert found == {
+        "p1": (f"Bed Bath Item #{number('p1')}", "Bed Bath"),
+        "p2": (f"So Aqui2B Item #{number('p2')}", "So Aqui2B"),
+        "p3": (f"Product #{number('p3')}", None),
+        "p4": (f"Product #{number('p4')}", None),
+        "p5": (f"Vazio Item #{number('p5')}", "Vazio"),
+    }
+
+
+def test_title_case_starts_words_after_any_non_letter(spark):
+    words = ["they're bill's", "ÉTÉ d'or", "a1b2 c-d", "", "x"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    out = [r[0] for r in df.select(text.title_case(F.col("w"))).collect()]
+    assert out == [w.title() for w in words]
+
+
+def test_shifted_shapes(spark):
+    stamps = [
+        "2018-10-17 00:00:00", " 2018-10-16 23:00:00 ", "2018-10-17T00:00:00.5Z",
+        "2018-10-17T01:02:03", "2018-10-17", "", "  ", None, "17/10/2018", "2018-13-01",
+    ]
+    df = spark.createDataFrame(
+        [(str(i), s) for i, s in enumerate(stamps)], "order_id string, order_purchase_timestamp string"
+    )
+    out = [r.created_at for r in staging.shifted_dates(df, ANCHOR).collect()]
+    assert out == [
+        "2024-10-17 06:00:00", "2024-10-17 05:00:00", "2024-10-17T06:00:00.500000Z",
+        "2024-10-17T07:02:03", "2024-10-17", "", "  ", None, "17/10/2018", "2018-13-01",
+    ]
+
+
+def test_pseudonyms_against_big_integers(spark):
+    ids = [f"person-{i}" for i in range(300)] + ["", "é", "8d50f5eadf50201ccdcedfb9e2ac8455"]
+    df = spark.createDataFrame([(i,) for i in ids], "user_id string")
+    for row in staging.pseudonymise(df).collect():
+        digest = hashlib.md5(row.user_id.encode()).hexdigest()
+        whole = int(digest, 16)
+        first = pseudonyms.FIRST_NAMES[whole % len(pseudonyms.FIRST_NAMES)]
+        last = pseudonyms.LAST_NAMES[(whole >> 8) % len(pseudonyms.LAST_NAMES)]
+        assert row.full_name == f"{first} {last}"
+        provider = pseudonyms.EMAIL_DOMAINS[int(digest[:8], 16) % 5]
+        assert row.email.endswith(f".{row.user_id[:4]}@{provider}")
+        assert row.email.split("@")[0].rsplit(".", 1)[0].isascii()
+        h = int(digest[:12], 16)
+        assert row.phone_number == f"+55 {11 + h % 79} {900_000_000 + h % 100_000_000}"
+
+
+def test_tickets(spark):
+    reviews = spark.createDataFrame(
+        [("1", "o1", "5", "2018-01-01"), ("2", None, "9", " "), ("3", "ox", "-2", None),
+         ("4", "o2", "4.0", ""), ("5", "o1", None, "x"), ("6", "o1", " 2 ", "x")],
+        "review_id string, order_id string, review_score string, review_answer_timestamp string",
+    )
+    assert [s for _, s in rows(staging.ticket_status(reviews), "ticket_id", "status")] == [
+        "Resolved", "Open", "Open", "Open", "Resolved", "Resolved",
+    ]
+    assert rows(staging.ticket_rating(reviews), "ticket_id", "rating", "issue_type") == [
+        ("1", 5, "Positive Feedback"), ("2", 5, "Positive Feedback"), ("3", 1, "Product Issue"),
+        ("4", 3, "General Inquiry"), ("5", 3, "General Inquiry"), ("6", 2, "Product Issue"),
+    ]
+
+
+def test_ticket_contacts(spark, market):
+    customers, orders, _ = market
+    reviews = spark.createDataFrame([("1", "o1"), ("2", "o3"), ("3", "zz"), ("4", None)], "review_id string, order_id string")
+    contact = {r.ticket_id: r for r in staging.ticket_contact(reviews, orders, customers).collect()}
+    assert [contact[k].user_id for k in "1234"] == ["anna", "c9", None, None]
+    assert contact["1"].email.split("@")[0].endswith(".anna") and contact["3"].email is None
+
+
+def test_email_faults(spark):
+    mails = {
+        "a@gmail.com": "ok", "agmail.com": "no_at", "a@gmal.com": "typo_domain",
+        "a@yaho.com.br": "typo_domain", "a@gmailcom": "no_dot", "a@yahoocom.br": "no_dot",
+        " a@b.co": "malformed", "": "missing", None: "missing", "a@telecom.br": "ok",
+    }
+    df = spark.createDataFrame([(m,) for m in mails], "m string")
+    out = [r[0] for r in df.select(text.email_fault(F.col("m"))).collect()]
+    assert out == list(mails.values())
+
+
+def test_distinct_ids(spark):
+    df = spark.createDataFrame([(" a ",), ("a",), ("",), (" ",), (None,), ("b",)], "x string")
+    assert rows(staging.distinct_ids(df, "x"), "id") == [("a",), ("b",)]

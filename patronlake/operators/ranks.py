@@ -7,12 +7,13 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Rank = Callable[[Column], Column]
 
-# Half-width of the band around each wanted fraction, and the accuracy of the sketch that finds it.
-_BAND = 0.0002
-_ACCURACY = 20_000
+# Bits of the value settled per step. A step ranks at most 2^22 buckets per wanted rank.
+_STEP_BITS = 21
+_SHIFTS = (2 * _STEP_BITS, _STEP_BITS, 0)
 
 
 def disc_rank(fraction: float) -> Rank:
@@ -25,77 +26,68 @@ def index_rank(fraction: float) -> Rank:
     return lambda n: (F.floor(n * F.lit(fraction)) + 1).cast("bigint")
 
 
-def _less_than(limit: Column) -> Callable[[Column], Column]:
-    return lambda count: count < limit
+def _whole_number(column: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.DecimalType):
+        return (column * F.lit(10**kind.scale)).cast("bigint")
+    if isinstance(kind, T.IntegralType):
+        return column.cast("bigint")
+    raise TypeError(f"ranks are taken of whole numbers and decimals, not {kind.simpleString()}")
 
 
 def exact_order_statistics(
-    values: DataFrame, column: str, wanted: Mapping[str, tuple[float, Rank]]
+    values: DataFrame, column: str, wanted: Mapping[str, Rank]
 ) -> DataFrame:
     """One row with the exact value at each wanted rank; NULLs are not ranked.
 
-    A sketch brackets each wanted fraction with two bounds. One aggregation counts the values below
-    each bound, which tells the bracket that holds the rank whatever the sketch's error was. Only
-    the values of those brackets, folded to (value, count), are then ranked. So no task sees more
-    than a sliver of the distinct values, and a value that fills a third of the rows is one entry.
-    A poor sketch would cost time, never exactness.
-
-    ``wanted`` maps an output name to (fraction, rank of n); the fraction only steers the brackets.
+    The value is found from its leading bits on, as in a radix search. Each step counts the values
+    per bucket of equal leading bits, within the buckets the step before has settled on, and runs
+    along the counts to the bucket that holds the rank. The counting is an ordinary aggregation with
+    partial sums before the shuffle; the running total sees buckets, whose number is bounded by the
+    bits of a step and does not grow with the data. A value shared by a third of the rows is one
+    bucket like any other.
     """
-    fractions = sorted({
-        min(1.0, max(0.0, fraction + side))
-        for fraction, _ in wanted.values()
-        for side in (-_BAND, _BAND)
-    })
-    present = values.select(F.col(column).alias("v")).filter(F.col("v").isNotNull())
-
-    def bounds() -> Column:
-        sketch = present.agg(
-            F.percentile_approx("v", [float(f) for f in fractions], _ACCURACY).alias("bounds")
+    kind = values.schema[column].dataType
+    rows = values.select(
+        F.col(column).alias("v"), _whole_number(F.col(column), kind).alias("whole")
+    ).filter(F.col("v").isNotNull())
+
+    found = None
+    for shift in _SHIFTS:
+        bucket = F.shiftright("whole", shift)
+        if found is None:
+            counts = rows.select("v", F.lit(0).cast("bigint").alias("within"), bucket.alias("bucket"))
+            targets = []
+        else:
+            # Rows outside the settled buckets fold into one NULL group per task.
+            settled = F.shiftright("whole", shift + _STEP_BITS)
+            at = [F.col(f"t.{name}.bucket") for name in wanted]
+            kept = F.when(settled.isin(*at), F.struct(settled.alias("within"), bucket.alias("bucket")))
+            counts = rows.withColumn("t", found.scalar()).select("v", "t", kept.alias("k"))
+            counts = counts.select("v", "t", "k.within", "k.bucket")
+            targets = [
+                F.max(f"t.{name}.{part}").alias(f"{name}_{part}")
+                for name in wanted for part in ("bucket", "left")
+            ]
+        counts = counts.groupBy("within", "bucket").agg(
+            F.count("*").alias("c"), F.min("v").alias("v"), *targets
         )
-        return sketch.scalar()
-
-    bounded = present.withColumn("bounds", bounds())
-    bound = [F.element_at("bounds", i + 1) for i in range(len(fractions))]
-    # A bracket is either one bound itself or the values between two bounds. So a value that holds
-    # many of the ranks, and comes out as several bounds, does not widen the bracket after it.
-    starts = [start for b in bound for start in ((F.col("v") < b), (F.col("v") <= b))]
-    below = F.sort_array(F.array(*[F.count_if(before) for before in starts]))
-    located = bounded.agg(F.count("*").alias("n"), below.alias("below"))
-
-    targets = []
-    for name, (_, rank) in wanted.items():
-        r = rank(F.col("n"))
-        # As many brackets lie wholly before rank r as there are counts less than r.
-        bracket = F.size(F.filter("below", _less_than(r)))
-        base = F.when(bracket == 0, 0).otherwise(F.try_element_at("below", bracket))
-        targets.append(
-            F.struct(
-                r.alias("rank"), bracket.alias("bracket"), base.cast("bigint").alias("base")
-            ).alias(name)
+        inside = W.partitionBy("within")
+        running = counts.withColumn("upto", F.sum("c").over(inside.orderBy("bucket")))
+        if found is None:
+            n = F.sum("c").over(inside)
+            running = running.withColumns({
+                **{f"{name}_left": rank(n) for name, rank in wanted.items()},
+                **{f"{name}_bucket": F.col("within") for name in wanted},
+            })
+        found = running.agg(*[_settle(name) for name in wanted]).select(
+            F.struct(*wanted).alias("t")
         )
-    target_row = located.select(F.struct(*targets).alias("t"))
-
-    bracket_of = sum((F.when(before, 0).otherwise(1) for before in starts), F.lit(0))
-    # Values outside the wanted brackets fold into one NULL group per task. A filter would do the
-    # same, but would carry a copy of the subqueries along for every bound it compares.
-    is_wanted = F.col("bracket").isin(*[F.col(f"t.{name}.bracket") for name in wanted])
-    folded = (
-        bounded.select("v", bracket_of.alias("bracket"))
-        .withColumn("t", target_row.scalar())
-        .select(F.when(is_wanted, F.struct("bracket", "v")).alias("kept"))
-        .groupBy("kept.bracket", "kept.v")
-        .agg(F.count("*").alias("c"))
-    )
-    upto = F.sum("c").over(W.partitionBy("bracket").orderBy("v"))
-    ranked = folded.withColumn("upto", upto).withColumn("t", target_row.scalar())
-    return ranked.agg(*[
-        F.min(
-            F.when(
-                (F.col("bracket") == F.col(f"t.{name}.bracket"))
-                & (F.col(f"t.{name}.base") + F.col("upto") >= F.col(f"t.{name}.rank")),
-                F.col("v"),
-            )
-        ).alias(name)
-        for name in wanted
-    ])
+    return found.select(*[F.col(f"t.{name}.v").alias(name) for name in wanted])
+
+
+def _settle(name: str) -> Column:
+    """First bucket whose running total reaches the rank, and the rank left within it."""
+    left = F.col(f"{name}_left")
+    reached = (F.col("within") == F.col(f"{name}_bucket")) & (F.col("upto") >= left)
+    inside = (left - F.col("upto") + F.col("c")).alias("left")
+    return F.min(F.when(reached, F.struct("bucket", inside, "v"))).alias(name)

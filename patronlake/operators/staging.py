@@ -204,7 +204,7 @@ def loyalty_by_payments(
     int(n · fraction) of the sorted spends; without positive spend there is no tier."""
     spend = payments_per_user(orders, payments, customers)
     thresholds = exact_order_statistics(
-        spend, "total_spend", {name: (p, index_rank(p)) for name, p in TIER_FRACTIONS.items()}
+        spend, "total_spend", {name: index_rank(p) for name, p in TIER_FRACTIONS.items()}
     ).select(F.struct(*TIER_FRACTIONS).alias("t"))
     tiers = spend.withColumn("t", thresholds.scalar()).select(
         "user_id",
@@ -272,9 +272,9 @@ def order_value_profile(orders: DataFrame, items: DataFrame) -> DataFrame:
         orders.select("total_amount"),
         "total_amount",
         {
-            "median_value": (0.5, disc_rank(0.5)),
-            "p75_value": (0.75, disc_rank(0.75)),
-            "p95_value": (0.95, disc_rank(0.95)),
+            "median_value": disc_rank(0.5),
+            "p75_value": disc_rank(0.75),
+            "p95_value": disc_rank(0.95),
         },
     )
     mean = orders.agg(

@@ -62,7 +62,7 @@ def loyalty_thresholds(spend: DataFrame, relative_error: float | None = None) ->
     one aggregation, ranks off by at most that share of the spenders.
     """
     if relative_error is None:
-        wanted = {name: (p, disc_rank(p)) for name, p in TIER_FRACTIONS.items()}
+        wanted = {name: disc_rank(p) for name, p in TIER_FRACTIONS.items()}
         return exact_order_statistics(spend, "total_spend", wanted)
     sketch = spend.agg(
         F.percentile_approx(

@@ -1,12 +1,14 @@
-"""The whole transform run and the whole load, in dependency order."""
+"""The whole runs: extract, transform, load, and the reload of one day."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor, wait
 from typing import TypeVar
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from patronlake import schemas as S
 from patronlake.operators.events import clean_events
@@ -15,7 +17,8 @@ from patronlake.operators.products import clean_products
 from patronlake.operators.tickets import clean_tickets
 from patronlake.operators.users import clean_users
 from patronlake.operators.wide import customer_360
-from patronlake.sources.tables import LoadResult, Warehouse, Zones
+from patronlake.sources.landing import land
+from patronlake.sources.tables import LoadResult, Warehouse, Zones, write_days
 
 T = TypeVar("T")
 
@@ -30,6 +33,18 @@ def _side_by_side(tasks: Iterable[Callable[[], T]], at_once: int = 8) -> list[T]
     return [future.result() for future in futures]
 
 
+def run_extract(sources: dict[str, DataFrame], zones: Zones) -> dict[str, int]:
+    """Land the database tables in the raw zone and return their row counts.
+
+    Later stages read the landed files, so the database is read once per table however many
+    transforms use it.
+    """
+    counts = _side_by_side(
+        [lambda name=name, df=df: land(df, zones.path(name)) for name, df in sources.items()]
+    )
+    return dict(zip(sources, counts))
+
+
 def run_transforms(raw: dict[str, DataFrame], zones: Zones) -> None:
     """Raw tables → clean zone → wide table.
 
@@ -54,6 +69,21 @@ def run_transforms(raw: dict[str, DataFrame], zones: Zones) -> None:
     zones.write(wide, "customer_360")
 
 
+def reload_day(raw_events: DataFrame, path: str, day: dt.date) -> None:
+    """Clean one logical day of events and rewrite just that day under ``path``.
+
+    Running it again gives the same files; other days are not touched. A day without events is
+    left as it is.
+    """
+    first, following = (
+        F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz")
+        for d in (day, day + dt.timedelta(days=1))
+    )
+    stamp = F.col("timestamp")
+    events = clean_events(raw_events).filter((stamp >= first) & (stamp < following))
+    write_days(events, path, "timestamp", "event_id")
+
+
 def run_load(zones: Zones, warehouse: Warehouse) -> list[LoadResult]:
     """All seven tables, each on its own: readers see every table switch once it is complete."""
     return _side_by_side(

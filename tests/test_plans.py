@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
+from pyspark.sql import functions as F
 
 from patronlake.plans import serving
 from patronlake.registry import registered
@@ -91,3 +94,40 @@ def test_first_row_per_key_is_cut_before_the_shuffle(star):
     lines = plan_of(registered()["stg_customers"](star)).splitlines()
     exchange = next(i for i, line in enumerate(lines) if "hashpartitioning(customer_unique_id" in line)
     assert "WindowGroupLimit" in lines[exchange + 1] and "Partial" in lines[exchange + 1]
+
+
+def test_a_hot_order_is_split_when_its_items_meet_the_month(spark, no_broadcast):
+    """A third of all items in one order: adaptive execution splits that order's partition."""
+    star = SimpleNamespace(
+        fact_orders=spark.range(20_000).select(
+            F.col("id").cast("string").alias("order_id"),
+            F.lit("1997-05-05 00:00:00").cast("timestamp_ntz").alias("created_at"),
+        ),
+        fact_order_items=spark.range(0, 600_000, 1, 16).select(
+            F.expr("CASE WHEN id % 3 = 0 THEN '7' ELSE CAST(id % 20000 AS STRING) END").alias("order_id"),
+            F.col("id").cast("string").alias("product_id"),
+            F.lit(1).cast("short").alias("quantity"),
+            F.lit(2).cast("decimal(12,2)").alias("unit_price"),
+        ),
+        dim_products=spark.range(600_000).select(
+            F.col("id").cast("string").alias("product_id"),
+            F.lit("n").alias("product_name"), F.lit("c").alias("category"),
+        ),
+    )
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = serving.top_products(star, "1997-05")
+        (row,) = df.collect()
+        plan = plan_of(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert (row.revenue, row.units_sold) == (1_200_000, 600_000)
+    assert "SortMergeJoin(skew=true) [order_id" in plan

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from patronlake.operators.ranks import disc_rank, exact_order_statistics, index_
 FRACTIONS = (0.0, 0.1, 0.5, 0.65, 0.85, 0.95, 1.0)
 
 
-@pytest.mark.parametrize("spread", ["distinct", "one value", "hot value", "hot top"])
+@pytest.mark.parametrize("spread", ["distinct", "one value", "hot value", "hot top", "wide"])
 @pytest.mark.parametrize("n", [1, 2, 17, 4000])
 def test_exact_ranks(spark, spread, n):
     rng = random.Random(f"{spread}{n}")
@@ -21,11 +22,14 @@ def test_exact_ranks(spark, spread, n):
         "one value": lambda: 7.0,
         "hot value": lambda: rng.choice([5.0, rng.random() * 10, rng.random() * 10]),
         "hot top": lambda: rng.choice([999.0, rng.random() * 999]),
+        "wide": lambda: rng.choice([-1, 1]) * 10 ** (rng.random() * 16 - 2),
     }[spread]
-    values = [round(draw(), 2) for _ in range(n)]
-    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double").repartition(5)
-    wanted = {f"p{i}": (p, disc_rank(p)) for i, p in enumerate(FRACTIONS)}
-    wanted |= {f"i{i}": (p, index_rank(p)) for i, p in enumerate(FRACTIONS[:-1])}
+    values = [Decimal(f"{draw():.2f}") for _ in range(n)]
+    df = spark.createDataFrame(
+        [(v,) for v in values] + [(None,)], "x decimal(28,2)"
+    ).repartition(5)
+    wanted = {f"p{i}": disc_rank(p) for i, p in enumerate(FRACTIONS)}
+    wanted |= {f"i{i}": index_rank(p) for i, p in enumerate(FRACTIONS[:-1])}
     row = exact_order_statistics(df, "x", wanted).first()
     values.sort()
     assert [row[f"p{i}"] for i in range(len(FRACTIONS))] == [
@@ -37,14 +41,15 @@ def test_exact_ranks(spark, spread, n):
 
 
 def test_no_values_no_statistics(spark):
-    empty = spark.createDataFrame([], "x double")
-    assert exact_order_statistics(empty, "x", {"a": (0.5, disc_rank(0.5))}).first().a is None
+    empty = spark.createDataFrame([], "x int")
+    assert exact_order_statistics(empty, "x", {"a": disc_rank(0.5)}).first().a is None
+    with pytest.raises(TypeError):
+        exact_order_statistics(spark.range(1).selectExpr("1.5D AS x"), "x", {"a": disc_rank(0.5)})
 
 
 def test_index_and_disc_ranks_differ_by_one_when_whole(spark):
-    df = spark.range(1, 101).select(F.col("id").cast("double").alias("x"))
     row = exact_order_statistics(
-        df, "x", {"index": (0.65, index_rank(0.65)), "disc": (0.65, disc_rank(0.65))}
+        spark.range(1, 101), "id", {"index": index_rank(0.65), "disc": disc_rank(0.65)}
     ).first()
     assert (row["index"], row["disc"]) == (66, 65)
 

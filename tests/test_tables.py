@@ -154,6 +154,23 @@ def test_rewriting_a_day_leaves_the_others(spark, tmp_path):
         assert ids(spark.read.parquet(path).select("event_id")) == ["1", "3"]
 
 
+def test_one_logical_day_can_be_run_again(spark, tmp_path):
+    raw = spark.createDataFrame(
+        [("1", "2024-01-01 10:00:00", "view_item"), ("2", "2024-01-02 10:00:00", "add_to_cart"),
+         ("3", "2024-01-02 11:00:00", "purchase"), ("4", "2024-01-03 00:00:00", "view_item")],
+        "event_id string, timestamp string, event_type string",
+    ).withColumns({
+        "timestamp": F.col("timestamp").cast("timestamp_ntz"), "user_id": F.lit("u"),
+        "session_id": F.lit("s"), "product_id": F.lit("p"), "device_os": F.lit("x"),
+        "time_spent_seconds": F.lit(1),
+    })
+    path = f"{tmp_path}/log"
+    for day in (dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 2)):
+        jobs.reload_day(raw, path, day)
+    assert ids(spark.read.parquet(path).select("event_id")) == ["1", "2"]
+    assert {str(r.day) for r in spark.read.parquet(path).collect()} == {"2024-01-01", "2024-01-02"}
+
+
 def test_zone_routing(spark, tmp_path):
     zones = tables.Zones(spark, str(tmp_path))
     assert zones.path("customer_360").endswith("/serving/customer_360")
@@ -170,7 +187,10 @@ def test_whole_run_from_raw_to_warehouse(spark, tmp_path, warehouse):
     }
     # Only orders with a known status may be loaded.
     raw["orders"] = raw["orders"].filter("order_status <> 'mystery'")
-    jobs.run_transforms(raw, zones)
+    sources = ("users", "products", "orders", "order_items")
+    counts = jobs.run_extract({name: raw[name] for name in sources}, zones)
+    assert counts == {name: raw[name].count() for name in sources}
+    jobs.run_transforms({**raw, **{name: zones.read(name) for name in sources}}, zones)
     results = jobs.run_load(zones, warehouse)
     assert [r.table for r in results] == list(S.TABLES)
     assert all(r.rows > 0 and r.version == 1 for r in results)

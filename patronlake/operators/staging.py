@@ -56,7 +56,6 @@ def owned_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders with the person behind the account; an unknown account stands for itself."""
     return (
         spread_left_join(orders, account_owners(customers), "customer_id", salt_by="order_id")
-        .withColumn("known_customer", F.col("owner").isNotNull())
         .withColumn("user_id", F.coalesce("owner", "customer_id"))
         .drop("owner")
     )

@@ -192,12 +192,14 @@ class Warehouse:
         for version in self.versions(spec.name):
             if current is None or version > current:
                 self._drop(spec.name, version)
-        if spec.replace_key and current is not None:
+        if spec.replace_key:
             if df.isEmpty():
                 return LoadResult(spec.name, 0, current, True)
-            old = self.read(spec.name).withColumn("load_seq", F.lit(0))
-            new = conform(df, spec).withColumn("load_seq", F.lit(1))
-            df = newest_by_key(old.unionByName(new), spec.replace_key)
+            batches = conform(df, spec).withColumn("load_seq", F.lit(1))
+            if current is not None:
+                old = self.read(spec.name).withColumn("load_seq", F.lit(0))
+                batches = old.unionByName(batches)
+            df = newest_by_key(batches, spec.replace_key)
 
         version = (current or 0) + 1
         counts = dict(self.stage(df, spec, version))

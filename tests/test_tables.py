@@ -85,7 +85,8 @@ def wide_rows(spark, *rows):
 
 
 def test_keyed_load_merges_and_is_idempotent(spark, warehouse):
-    warehouse.load(wide_rows(spark, ("a", "Gold"), ("b", "Gold")), S.CUSTOMER_360)
+    warehouse.load(wide_rows(spark, ("a", "Gold"), ("b", "Gold"), ("b", "Gold")), S.CUSTOMER_360)
+    assert warehouse.customer_360.count() == 2
     for _ in range(2):
         warehouse.load(wide_rows(spark, ("b", "Silver"), ("c", None)), S.CUSTOMER_360)
         found = {r.user_id: r.loyalty_tier for r in warehouse.customer_360.collect()}

@@ -53,35 +53,31 @@ def exact_order_statistics(
 
     found = None
     for shift in _SHIFTS:
-        bucket = F.shiftright("whole", shift)
+        bucket = F.shiftright("whole", shift).alias("bucket")
         if found is None:
-            counts = rows.select("v", F.lit(0).cast("bigint").alias("within"), bucket.alias("bucket"))
+            counted = rows.select("v", F.struct(F.lit(0).cast("bigint").alias("within"), bucket).alias("k"))
             targets = []
         else:
             # Rows outside the settled buckets fold into one NULL group per task.
             settled = F.shiftright("whole", shift + _STEP_BITS)
             at = [F.col(f"t.{name}.bucket") for name in wanted]
-            kept = F.when(settled.isin(*at), F.struct(settled.alias("within"), bucket.alias("bucket")))
-            counts = rows.withColumn("t", found.scalar()).select("v", "t", kept.alias("k"))
-            counts = counts.select("v", "t", "k.within", "k.bucket")
+            kept = F.when(settled.isin(*at), F.struct(settled.alias("within"), bucket))
+            counted = rows.withColumn("t", found.scalar()).select("v", "t", kept.alias("k"))
             targets = [
                 F.max(f"t.{name}.{part}").alias(f"{name}_{part}")
                 for name in wanted for part in ("bucket", "left")
             ]
-        counts = counts.groupBy("within", "bucket").agg(
+        counts = counted.groupBy("k.within", "k.bucket").agg(
             F.count("*").alias("c"), F.min("v").alias("v"), *targets
         )
         inside = W.partitionBy("within")
-        running = counts.withColumn("upto", F.sum("c").over(inside.orderBy("bucket")))
+        added = {"upto": F.sum("c").over(inside.orderBy("bucket"))}
         if found is None:
             n = F.sum("c").over(inside)
-            running = running.withColumns({
-                **{f"{name}_left": rank(n) for name, rank in wanted.items()},
-                **{f"{name}_bucket": F.col("within") for name in wanted},
-            })
-        found = running.agg(*[_settle(name) for name in wanted]).select(
-            F.struct(*wanted).alias("t")
-        )
+            added |= {f"{name}_left": rank(n) for name, rank in wanted.items()}
+            added |= {f"{name}_bucket": F.col("within") for name in wanted}
+        running = counts.withColumns(added)
+        found = running.agg(F.struct(*[_settle(name) for name in wanted]).alias("t"))
     return found.select(*[F.col(f"t.{name}.v").alias(name) for name in wanted])
 
 

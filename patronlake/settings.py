@@ -21,6 +21,9 @@ def session_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * PARTITION_BYTES),
+        # Lets a month's order ids thin out the items before these are shuffled to meet them.
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
         "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
         "spark.sql.parquet.compression.codec": "snappy",
         # Event ids of the deduplicating stream live outside the heap.

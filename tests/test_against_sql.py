@@ -7,10 +7,12 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from patronlake.oracle import oracle_statements
+from patronlake.registry import bound_queries
 from compare import differences, sql_connection
 
 DIRECTORY = os.environ.get("PATRONLAKE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, STATEMENTS = contract.queries(), contract.oracle_sql()
+QUERIES, STATEMENTS = bound_queries(), oracle_statements()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +25,10 @@ def test_each_statement_has_a_query():
     assert set(QUERIES) - set(STATEMENTS) == {"loyalty_thresholds_approx"}
 
 
+def test_contract_has_all_queries():
+    assert set(QUERIES) <= set(contract.queries()) and set(STATEMENTS) <= set(contract.oracle_sql())
+
+
 @pytest.mark.parametrize("key", sorted(STATEMENTS))
 def test_query_equals_sql(spark, con, key):
     assert differences(QUERIES[key](spark, DIRECTORY), STATEMENTS[key], con) == []

@@ -7,15 +7,63 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlake.llm import quality_rules, simhash, suffix_dedup
+from patronlake.llm import (
+    exact_topk, licenses, mixing, quality_rules, simhash, suffix_dedup, token_counts, toxicity, unigram, warc,
+)
+from patronlake.llm.shared import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKEN_LIMIT = 512
+# Sources by domain, and weights of the mix; sources that are not named are of domain "web".
+DOMAINS = {"books": (10, 11, 12, 13, 14), "reference": (15, 16, 17, 18, 19)}
+MIX = mixing.Mix(
+    domains={f"src{n}": domain for domain, numbers in DOMAINS.items() for n in numbers}, others="web",
+    domain_weights={"web": 5, "books": 3, "reference": 2},
+    lang_weights={"en": 6, "de": 2, "fr": 2, "es": 1},
+    source_weights={"src0": 3}, share=60, epochs=3,
+)
+
+
+def vocabulary_file(name: str) -> str:
+    """Path of a public tokenizer's file; the directory is the installed library's."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def op1_warc_archives(spark: SparkSession, directory: str) -> DataFrame:
+    folder = Workspace(spark, "archives").folder
+    warc.write_archives(_table(spark, directory, "pages"), folder)
+    return warc.read_archives(spark, folder, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op2_toxicity_neighbours(spark: SparkSession, directory: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, directory, "documents"), _table(spark, directory, "labels"))
+
+
+def op3_exact_topk(spark: SparkSession, directory: str) -> DataFrame:
+    return exact_topk.top_k(_table(spark, directory, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op4_license_scan(spark: SparkSession, directory: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, directory, "documents")).drop("evidence")
+
+
+def op5_token_counts(spark: SparkSession, directory: str) -> DataFrame:
+    cache = Workspace(spark, "token-cache").path("counts")
+    counts = token_counts.count_tokens(
+        _table(spark, directory, "documents"), vocabulary_file("byte_bpe_50k.json"), cache
+    )
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 def op6_simhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
     found = simhash.simhash_components(_table(spark, directory, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -31,11 +79,23 @@ def op7_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op8_sentencepiece(spark: SparkSession, directory: str) -> DataFrame:
+    documents = _table(spark, directory, "documents")
+    return unigram.encode_column(documents, vocabulary_file("piece_bpe_32k.model"), keep=("doc_id",))
+
+
+def op9_source_mix(spark: SparkSession, directory: str) -> DataFrame:
+    return mixing.mix_rows(_table(spark, directory, "documents"), MIX)
+
+
 def op10_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
     found = suffix_dedup.dedup_passages(_table(spark, directory, "documents"), with_text=False)
     return found.drop("kept")
 
 
 def llm_queries() -> dict[str, Query]:
-    named = [op6_simhash_dedup, op7_quality_rules, op10_suffix_dedup]
+    named = [
+        op1_warc_archives, op2_toxicity_neighbours, op3_exact_topk, op4_license_scan, op5_token_counts,
+        op6_simhash_dedup, op7_quality_rules, op8_sentencepiece, op9_source_mix, op10_suffix_dedup,
+    ]
     return {query.__name__: query for query in named}

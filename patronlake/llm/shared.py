@@ -49,7 +49,8 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        self.name = f"{name}_{uuid.uuid4().hex}"
+        self.folder = f"{shared_folder(spark)}/{self.name}"
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"

@@ -64,6 +64,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines::BIGINT AS n_dup_line
 FROM judged"""
 
 
+def _warc() -> str:
+    return """
+WITH t AS (
+  SELECT row_number() OVER (ORDER BY page_id, url) AS r, page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+  SELECT *, sha1(payload) AS h FROM t
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY h ORDER BY page_id DESC NULLS LAST, r) AS k,
+         max(page_id) OVER (PARTITION BY h) AS response
+  FROM d
+)
+SELECT page_id, octet_length(payload) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+         (('0x' || substr(h || '0', (5 * k) // 4 + 1, 2))::INTEGER >> (3 - (5 * k) % 4)) & 31)::INTEGER, 1)), '')
+         AS payload_digest,
+       CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k > 1 THEN response END AS refers_to
+FROM ranked"""
+
+
 def _suffix_dedup() -> str:
     return f"""
 WITH t AS (
@@ -95,6 +115,7 @@ SELECT doc_id, n_bytes, n_removed, n_spans, sha256(unhex(rest)) AS kept_sha256 F
 
 def llm_statements() -> dict[str, str]:
     return {
+        "op1_warc_archives": _warc(),
         "op7_quality_rules": _quality(),
         "op10_suffix_dedup": _suffix_dedup(),
     }

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from patronlake.llm import quality_rules
+from patronlake.llm import licenses, quality_rules
 from patronlake.llm.anchors import SPAN
+from patronlake.llm.queries import MIX
 
 _BLANK_FREE = r"[^\x20\x09-\x0D]+"
 
@@ -84,6 +85,128 @@ SELECT page_id, octet_length(payload) AS payload_bytes,
 FROM ranked"""
 
 
+def _topk() -> str:
+    return """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_dot_product(q.w, c.w)::BIGINT AS score
+  FROM v AS q JOIN v AS c ON q.r <> c.r WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored
+) WHERE rank <= 5"""
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _licenses() -> str:
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    places, labels = [], []
+    for phrase, label in licenses.PHRASES.items():
+        words = phrase.split()
+        same = " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(words, 1))
+        places.append(f"list_filter(range(0, len(w)), lambda i: {same})")
+        labels.append((label, len(places) - 1))
+    base = ", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{label}' END" for label, i in labels)
+    extra = ", ".join(
+        f"CASE WHEN regexp_matches(t, '{licenses.template_pattern(template)}') THEN '{label}' END"
+        for label, template in licenses.TEMPLATES.items()
+    )
+    found = ", ".join(f"{p} AS p{i}" for i, p in enumerate(places))
+    every = "list_concat(" * (len(places) - 1) + "p0" + "".join(f", p{i})" for i in range(1, len(places)))
+    clean = "lambda x: x IS NOT NULL"
+    return rf"""
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents
+), s AS (
+  SELECT *, regexp_extract_all(t, '{word}') AS w FROM d
+), p AS (
+  SELECT *, {found} FROM s
+), l AS (
+  SELECT *, {every} AS places, list_filter([{base}], {clean}) AS base, list_filter([{extra}], {clean}) AS extra FROM p
+)
+SELECT doc_id, len(w) AS n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+       array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(base, extra))), ',') AS labels,
+       CASE WHEN len(extra) > 0 THEN 1.0::DOUBLE WHEN len(base) > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
+FROM l"""
+
+
+def _case(column: str, given: dict, default: str) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in given.items())
+    return f"CASE {column} {cases} ELSE {default} END" if given else default
+
+
+def _dealt(level: str, by: list[str], parent: str, weight: str) -> str:
+    """Budgets of one level of the tree from its parent's; the same rule as whole-number SQL."""
+    keys = ", ".join(by)
+    part = f"PARTITION BY {keys}" if by else ""
+    join = " AND ".join(f"c.{k} IS NOT DISTINCT FROM b.{k}" for k in by) or "true"
+    columns = "".join(f"c.{k}, " for k in by)
+    order = f"ORDER BY CASE WHEN w > 0 THEN capacity::DOUBLE / w END NULLS LAST, {level} NULLS FIRST"
+    return f"""
+{level}_c AS (
+  SELECT {keys + ", " if by else ""}{level}, sum(capacity)::HUGEINT AS capacity, ({weight})::HUGEINT AS w
+  FROM supply GROUP BY {keys + ", " if by else ""}{level}
+), {level}_o AS (
+  SELECT {columns}c.{level}, c.capacity, c.w, b.budget FROM {level}_c AS c JOIN {parent} AS b ON {join}
+), {level}_f AS (
+  SELECT *, coalesce(sum(capacity) OVER ({part} {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         sum(w) OVER ({part} {order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight
+  FROM {level}_o
+), {level}_g AS (
+  SELECT *, w > 0 AND capacity * open_weight <= (budget - before) * w AS is_full FROM {level}_f
+), {level}_b AS (
+  SELECT {keys + ", " if by else ""}{level}, CASE WHEN is_full THEN capacity ELSE coalesce(
+    (budget - coalesce(sum(capacity) FILTER (is_full) OVER ({part}), 0)) * w
+      // nullif(sum(w) FILTER (NOT is_full) OVER ({part}), 0), 0) END::HUGEINT AS budget
+  FROM {level}_g
+)"""
+
+
+def _mixing() -> str:
+    mix = MIX
+    domain = _case("source", dict(mix.domains), f"'{mix.others}'")
+    place = (
+        f"('0x' || substr(md5(concat_ws(':', '{mix.seed}', (whole + 1)::VARCHAR, coalesce(doc_id::VARCHAR, 'null'))), 1, 15))"
+        "::BIGINT"
+    )
+    lowest = "(-9223372036854775808)::BIGINT"
+    return rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {domain} AS domain, lang, source,
+         len(regexp_extract_all(coalesce(text, ''), '{_BLANK_FREE}')) AS n_tokens
+  FROM documents
+), supply AS (
+  SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens, sum(n_tokens)::HUGEINT * {mix.epochs} AS capacity
+  FROM docs GROUP BY domain, lang, source
+), total AS (
+  SELECT coalesce(sum(tokens), 0)::HUGEINT * {mix.share} // 100 AS budget FROM supply
+), {_dealt("domain", [], "total", _case("domain", dict(mix.domain_weights), "1"))},
+{_dealt("lang", ["domain"], "domain_b", _case("lang", dict(mix.lang_weights), "1"))},
+{_dealt("source", ["domain", "lang"], "lang_b", _case("source", dict(mix.source_weights), "1"))}, leaf AS (
+  SELECT s.domain, s.lang, s.source, (b.budget // greatest(s.tokens, 1))::BIGINT AS whole,
+         (b.budget % greatest(s.tokens, 1))::BIGINT AS rest
+  FROM supply AS s JOIN source_b AS b ON s.domain IS NOT DISTINCT FROM b.domain
+    AND s.lang IS NOT DISTINCT FROM b.lang AND s.source IS NOT DISTINCT FROM b.source
+), placed AS (
+  SELECT d.*, whole, rest, {place} AS place
+  FROM docs AS d JOIN leaf AS l ON d.domain IS NOT DISTINCT FROM l.domain
+    AND d.lang IS NOT DISTINCT FROM l.lang AND d.source IS NOT DISTINCT FROM l.source
+), running AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place, coalesce(doc_id, {lowest})
+                                RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM placed
+), used AS (
+  SELECT *, whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS uses FROM running
+)
+SELECT doc_id, domain, lang, source, n_tokens, unnest(range(1, uses + 1)) AS epoch FROM used WHERE uses > 0"""
+
+
 def _suffix_dedup() -> str:
     return f"""
 WITH t AS (
@@ -116,6 +239,9 @@ SELECT doc_id, n_bytes, n_removed, n_spans, sha256(unhex(rest)) AS kept_sha256 F
 def llm_statements() -> dict[str, str]:
     return {
         "op1_warc_archives": _warc(),
+        "op3_exact_topk": _topk(),
+        "op4_license_scan": _licenses(),
         "op7_quality_rules": _quality(),
+        "op9_source_mix": _mixing(),
         "op10_suffix_dedup": _suffix_dedup(),
     }

@@ -24,7 +24,6 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
-from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -107,14 +106,15 @@ class DoubleArray:
     """A trie of byte strings in two arrays: the child of node s by byte c is t = base[s] + c + 1, if
     check[t] = s. `value` has the key's number, or -1."""
 
+    _STEP, _BACK = 256, 2048  # places tried at a time, and how far behind the frontier gaps are filled
+
     def __init__(self, keys: dict[bytes, int]):
         items = sorted(keys.items())
-        size = 1 << max(10, (sum(len(k) for k, _ in items) * 2).bit_length())
+        size = 1 << max(12, (sum(len(k) for k, _ in items) * 2).bit_length())
         base, check, value = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
-        free, last = np.ones(size, bool), 0
-        free[0] = False
-        check[0] = -2
-        first_free = 1
+        free = np.ones(size, bool)
+        free[0], check[0], frontier = False, -2, 0
+        tries = np.arange(self._STEP)[:, None]
         todo = [(0, 0, len(items), 0)]  # node, range of keys, depth
         while todo:
             node, low, high, depth = todo.pop()
@@ -130,19 +130,28 @@ class DoubleArray:
             if not children:
                 continue
             offsets = np.array([c for c, _, _ in children]) + 1
-            while not free[first_free]:
-                first_free += 1
-            begin = max(0, first_free - int(offsets[0]))
-            while not free[begin + offsets].all():
-                begin += 1
+            begin = max(0, frontier - self._BACK)
+            while True:
+                while begin + self._STEP + 257 > len(free):
+                    base, check, value, free = (
+                        np.concatenate([x, np.full(len(x), fill, x.dtype)])
+                        for x, fill in ((base, 0), (check, -1), (value, -1), (free, True))
+                    )
+                fits = free[begin + tries + offsets].all(1)
+                if fits.any():
+                    begin += int(fits.argmax())
+                    break
+                begin += self._STEP
             base[node] = begin
             slots = begin + offsets
             check[slots], free[slots] = node, False
-            last = max(last, int(slots[-1]))
+            frontier = max(frontier, int(slots[-1]))
             for slot, (_, a, b) in zip(slots.tolist(), children):
                 todo.append((slot, a, b, depth + 1))
-        used = last + 258
-        self.base, self.check, self.value = base[:used], check[:used], value[:used]
+        used = frontier + 258
+        self.base, self.check, self.value = (
+            np.concatenate([x[:used], np.full(max(0, used - len(x)), -1, np.int32)]) for x in (base, check, value)
+        )
 
     def matches(self, data: np.ndarray, starts: np.ndarray, limits: np.ndarray):
         """All keys that begin at any of the starts and end by its limit: (start, end, value)."""
@@ -165,7 +174,7 @@ class DoubleArray:
 
 
 class Codec:
-    """Encodes and decodes texts with one model. Made in each Python worker."""
+    """Encodes and decodes texts with one model. Its size is that of the vocabulary, so it is broadcast."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -279,14 +288,9 @@ class Codec:
         return joined.removeprefix(b" ").decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
-def _codec(file: bytes) -> Codec:
-    return Codec(read_model(file))
-
-
-def _columns(file, check: bool):
+def _columns(shared, check: bool):
     def run(batches):
-        codec = _codec(file.value)
+        codec: Codec = shared.value
         fallback = np.zeros(len(codec.model.pieces), bool)
         fallback[codec.byte_ids[codec.byte_ids >= 0]] = True
         for batch in batches:
@@ -325,8 +329,8 @@ def encode_column(
     """
     spark = docs.sparkSession
     prepare(spark)
-    file = spark.sparkContext.broadcast(Path(model_file).read_bytes())
+    codec = spark.sparkContext.broadcast(Codec(read_model(Path(model_file).read_bytes())))
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], whole_text(text_column).alias("__text"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     added = "n_tokens long, n_byte_tokens long, ids array<int>, round_trip boolean"
-    return rows.mapInArrow(_columns(file, check), f"{kept}, {added}" if kept else added)
+    return rows.mapInArrow(_columns(codec, check), f"{kept}, {added}" if kept else added)

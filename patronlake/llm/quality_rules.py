@@ -140,5 +140,11 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_column: str = "
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The documents that pass, with their own columns."""
-    return judge(docs, rules).filter("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that pass, with their own columns.
+
+    The row number keeps the filter above the projections: below them it would hold each count's whole
+    expression once for every use.
+    """
+    judged = judge(docs, rules).withColumn("__row", F.monotonically_increasing_id())
+    good = judged.filter(F.col("__kept") & (F.col("__row") >= 0))
+    return good.select(*[F.col(f"`{c}`") for c in docs.columns])

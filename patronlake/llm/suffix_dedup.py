@@ -24,11 +24,13 @@ are kept; an empty table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patronlake.llm import anchors
 from patronlake.llm.shared import Workspace, prepare, required, text_bytes
@@ -40,14 +42,17 @@ NO_ID = (1 << 63) - 1
 ENTRY, REMOVED, EDGE, HOT_EDGE = 0, 1, 2, 3
 FRESH, MERGING, SCANNED = 0, 1, 2
 
-_ENTRY = "prefix long, group int, body long, context int, doc long"
+_ENTRY = "prefix long, near long, body long, doc long, bucket int"
 _ROW = f"{_ENTRY}, origin int"
 _FOUND = f"{_ENTRY}, kind int"
+_ORDER = ("prefix", "near", "body", "doc")
 _NO_SIDE = 0xFFFF
+BUCKET_BYTES = 16 * 1024**2  # of text to a bucket of an array
+MAX_BUCKETS = 1 << 16
 
 
-def _contexts(s: anchors.Segments) -> np.ndarray:
-    """16-bit hashes of the 17 bytes after and before the anchor's 16.
+def _near(s: anchors.Segments) -> np.ndarray:
+    """The group, and 16-bit hashes of the 17 bytes after and before the anchor's 16, in one number.
 
     A window that two segments share reaches at least 17 bytes to one side of the anchor, so segments
     with neither side equal share none. A side that no window reaches is marked with `_NO_SIDE`.
@@ -64,31 +69,37 @@ def _contexts(s: anchors.Segments) -> np.ndarray:
     eights = np.ndarray((n + 1,), "<u8", s.buffer, 0, (1,))
     right = np.where(s.end - s.anchor >= anchors.ANCHOR + 17, side(16, 24, 25), _NO_SIDE)
     left = np.where(s.anchor - s.start >= 17, side(-17, -9, -8), _NO_SIDE)
-    return (right << 16 | left).astype(np.uint32).view(np.int32)
+    return s.group.astype(np.int64) << 32 | right << 16 | left
 
 
-def _entries(batches):
+def _bucket(prefix: np.ndarray, near: np.ndarray, buckets: int) -> np.ndarray:
+    """Rows of one anchor are in one bucket, whatever their sides."""
+    mixed = anchors._mixed(prefix.view(np.uint64) * anchors._M2 + (near.view(np.uint64) >> np.uint64(32)))
+    return (mixed % np.uint64(buckets)).astype(np.int32)
+
+
+def _entries(buckets: int):
     """Anchors of whole texts, one row per document and distinct segment."""
-    for batch in batches:
-        docs = np.asarray(batch.column(0), dtype=np.int64)
-        texts = batch.column(1).to_pylist()
-        for s in anchors.scan(texts):
-            if not len(s.doc):
-                continue
-            # repeats inside a document: sorted by document and segment, first of each
-            order = np.lexsort((s.body, s.doc))
-            d, b = s.doc[order], s.body[order]
-            first = np.ones(len(order), bool)
-            first[1:] = (d[1:] != d[:-1]) | (b[1:] != b[:-1])
-            keep = order[first]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(s.prefix[keep]), pa.array(s.group[keep]), pa.array(s.body[keep]),
-                    pa.array(_contexts(s)[keep]), pa.array(docs[s.doc[keep]]),
-                    pa.array(np.full(len(keep), FRESH, np.int32)),
-                ],
-                names=["prefix", "group", "body", "context", "doc", "origin"],
-            )
+
+    def run(batches):
+        for batch in batches:
+            docs = np.asarray(batch.column(0), dtype=np.int64)
+            for s in anchors.scan(batch.column(1).to_pylist()):
+                if not len(s.doc):
+                    continue
+                # repeats inside a document: sorted by document and segment, first of each
+                order = np.lexsort((s.body, s.doc))
+                keep = order[_changes(s.doc[order], s.body[order])]
+                prefix, near = s.prefix[keep], _near(s)[keep]
+                columns = (
+                    prefix, near, s.body[keep], docs[s.doc[keep]], _bucket(prefix, near, buckets),
+                    np.full(len(keep), FRESH, np.int32),
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in columns], names=[*_ORDER, "bucket", "origin"]
+                )
+
+    return run
 
 
 def _changes(*columns) -> np.ndarray:
@@ -115,9 +126,9 @@ def _shared(keys: np.ndarray, side: np.ndarray, fresh: np.ndarray) -> np.ndarray
 
 def _scan_part(rows: list[np.ndarray], hot: bool, keep_level: bool, skip: int):
     """Findings in whole runs of sorted rows. The first `skip` rows were reported before."""
-    prefix, group, body, context, doc, origin = rows
-    key_new = _changes(prefix, group)
-    seg_new = key_new | _changes(body)
+    prefix, near, body, doc, bucket, origin = rows
+    key_new = _changes(prefix, near >> 32)
+    seg_new = key_new | _changes(near, body)
     index = np.arange(len(prefix))
     head = np.maximum.accumulate(np.where(seg_new, index, 0))
     fresh = origin == FRESH
@@ -126,7 +137,7 @@ def _scan_part(rows: list[np.ndarray], hot: bool, keep_level: bool, skip: int):
     def emit(kind, mask):
         mask = mask & (index >= skip)
         if mask.any():
-            columns = [prefix[mask], group[mask], body[mask], context[mask], doc[mask]]
+            columns = [prefix[mask], near[mask], body[mask], doc[mask], bucket[mask]]
             out.append((*columns, np.full(int(mask.sum()), kind, np.int32)))
 
     emit(REMOVED, (doc > doc[head]) & (fresh | fresh[head]))
@@ -148,108 +159,146 @@ def _scan_part(rows: list[np.ndarray], hot: bool, keep_level: bool, skip: int):
         keys = np.cumsum(key_new)[segs]
         # a segment counts as new if any of its rows is
         seg_fresh = np.maximum.reduceat(fresh.astype(np.int8), segs).astype(bool)
-        sides = context[segs].view(np.uint32).astype(np.int64)
-        mask[segs] = _shared(keys, sides >> 16, seg_fresh) | _shared(keys, sides & 0xFFFF, seg_fresh)
+        sides = near[segs]
+        mask[segs] = _shared(keys, sides >> 16 & 0xFFFF, seg_fresh) | _shared(keys, sides & 0xFFFF, seg_fresh)
         emit(EDGE, mask)
     return out
 
 
 def _scan(keep_level: bool, hot_rows: int):
-    """Streams through rows sorted by (prefix, group, body, doc)."""
+    """Streams through a bucket's rows, sorted by (prefix, near, body, doc).
 
-    def run(batches):
-        names = ["prefix", "group", "body", "context", "doc", "kind"]
-        held: list[np.ndarray] | None = None
-        hot_key, skip = None, 0
+    Rows come sorted, as the plan moves none after sorting them; should a plan do otherwise, the bucket
+    is sorted here. Rows of one anchor stand together but for their sides, which sort between group and
+    body, so equal segments are neighbours.
+    """
+    names = [*_ORDER, "bucket", "kind"]
 
-        def flush(rows, hot, skip):
-            for columns in _scan_part(rows, hot, keep_level, skip):
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+    def flush(rows, hot, skip):
+        for columns in _scan_part(rows, hot, keep_level, skip):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
-        for batch in batches:
-            rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if not len(rows[0]):
-                continue
+    def last_head(rows):
+        """The first row of the last segment, which stands for it in what follows."""
+        head = int(np.flatnonzero(_changes(*rows[:3]))[-1])
+        return [c[head : head + 1] for c in rows]
+
+    def run(batches):
+        held, hot_key, skip = None, None, 0
+        for rows in _sorted_parts(batches):
             held = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
             if len(held[0]) < min(1 << 16, hot_rows):
                 continue
             if hot_key is not None:
-                # rows of the hot anchor first, then back to whole runs
-                same = (held[0] == hot_key[0]) & (held[1] == hot_key[1])
-                n = int(same.sum())
+                # the rest of the hot anchor first, then back to whole runs
+                n = int(((held[0] == hot_key[0]) & (held[1] >> 32 == hot_key[1])).sum())
                 yield from flush([c[:n] for c in held], True, skip)
-                if n < len(held[0]):
-                    held, hot_key, skip = [c[n:] for c in held], None, 0
-                else:
-                    head = int(np.flatnonzero(_changes(held[2]))[-1])
-                    held, skip = [c[head : head + 1] for c in held], 1
+                if n == len(held[0]):
+                    held, skip = last_head(held), 1
                     continue
-            last = int(np.flatnonzero(_changes(held[0], held[1]))[-1])
+                held, hot_key, skip = [c[n:] for c in held], None, 0
+            last = int(np.flatnonzero(_changes(held[0], held[1] >> 32))[-1])
             if last:
                 yield from flush([c[:last] for c in held], False, 0)
                 held = [c[last:] for c in held]
             if len(held[0]) > hot_rows:
-                hot_key = (held[0][0], held[1][0])
+                hot_key = (held[0][0], held[1][0] >> 32)
                 yield from flush(held, True, 0)
-                head = int(np.flatnonzero(_changes(held[2]))[-1])
-                held, skip = [c[head : head + 1] for c in held], 1
-        if held is not None and len(held[0]):
-            if hot_key is not None:
-                same = (held[0] == hot_key[0]) & (held[1] == hot_key[1])
-                n = int(same.sum())
-                yield from flush([c[:n] for c in held], True, skip)
-                held = [c[n:] for c in held]
-            if len(held[0]):
-                yield from flush(held, False, 0)
+                held, skip = last_head(held), 1
+        if held is None:
+            return
+        if hot_key is not None:
+            n = int(((held[0] == hot_key[0]) & (held[1] >> 32 == hot_key[1])).sum())
+            yield from flush([c[:n] for c in held], True, skip)
+            held = [c[n:] for c in held]
+        if len(held[0]):
+            yield from flush(held, False, 0)
 
     return run
 
 
+def _sorted_parts(batches):
+    last, parts = None, []
+    for batch in batches:
+        rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not len(rows[0]):
+            continue
+        if not parts:
+            ascends = bool((rows[0][1:] >= rows[0][:-1]).all()) and (last is None or rows[0][0] >= last)
+            if ascends:
+                last = rows[0][-1]
+                yield rows
+                continue
+            if last is not None:
+                raise RuntimeError("rows of a bucket are neither sorted nor unsorted from the start")
+        parts.append(rows)
+    if parts:
+        rows = [np.concatenate(x) for x in zip(*parts)]
+        order = np.lexsort(rows[3::-1])
+        yield [c[order] for c in rows]
+
+
 class SuffixFamily:
-    """Levels of suffix arrays. `add` reports what a batch has in common with all batches before."""
+    """Levels of suffix arrays. `add` reports what a batch has in common with all batches before.
 
-    def __init__(self, spark: SparkSession, space: Workspace, hot_rows: int = HOT_ROWS):
-        self.spark, self.space, self.hot_rows = spark, space, hot_rows
-        self.levels: list[tuple[int, str, DataFrame]] = []  # (rank, table, rows), largest first
+    A level is a table in `buckets` buckets. A batch's rows are shuffled into as many partitions, and
+    the levels are read bucket by bucket: no level is shuffled again, for scans or for merges.
+    """
+
+    def __init__(self, spark: SparkSession, space: Workspace, buckets: int, hot_rows: int = HOT_ROWS):
+        self.spark, self.space, self.buckets, self.hot_rows = spark, space, buckets, hot_rows
+        self.levels: list[tuple[int, str]] = []  # (rank, name), largest first
         self._batch = 0
 
+    def _table(self, name: str) -> str:
+        return f"{self.space.name}_{name}"
+
     def add(self, docs: DataFrame, last: bool = False) -> DataFrame:
         """Scans a batch (doc long, bytes binary) against all levels; rows (doc, body, kind) found.
 
         `last` writes no level: for a family that is thrown away after this batch.
         """
-        entries = docs.mapInArrow(_entries, _ROW)
-        merging, rank = [], 0
-        for level in reversed(self.levels):
+        merging = []
+        for rank, level in enumerate(reversed(self.levels)):
             if level[0] != rank:
                 break
             merging.append(level)
-            rank += 1
-        rows = entries
+        rows = docs.mapInArrow(_entries(self.buckets), _ROW).repartition(self.buckets, "bucket")
         for level in self.levels:
-            origin = MERGING if level in merging else SCANNED
-            rows = rows.unionByName(level[2].withColumn("origin", F.lit(origin)))
-        name = f"batch-{self._batch}"
+            origin = F.lit(MERGING if level in merging else SCANNED).alias("origin")
+            stored = self.spark.table(self._table(level[1])).filter(F.col("kind") == ENTRY)
+            rows = rows.union(stored.select(*_ORDER, "bucket", origin))
+        name = f"batch{self._batch}"
         self._batch += 1
-        found = self.space.put(
-            name,
-            rows.repartition("prefix", "group")
-            .sortWithinPartitions("prefix", "group", "body", "doc")
-            .mapInArrow(_scan(not last, self.hot_rows), _FOUND),
-            by="kind",
+        ordered = rows.sortWithinPartitions("bucket", *_ORDER)
+        scan = _scan(not last, self.hot_rows)
+
+        def of_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from scan(batches)
+
+        (
+            ordered.groupBy("bucket").applyInArrow(of_bucket, _FOUND).write
+            .partitionBy("kind").bucketBy(self.buckets, "bucket").sortBy(*_ORDER)
+            .option("compression", "zstd").option("path", self.space.path(name)).saveAsTable(self._table(name))
         )
         for level in merging:
             self.levels.remove(level)
-            self.space.drop(f"{level[1]}/kind={ENTRY}")
+            self._forget(level[1])
         if not last:
-            level = found.filter(F.col("kind") == ENTRY).drop("kind")
-            self.levels.append((rank, name, level))
-        self.space.release()
-        return found.filter(F.col("kind") != ENTRY).select("prefix", "group", "body", "doc", "kind")
-
-    def drop_levels(self) -> None:
-        for _, name, _ in self.levels:
-            self.space.drop(f"{name}/kind={ENTRY}")
+            self.levels.append((len(merging), name))
+        schema = T.StructType.fromDDL(_FOUND)
+        found = self.space.get(name, schema).filter(F.col("kind") != ENTRY)
+        return found.select("doc", "body", "kind")
+
+    def _forget(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE {self._table(name)}")
+        self.space.drop(f"{name}/kind={ENTRY}")
+
+    def close(self) -> None:
+        """Drops the levels; what was reported stays."""
+        for i in range(self._batch):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(f'batch{i}')}")
+            self.space.drop(f"batch{i}/kind={ENTRY}")
         self.levels = []
 
 
@@ -443,13 +492,17 @@ def lost_segments(docs: DataFrame, keyed: DataFrame, batches: int = BATCHES, hot
     """
     spark = docs.sparkSession
     space = Workspace(spark, "suffix")
-    family = SuffixFamily(spark, space, hot_rows)
+    size = keyed.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(MAX_BUCKETS, max(parts, -(-size // BUCKET_BYTES)))
+    family = SuffixFamily(spark, space, buckets, hot_rows)
     bounds = _batch_bounds(keyed, batches)
     found = None
     for i, condition in enumerate(bounds):
         report = family.add(keyed.filter(condition), last=i == len(bounds) - 1)
         found = report if found is None else found.unionByName(report)
-    family.drop_levels()
+        space.release()
+    family.close()
     removed = found.filter(F.col("kind") == REMOVED).select("doc", "body", F.lit(-1).cast("long").alias("mask"))
     edges = (
         found.filter(F.col("kind") != REMOVED)
@@ -520,6 +573,51 @@ def dedup_passages(
     )
 
 
+def cut_documents(
+    docs: DataFrame, batches: int = BATCHES, hot_rows: int = HOT_ROWS,
+    id_column: str = "doc_id", text_column: str = "text", length_column: str = "n_chars",
+) -> DataFrame:
+    """The documents with their own columns and the text that is left; those left blank go.
+
+    A character that a cut goes through goes whole. The column of text lengths, if any, is set anew.
+    """
+    prepare(docs.sparkSession)
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_column]).alias("own")
+    keyed = docs.select(
+        F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(NO_ID)).alias("doc"),
+        text_bytes(text_column).alias("bytes"), own,
+    )
+    lost, _ = lost_segments(docs, keyed.select("doc", "bytes"), batches, hot_rows)
+    by_doc = lost.groupBy("doc").agg(F.collect_list(F.struct("body", "mask")).alias("lost"))
+    kind = keyed.schema["own"].dataType.simpleString()
+    cut = keyed.join(by_doc, "doc", "left").select("bytes", "lost", "own").mapInArrow(
+        _left_texts, f"own {kind}, text string"
+    ).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    columns = [
+        F.col("text").alias(c) if c == text_column
+        else F.length("text").cast(docs.schema[c].dataType).alias(c) if c == length_column
+        else F.col("own")[c].alias(c)
+        for c in docs.columns
+    ]
+    return cut.select(*columns)
+
+
+def _left_texts(batches):
+    for batch in batches:
+        texts = []
+        for text, lost in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            spans = removed_spans(text, _merged(lost))
+            texts.append(cut_bytes(text, spans).decode("utf-8", "ignore"))
+        yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(texts, pa.string())], names=["own", "text"])
+
+
+def _merged(lost) -> dict[int, int]:
+    masks: dict[int, int] = {}
+    for x in lost or ():
+        masks[x["body"]] = masks.get(x["body"], 0) | x["mask"]
+    return masks
+
+
 def cut_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The text without the given ascending spans."""
     if not spans:
@@ -535,10 +633,7 @@ def _cut_texts(with_text: bool):
         for batch in batches:
             found = [[], [], [], [], []]
             for text, lost in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                masks: dict[int, int] = {}
-                for x in lost or ():
-                    masks[x["body"]] = masks.get(x["body"], 0) | x["mask"]
-                spans = removed_spans(text, masks)
+                spans = removed_spans(text, _merged(lost))
                 kept = cut_bytes(text, spans)
                 values = (
                     len(text), len(text) - len(kept), len(spans),

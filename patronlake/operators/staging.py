@@ -17,6 +17,7 @@ from patronlake.functions import pseudonyms
 from patronlake.functions.stamps import NTZ, shift_text
 from patronlake.functions.text import email_fault, title_case
 from patronlake.functions.vocab import remap_or
+from patronlake.operators.products import clean_products
 from patronlake.operators.ranks import disc_rank, exact_order_statistics, index_rank
 from patronlake.operators.skew import spread_left_join
 from patronlake.operators.tickets import category_of_rating
@@ -78,20 +79,18 @@ def first_order(orders: DataFrame, customers: DataFrame) -> DataFrame:
 def order_payments(payments: DataFrame) -> DataFrame:
     """Per order: sum of readable payments, and the method of payment number 1. One pass.
 
-    The method travels as its position in the vocabulary: a number keeps the aggregation in the
-    hash path, which text would leave. Should an order have several first payments, the earliest
-    word of the vocabulary stands.
+    Of several first payments the last one of the file stands. The method travels as its position in
+    the vocabulary: a number keeps the aggregation in the hash path, which text would leave.
     """
     words = F.array(*[F.lit(w) for w in S.PAYMENT_METHODS])
     method = remap_or(F.col("payment_type"), S.PAYMENT_ALIASES, DEFAULT_PAYMENT)
-    position = F.when(
-        F.trim("payment_sequential") == FIRST_PAYMENT, F.array_position(words, method).cast("int")
-    )
+    first = F.col("payment_sequential") == FIRST_PAYMENT
+    position = F.array_position(words, method).cast("int")
     return (
         payments.groupBy("order_id")
         .agg(
             F.sum(F.col("payment_value").try_cast(_MONEY)).alias("paid"),
-            F.min(position).alias("position"),
+            F.max_by(position, F.when(first, F.col("file_row"))).alias("position"),
         )
         .select(
             "order_id",
@@ -158,20 +157,29 @@ def stage_order_items(items: DataFrame) -> DataFrame:
     )
 
 
-def stage_products(products: DataFrame, translations: DataFrame) -> DataFrame:
-    """Readable category and product name; a category without translation keeps its own word."""
-    usable = translations.filter(
-        F.trim("product_category_name_english") != ""
-    ).withColumnRenamed("product_category_name_english", "english")
+def stage_products(
+    products: DataFrame, translations: DataFrame, items: DataFrame | None = None
+) -> DataFrame:
+    """Readable category and product name; a category without translation keeps its own word.
+
+    Of several translations of a category the last one of the file stands. With ``items`` the cost
+    price comes too: unsold products cost 0. Products that share a category, or have none, are spread.
+    """
+    usable = (
+        translations.filter(F.trim("product_category_name_english") != "")
+        .groupBy("product_category_name")
+        .agg(F.max_by("product_category_name_english", "file_row").alias("english"))
+    )
     word = F.nullif(F.coalesce("english", "product_category_name"), F.lit(""))
     category = title_case(F.regexp_replace(word, "_", " "))
     number = (F.conv(F.left(F.md5("product_id"), F.lit(6)), 16, 10).cast("bigint") % 10_000)
     name = F.concat(
         F.coalesce(F.concat(category, F.lit(" Item #")), F.lit("Product #")), number.cast("string")
     )
-    return products.join(usable, "product_category_name", "left").select(
-        "product_id", name.alias("product_name"), category.alias("category")
-    )
+    named = spread_left_join(
+        products, usable, "product_category_name", salt_by="product_id"
+    ).select("product_id", name.alias("product_name"), category.alias("category"))
+    return named if items is None else clean_products(named, items)
 
 
 def payments_per_user(
@@ -255,6 +263,57 @@ def ticket_contact(reviews: DataFrame, orders: DataFrame, customers: DataFrame)
     )
 
 
+def stage_users(
+    customers: DataFrame, orders: DataFrame, payments: DataFrame, anchor: dt.datetime
+) -> DataFrame:
+    """The users table as the source system holds it.
+
+    Signed up with the first order; a person without any on a day of early 2017 to mid 2018 that
+    follows from the id. The parts are one row per person each, so joins are one row to one row.
+    """
+    person = F.col("customer_unique_id")
+    eight = F.conv(F.left(F.md5(person), F.lit(8)), 16, 10).cast("bigint")
+    day = F.date_add(F.lit("2017-01-01").cast("date"), (eight % 540).cast("int")).cast(NTZ)
+    joined = (
+        unique_customers(customers)
+        .join(first_order(orders, customers), person == F.col("user_id"), "left").drop("user_id")
+        .join(loyalty_by_payments(orders, payments, customers), person == F.col("user_id"), "left")
+    )
+    signed_up = F.left(F.coalesce("first_order_at", day).cast("string"), F.lit(19))
+    name = pseudonyms.full_name(person)
+    return joined.select(
+        person.alias("user_id"),
+        name.alias("full_name"),
+        pseudonyms.email(person, name).alias("email"),
+        pseudonyms.phone(person).alias("phone_number"),
+        "customer_city",
+        "customer_state",
+        "loyalty_tier",
+        shift_text(signed_up, anchor).alias("created_at"),
+    )
+
+
+def stage_tickets(
+    reviews: DataFrame, orders: DataFrame, customers: DataFrame, anchor: dt.datetime
+) -> DataFrame:
+    """Support tickets as the ticket tool exports them, reported when the review was created or, for
+    want of that, answered."""
+    score = F.coalesce(F.col("review_score").try_cast("int"), F.lit(DEFAULT_RATING))
+    rating = F.greatest(F.lit(1), F.least(F.lit(5), score))
+    given = [F.nullif(F.trim(c), F.lit("")) for c in ("review_creation_date", "review_answer_timestamp")]
+    answered = F.trim("review_answer_timestamp") != ""
+    owners = owned_orders(orders, customers).select("order_id", "user_id")
+    return spread_left_join(reviews, owners, "order_id", salt_by="review_id").select(
+        F.col("review_id").alias("Ticket_ID"),
+        F.col("order_id").alias("Order_ID"),
+        pseudonyms.email(F.col("user_id")).alias("Customer_Email"),
+        category_of_rating(rating).alias("Issue_Type"),
+        F.when(answered, "Resolved").otherwise("Open").alias("Status"),
+        rating.alias("Customer_Rating"),
+        shift_text(F.coalesce(*given), anchor).alias("Reported_Date"),
+    )
+
+
 def email_quality(tickets: DataFrame, column: str = "Customer_Email") -> DataFrame:
     fault = email_fault(F.col(column)).alias("email_class")
     return tickets.groupBy(fault).agg(F.count("*").alias("cnt"))

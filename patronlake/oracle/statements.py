@@ -139,21 +139,37 @@ FROM user_spend WHERE {where}"""
     statements["product_cost"] = "SELECT product_id, cost_price FROM product_cost"
     statements["order_agg_by_user"] = """SELECT user_id,
   CAST(ltv AS DECIMAL(28,2)) AS total_lifetime_value, orders AS total_orders_completed,
-  last_order AS last_order_date FROM order_agg"""
+  last_order AS last_order_at FROM order_agg WHERE user_id IS NOT NULL"""
     statements["abandoned_carts_by_user"] = (
-        "SELECT user_id, carts AS total_abandoned_carts FROM carts"
+        "SELECT user_id, carts AS total_abandoned_carts FROM carts WHERE user_id IS NOT NULL"
     )
     statements["last_event_by_user"] = (
-        "SELECT user_id, last_event AS last_event_date FROM last_events"
+        "SELECT user_id, last_event AS last_event_at FROM last_events WHERE user_id IS NOT NULL"
     )
     statements["complaints_by_user"] = (
-        "SELECT user_id, complaints AS total_cs_complaints FROM complaints"
+        "SELECT user_id, complaints AS total_cs_complaints FROM complaints WHERE user_id IS NOT NULL"
     )
+    faults = [
+        ("dim_users", "user_id", "created_at", "created_at", "text_users", "created_at = 'last spring'"),
+        ("dim_products", "product_id", "cost_price", "cost_price", "text_products", "cost_price = 'n/a'"),
+        ("fact_orders", "order_id", "total_amount", "total_amount", "text_orders", "total_amount = '12,50'"),
+        ("fact_orders", "order_id", "created_at", "created_at", "text_orders", "created_at = '31/12/1997'"),
+        ("fact_order_items", "order_id", "unit_price", "price", "text_order_items", "price = 'free'"),
+        ("fact_order_items", "order_id", "quantity", "quantity", "text_order_items", "quantity = '99999'"),
+        ("fact_events_log", "event_id", "timestamp", "timestamp", "text_events",
+         "event_type IN ('view_item','add_to_cart','cart_abandonment') AND \"timestamp\" NOT LIKE '%Z'"),
+        ("fact_events_log", "event_id", "time_spent_seconds", "time_spent_seconds", "text_events",
+         "event_type IN ('view_item','add_to_cart','cart_abandonment') "
+         "AND time_spent_seconds IN ('abc', '99999999999')"),
+    ]
     statements["quarantine"] = r"""SELECT 'fact_cs_tickets' AS table_name,
   r."Ticket_ID" AS row_key, 'customer_email' AS column_name,
   r."Customer_Email" AS raw_value, 'unreadable value' AS reason
 FROM raw_tickets r JOIN fact_cs_tickets f ON r."Ticket_ID" = f.ticket_id
-WHERE r."Customer_Email" IS NOT NULL AND f.customer_email IS NULL"""
+WHERE r."Customer_Email" IS NOT NULL AND f.customer_email IS NULL""" + "".join(
+        f""" UNION ALL SELECT '{table}', {key}, '{column}', "{source}", 'unreadable value'
+FROM {shape} WHERE {bad}""" for table, key, column, source, shape, bad in faults
+    )
     statements["remap_drift"] = """SELECT 'fact_orders' AS table_name,
   'order_status' AS column_name, count(*) FILTER (r.order_status IS NOT NULL
     AND f.order_status IS NULL) AS unmapped
@@ -203,6 +219,10 @@ ORDER BY "timestamp", event_id LIMIT {P.EVENTS_LIMIT} OFFSET {P.EVENTS_OFFSET}""
     page["stream_clean_events"] = f"SELECT {columns} FROM fact_events_log"
     page["stream_events_by_day"] = """SELECT CAST("timestamp" AS DATE) AS day, event_type,
   count(*) AS cnt FROM fact_events_log GROUP BY ALL"""
+    page["stream_deduplicated"] = page["stream_clean_events"]
+    page["new_events"] = f"""SELECT {columns} FROM fact_events_log WHERE "timestamp" >= (SELECT
+  coalesce(max("timestamp"), TIMESTAMP '0001-01-01') FROM fact_events_log WHERE NOT {since})"""
+    page["load_rejects"] = "SELECT * FROM fact_orders WHERE order_status IS NULL"
     page["customer_360_upsert"] = """SELECT c.* REPLACE (CASE WHEN c.total_orders_completed > 0
   THEN v.loyalty_tier ELSE c.loyalty_tier END AS loyalty_tier)
 FROM customer_360 c LEFT JOIN dim_users_validated v ON c.user_id = v.user_id"""
@@ -325,6 +345,42 @@ FROM mk_items""",
 FROM (SELECT DISTINCT customer_unique_id AS user_id FROM mk_customers)
 LEFT JOIN payments_per_user USING (user_id)""",
         "stg_product_name": "SELECT product_id, product_name, category FROM staged_products",
+        "stg_products": """SELECT product_id, product_name, category,
+  coalesce(cost_price, CAST(0 AS DECIMAL(10,2))) AS cost_price
+FROM staged_products LEFT JOIN (SELECT product_id, CAST(CAST((14 * CAST(sum(p) * 100 AS HUGEINT)
+    + 10 * count(p)) // (20 * count(p)) AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS cost_price
+  FROM (SELECT product_id, coalesce(TRY_CAST(price AS DECIMAL(12,2)), 0) AS p FROM mk_items)
+  GROUP BY product_id) USING (product_id)""",
+        "stg_users": f"""SELECT user_id, {', '.join(f'{e} AS {n}' for n, e in names.items())},
+  customer_city, customer_state, loyalty_tier,
+  strftime(coalesce(first_order_at, TIMESTAMP '2017-01-01' + to_days(CAST(
+    CAST('0x' || left(md5(user_id), 8) AS BIGINT) % 540 AS INTEGER)))
+    + INTERVAL {{days}} DAY + INTERVAL {{seconds}} SECOND, '%Y-%m-%d %H:%M:%S') AS created_at
+FROM (SELECT customer_unique_id AS user_id, arg_min(customer_city, file_row) AS customer_city,
+    arg_min(customer_state, file_row) AS customer_state FROM mk_customers GROUP BY 1)
+LEFT JOIN (SELECT user_id, min(TRY_CAST(replace(order_purchase_timestamp, 'Z', '') AS TIMESTAMP))
+    AS first_order_at FROM owned_orders WHERE known_customer GROUP BY user_id) USING (user_id)
+LEFT JOIN (SELECT user_id, CASE WHEN total_spend <= 0 THEN NULL
+    WHEN total_spend >= (SELECT total_spend FROM spend_ranks
+      WHERE idx = floor(n * CAST(0.95 AS DOUBLE))) THEN 'Platinum'
+    WHEN total_spend >= (SELECT total_spend FROM spend_ranks
+      WHERE idx = floor(n * CAST(0.85 AS DOUBLE))) THEN 'Gold'
+    WHEN total_spend >= (SELECT total_spend FROM spend_ranks
+      WHERE idx = floor(n * CAST(0.65 AS DOUBLE))) THEN 'Silver'
+    ELSE 'Bronze' END AS loyalty_tier FROM payments_per_user) USING (user_id)""",
+        "stg_tickets": f"""SELECT review_id AS "Ticket_ID", order_id AS "Order_ID",
+  CASE WHEN user_id IS NOT NULL THEN {names['email']} END AS "Customer_Email",
+  CASE WHEN rating <= 2 THEN 'Product Issue' WHEN rating = 3 THEN 'General Inquiry'
+    ELSE 'Positive Feedback' END AS "Issue_Type",
+  CASE WHEN trim(review_answer_timestamp) <> '' THEN 'Resolved' ELSE 'Open' END AS "Status",
+  rating AS "Customer_Rating",
+  CASE WHEN length(reported) = 10 THEN strftime(CAST(reported AS TIMESTAMP) + INTERVAL {{days}} DAY
+      + INTERVAL {{seconds}} SECOND, '%Y-%m-%d')
+    ELSE strftime(CAST(reported AS TIMESTAMP) + INTERVAL {{days}} DAY
+      + INTERVAL {{seconds}} SECOND, '%Y-%m-%d %H:%M:%S') END AS "Reported_Date"
+FROM (SELECT *, greatest(1, least(5, coalesce(TRY_CAST(review_score AS INTEGER), 3))) AS rating,
+    coalesce(nullif(trim(review_creation_date), ''), nullif(trim(review_answer_timestamp), '')) AS reported
+  FROM mk_reviews) LEFT JOIN owned_orders USING (order_id)""",
         "stg_shift_dates": "SELECT order_id, created_at FROM shifted",
         "pseudonymise": f"""SELECT user_id, {', '.join(f'{e} AS {n}' for n, e in names.items())}
 FROM (SELECT DISTINCT customer_unique_id AS user_id FROM mk_customers)""",
@@ -349,5 +405,8 @@ def oracle_statements() -> dict[str, str]:
     over_clean = {**_clean_layer(), **_serving(), **_feeds(), **_quality()}
     return {
         **{key: clean + sql for key, sql in over_clean.items()},
-        **{key: market + sql for key, sql in _staging().items()},
+        **{
+            key: market + sql.replace("{days}", str(shift.days)).replace("{seconds}", str(shift.seconds))
+            for key, sql in _staging().items()
+        },
     }

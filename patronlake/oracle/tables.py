@@ -157,8 +157,9 @@ _TITLE = (
 
 MARKET = {
     "translations": f"""
-SELECT product_category_name, min(product_category_name_english) AS english
-FROM ({_shape('part', shapes.MARKET_TRANSLATIONS)}) GROUP BY product_category_name""",
+SELECT product_category_name, arg_max(product_category_name_english, file_row) AS english
+FROM ({_shape('part', shapes.MARKET_TRANSLATIONS)})
+WHERE trim(product_category_name_english) <> '' GROUP BY product_category_name""",
     "owned_orders": """
 SELECT o.*, c.customer_unique_id IS NOT NULL AS known_customer,
   coalesce(c.customer_unique_id, o.customer_id) AS user_id
@@ -167,9 +168,10 @@ FROM mk_orders o LEFT JOIN mk_customers c ON o.customer_id = c.customer_id""",
 SELECT order_id, CAST(sum(TRY_CAST(payment_value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS paid
 FROM mk_payments GROUP BY order_id""",
     "first_payment": """
-SELECT order_id, ['Credit Card','Bank Slip','Voucher','Debit Card'][min(CASE payment_type
-  WHEN 'boleto' THEN 2 WHEN 'voucher' THEN 3 WHEN 'debit_card' THEN 4 ELSE 1 END)] AS method
-FROM mk_payments WHERE payment_sequential = '1' GROUP BY order_id""",
+SELECT order_id, CASE payment_type WHEN 'boleto' THEN 'Bank Slip' WHEN 'voucher' THEN 'Voucher'
+  WHEN 'debit_card' THEN 'Debit Card' ELSE 'Credit Card' END AS method
+FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY file_row DESC) AS nth
+  FROM mk_payments WHERE payment_sequential = '1') WHERE nth = 1""",
     "payments_per_user": """
 SELECT user_id, sum(paid) AS total_spend FROM owned_orders JOIN paid USING (order_id)
 WHERE known_customer AND paid IS NOT NULL GROUP BY user_id""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import lru_cache, reduce
 
@@ -12,11 +13,11 @@ from patronlake import parameters as P
 from patronlake import schemas as S
 from patronlake.functions.periods import yyyymm
 from patronlake.operators import cleaning, events, orders, quality, staging, tickets, users, wide
-from patronlake.operators.products import cost_prices
+from patronlake.operators.products import cost_prices, products_plan
 from patronlake.plans import serving
 from patronlake.sources.landing import ingest_counts
 from patronlake.sources.shapes import RAW_SHAPES
-from patronlake.sources.tables import newest_by_key
+from patronlake.sources.tables import Warehouse, newest_by_key
 from patronlake.sources.bench_tables import BenchStar
 from patronlake.streaming import feed
 from patronlake.streaming.scratch import scratch_folder
@@ -38,20 +39,26 @@ def _tables() -> dict[str, Query]:
             users.user_spend(t.raw_orders), relative_error=0.01
         ),
         "product_cost": lambda t: cost_prices(t.raw_order_items),
-        "order_agg_by_user": lambda t: wide.order_agg_by_user(t.fact_orders),
-        "abandoned_carts_by_user": lambda t: wide.abandoned_carts_by_user(t.fact_events_log),
-        "last_event_by_user": lambda t: wide.last_event_by_user(t.fact_events_log),
-        "complaints_by_user": lambda t: wide.complaints_by_user(t.fact_cs_tickets, t.fact_orders),
+        "order_agg_by_user": lambda t: wide.purchases_by_user(_activity(t)),
+        "abandoned_carts_by_user": lambda t: wide.carts_by_user(_activity(t)),
+        "last_event_by_user": lambda t: wide.last_seen_by_user(_activity(t)),
+        "complaints_by_user": lambda t: wide.complaints_by_user(_activity(t)),
         "quarantine": _quarantine,
         "remap_drift": _remap_drift,
     }
 
 
+def _activity(t: BenchStar) -> DataFrame:
+    return wide.user_activity(t.fact_orders, t.fact_events_log, t.fact_cs_tickets)
+
+
 def _quarantine(t: BenchStar) -> DataFrame:
     plans = [
-        (t.raw_orders, orders.orders_plan),
-        (t.raw_order_items, orders.order_items_plan),
-        (t.raw_events, events.events_plan),
+        (t.raw("text_users"), users.users_plan),
+        (t.raw("text_products"), lambda _: products_plan()),
+        (t.raw("text_orders"), orders.orders_plan),
+        (t.raw("text_order_items"), orders.order_items_plan),
+        (t.raw("text_events"), events.events_plan),
         (t.raw_tickets, tickets.tickets_plan),
     ]
     return reduce(
@@ -86,6 +93,28 @@ def _stream_clean(t: BenchStar) -> DataFrame:
     return t.spark.read.schema(cleaned.schema).parquet(f"{folder}/events")
 
 
+def _stream_deduplicated(t: BenchStar) -> DataFrame:
+    """The feed posted twice, as a client that retries would."""
+    folder = scratch_folder(t.spark)
+    cleaned = feed.clean_event_stream(_event_stream(t))
+    once = feed.deduplicated(cleaned.unionByName(feed.clean_event_stream(_event_stream(t))), "36500 days")
+    feed.write_events(once, f"{folder}/events", f"{folder}/checkpoint").awaitTermination()
+    return t.spark.read.schema(once.schema).parquet(f"{folder}/events").select(*cleaned.columns)
+
+
+def _new_events(t: BenchStar) -> DataFrame:
+    """What a pull brings after all events before the parameter's stamp were loaded."""
+    loaded = t.fact_events_log.filter(F.col("timestamp") < F.lit(P.EVENTS_SINCE).cast("timestamp_ntz"))
+    return feed.new_events(t.fact_events_log, loaded)
+
+
+def _load_rejects(t: BenchStar) -> DataFrame:
+    """Rows that a load sets apart: orders of unknown status."""
+    warehouse = Warehouse(t.spark, f"rejects_{uuid.uuid4().hex}")
+    warehouse.load(t.fact_orders, S.TABLES["fact_orders"], on_null="quarantine")
+    return warehouse.rejects("fact_orders")
+
+
 def _stream_days(t: BenchStar) -> DataFrame:
     folder = scratch_folder(t.spark)
     counts = feed.counts_by_day(feed.clean_event_stream(_event_stream(t)), "1 day")
@@ -123,6 +152,9 @@ def _feeds() -> dict[str, Query]:
         "customer_360_upsert": _upsert,
         "stream_clean_events": _stream_clean,
         "stream_events_by_day": _stream_days,
+        "stream_deduplicated": _stream_deduplicated,
+        "new_events": _new_events,
+        "load_rejects": _load_rejects,
     }
 
 
@@ -195,6 +227,15 @@ def _staging() -> dict[str, Query]:
         "stg_product_name": lambda t: staging.stage_products(
             t.market("mk_products"), t.translations()
         ),
+        "stg_products": lambda t: staging.stage_products(
+            t.market("mk_products"), t.translations(), staging.stage_order_items(t.market("mk_items"))
+        ),
+        "stg_users": lambda t: staging.stage_users(
+            *sources(t, "customers", "orders", "payments"), P.SHIFT_ANCHOR
+        ),
+        "stg_tickets": lambda t: staging.stage_tickets(
+            *sources(t, "reviews", "orders", "customers"), P.SHIFT_ANCHOR
+        ),
         "stg_shift_dates": lambda t: staging.shifted_dates(t.market("mk_orders"), P.SHIFT_ANCHOR),
         "pseudonymise": lambda t: staging.pseudonymise(people(t)),
         "stg_ticket_status": lambda t: staging.ticket_status(t.market("mk_reviews")),

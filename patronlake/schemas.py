@@ -193,7 +193,7 @@ CLICKSTREAM_JSON = _schema(
     ("event_type", _STR, True),
     ("product_id", _STR, True),
     ("device_os", _STR, True),
-    ("time_spent_seconds", _INT, True),
+    ("time_spent_seconds", _STR, True),
 )
 TICKET_CSV = _schema(
     ("Ticket_ID", _STR, True),

@@ -51,13 +51,8 @@ class BenchStar:
         return self.shape(*shapes.MARKET_SHAPES[name])
 
     def translations(self) -> DataFrame:
-        """One row per category; some categories have no translation."""
-        return (
-            self.source("part")
-            .selectExpr(*[f"{e} AS {n}" for n, e in shapes.MARKET_TRANSLATIONS.items()])
-            .groupBy("product_category_name")
-            .agg(F.min("product_category_name_english").alias("product_category_name_english"))
-        )
+        """Several rows to a category; some categories have no translation."""
+        return self.shape("part", shapes.MARKET_TRANSLATIONS)
 
     @cached_property
     def raw_users(self) -> DataFrame:

@@ -11,38 +11,51 @@ from pyspark.sql import types as T
 
 from patronlake import schemas as S
 
-JDBC_TABLES = {"users": "user_id", "products": "product_id", "orders": "order_id", "order_items": "item_id"}
+JDBC_TABLES = ("users", "products", "orders", "order_items")
 CORRUPT = "_corrupt_record"
 
 
-def jdbc_predicates(key: str, parts: int) -> list[str]:
-    """One WHERE clause per partition: every row, NULL keys included, meets exactly one.
+def jdbc_predicates(pages: int, parts: int) -> list[str]:
+    """One WHERE clause per partition, by physical page: the server reads just those pages.
 
-    Keys are text, so they are split by hash; ranges of text would not be even.
+    ``pages`` is the table's size in pages as the catalog has it (``relpages``), which may lag: the
+    last clause is open above, so every row meets exactly one clause whatever the true size is.
     """
     if parts < 1:
         raise ValueError("parts must be at least 1")
-    bucket = f"mod(abs(hashtext({key})::bigint), {parts})"
-    clauses = [f"{bucket} = {i}" for i in range(parts)]
-    clauses[0] = f"({clauses[0]} OR {key} IS NULL)"
-    return clauses
+    parts = min(parts, max(1, pages))
+    edges = [pages * i // parts for i in range(1, parts)]
+    lower = ["", *(f"ctid >= '({e},0)'::tid" for e in edges)]
+    upper = [*(f"ctid < '({e},0)'::tid" for e in edges), ""]
+    return [" AND ".join(filter(None, both)) or "TRUE" for both in zip(lower, upper)]
 
 
 def jdbc_properties(user: str, password: str, fetch_rows: int = 10_000) -> dict[str, str]:
-    """A fetch size makes PostgreSQL stream; without one the driver buffers the whole result."""
+    """A fetch size makes PostgreSQL stream; without one the driver buffers the whole result.
+
+    Stamps without zone stay without zone: read as instants they would move with the session zone.
+    """
     return {
         "driver": "org.postgresql.Driver",
         "user": user,
         "password": password,
         "fetchsize": str(fetch_rows),
+        "preferTimestampNTZ": "true",
     }
 
 
 def read_jdbc(
     spark: SparkSession, url: str, table: str, properties: Mapping[str, str], parts: int = 64
 ) -> DataFrame:
+    if table not in JDBC_TABLES:
+        raise ValueError(f"{table!r} is none of the source's tables {JDBC_TABLES}")
+    size = spark.read.jdbc(
+        url, f"(SELECT relpages FROM pg_class WHERE oid = '{table}'::regclass) AS size",
+        properties=dict(properties),
+    )
+    pages = int(size.first()[0])
     return spark.read.jdbc(
-        url, table, predicates=jdbc_predicates(JDBC_TABLES[table], parts), properties=dict(properties)
+        url, table, predicates=jdbc_predicates(pages, parts), properties=dict(properties)
     )
 
 
@@ -66,17 +79,23 @@ def ingest_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def read_events(spark: SparkSession, path: str, with_corrupt: bool = False) -> DataFrame:
-    """JSON-lines events with a fixed schema: no inference pass over the data.
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """JSON-lines events with a fixed schema of text: no inference pass over the data.
 
-    Lines that are no JSON become rows of NULLs, which event cleaning drops; ``with_corrupt`` keeps
-    their text in an extra column.
+    Lines that are no JSON come as rows of NULLs with their text in ``_corrupt_record``. Event
+    cleaning has no use for them; ``corrupt_lines`` puts them into the quarantine.
     """
-    schema = S.CLICKSTREAM_JSON
-    if with_corrupt:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.json(path)
+    schema = T.StructType([*S.CLICKSTREAM_JSON.fields, T.StructField(CORRUPT, T.StringType())])
+    return spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+
+
+def corrupt_lines(events: DataFrame) -> DataFrame:
+    """Quarantine rows of lines that are no JSON."""
+    return events.filter(F.col(CORRUPT).isNotNull()).select(
+        F.lit(S.FACT_EVENTS_LOG.name).alias("table_name"), F.col("event_id").alias("row_key"),
+        F.lit(CORRUPT).alias("column_name"), F.col(CORRUPT).alias("raw_value"),
+        F.lit("unreadable line").alias("reason"),
+    )
 
 
 def read_tickets(spark: SparkSession, directory: str, with_issue_type: bool = True) -> DataFrame:

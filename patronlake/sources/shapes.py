@@ -91,6 +91,38 @@ TICKETS = {
     "Reported_Date": "CAST(DATE '1998-01-01' + CAST(doc_id % 120 AS INT) AS {NTZ})",
 }
 
+# The same tables as text sources bring them, some values of which cannot be read.
+TEXT_USERS = {
+    **TIERED_USERS,
+    "created_at": "CASE WHEN c_custkey % 37 = 0 THEN 'last spring' WHEN c_custkey % 2 = 0 "
+    "THEN '1995-01-01T00:00:00+02:00' ELSE '1995-01-01 00:00:00' END",
+}
+TEXT_PRODUCTS = {
+    **PRODUCTS,
+    "cost_price": "CASE WHEN p_partkey % 29 = 0 THEN 'n/a' "
+    "ELSE CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS STRING) END",
+}
+TEXT_ORDERS = {
+    **ORDERS,
+    "total_amount": "CASE WHEN o_orderkey % 67 = 0 THEN '12,50' "
+    "ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) END",
+    "created_at": "CASE WHEN o_orderkey % 71 = 0 THEN '31/12/1997' "
+    "ELSE concat(CAST(CAST(o_orderdate AS DATE) AS STRING), ' 10:00:00') END",
+}
+TEXT_ORDER_ITEMS = {
+    **ORDER_ITEMS,
+    "quantity": "CASE WHEN l_orderkey % 73 = 0 THEN '99999' ELSE CAST(CAST(l_quantity AS INT) AS STRING) END",
+    "price": "CASE WHEN l_orderkey % 79 = 0 THEN 'free' "
+    "ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING) END",
+}
+TEXT_EVENTS = {
+    **EVENTS,
+    "timestamp": "CASE WHEN event_id % 83 = 0 THEN '2024-01-05T10:00:00' "
+    "ELSE concat(CAST(CAST(ts AS DATE) AS STRING), 'T08:30:15.250Z') END",
+    "time_spent_seconds": "CASE WHEN event_id % 89 = 0 THEN 'abc' WHEN event_id % 97 = 0 THEN '99999999999' "
+    "ELSE CAST(CAST(floor(value) AS INT) AS STRING) END",
+}
+
 # Marketplace exports: what the source systems hold before they are staged. Two accounts share one
 # person; some orders name an account that is not in the customer file; stamps come in four
 # shapes; amounts, scores and words are partly unreadable.
@@ -121,6 +153,8 @@ MARKET_PAYMENTS = {
     "WHEN 2 THEN 'voucher' WHEN 3 THEN 'debit_card' ELSE 'not_defined' END",
     "payment_value": "CASE WHEN l_partkey % 41 = 0 THEN 'n/a' "
     "ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING) END",
+    # Line and part make the place in the file; equal places of an order hold equal methods.
+    "file_row": "CAST(l_suppkey AS BIGINT) * 1000 + l_linenumber",
 }
 MARKET_ITEMS = {
     "order_id": "CAST(l_orderkey AS STRING)",
@@ -134,17 +168,20 @@ MARKET_PRODUCTS = {
     "product_category_name": "CASE WHEN p_size % 10 <> 0 "
     "THEN concat(lower(p_type), '_', lower(p_brand), 'x_', replace(p_name, ' ', '_')) END",
 }
-# Grouped to one row per category; a category without any odd part size has no translation.
+# A category has a row for each of its parts, with translations for the odd sizes only.
 MARKET_TRANSLATIONS = {
     "product_category_name": MARKET_PRODUCTS["product_category_name"],
     "product_category_name_english": "CASE WHEN p_size % 2 = 1 "
-    "THEN concat(replace(p_name, ' ', '_'), '_in_', lower(p_type)) END",
+    "THEN concat(replace(p_name, ' ', '_'), '_in_', CAST(p_size AS STRING), '_', lower(p_type)) END",
+    "file_row": "CAST(p_partkey AS BIGINT)",
 }
 MARKET_REVIEWS = {
     "review_id": "CAST(doc_id AS STRING)",
     "order_id": "CASE WHEN doc_id % 17 <> 0 THEN CAST(doc_id AS STRING) END",
     "review_score": "CASE WHEN doc_id % 7 = 0 THEN 'five' WHEN doc_id % 29 = 0 THEN NULL "
     "ELSE CAST(doc_id % 9 - 1 AS STRING) END",
+    "review_creation_date": "CASE doc_id % 6 WHEN 0 THEN NULL WHEN 1 THEN ' ' "
+    "WHEN 2 THEN '2018-02-11' ELSE '2018-02-10 00:00:00' END",
     "review_answer_timestamp": "CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '  ' "
     "ELSE '2018-03-01 10:00:00' END",
 }
@@ -158,6 +195,11 @@ RAW_SHAPES = {
     "raw_order_items": ("lineitem", ORDER_ITEMS),
     "raw_events": ("events", EVENTS),
     "raw_tickets": ("documents", TICKETS),
+    "text_users": (CUSTOMER_PLACES, TEXT_USERS),
+    "text_products": ("part", TEXT_PRODUCTS),
+    "text_orders": ("orders", TEXT_ORDERS),
+    "text_order_items": ("lineitem", TEXT_ORDER_ITEMS),
+    "text_events": ("events", TEXT_EVENTS),
 }
 MARKET_SHAPES = {
     "mk_customers": (CUSTOMER_PLACES, MARKET_CUSTOMERS),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
@@ -113,6 +114,7 @@ class LoadResult:
     rows: int
     version: int | None
     skipped: bool
+    rejected: int = 0
 
 
 class Warehouse:
@@ -154,7 +156,8 @@ class Warehouse:
         raise AttributeError(name)
 
     def _drop(self, table: str, version: int) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._version_table(table, version)}")
+        for suffix in ("", "_rejects"):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._version_table(table, version)}{suffix}")
 
     def stage(self, df: DataFrame, spec: S.TableSpec, version: int) -> dict[str, int]:
         """Write one version; returns its row count and the NULLs per required column.
@@ -183,25 +186,48 @@ class Warehouse:
             f"AS SELECT * FROM {self._version_table(table, version)}"
         )
 
-    def load(self, df: DataFrame, spec: S.TableSpec) -> LoadResult:
+    def rejects(self, table: str) -> DataFrame:
+        """Rows that the current version of a table was loaded without."""
+        version = self.current_version(table)
+        return self.spark.table(f"{self._version_table(table, version)}_rejects")
+
+    def _set_apart(self, df: DataFrame, spec: S.TableSpec, version: int) -> tuple[DataFrame, int]:
+        """Writes the rows with NULLs in required columns beside the version; returns the others."""
+        seen = Observation(f"reject_{spec.name}")
+        broken = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.required])
+        (
+            df.filter(broken).observe(seen, F.count(F.lit(1)).alias("rows"))
+            .write.mode("overwrite").format("parquet")
+            .saveAsTable(f"{self._version_table(spec.name, version)}_rejects")
+        )
+        return df.filter(~broken), seen.get["rows"]
+
+    def load(self, df: DataFrame, spec: S.TableSpec, on_null: str = "fail") -> LoadResult:
         """Full replace, or a merge by key where the table has one.
 
-        An empty snapshot leaves the old data in place. NULLs in required columns stop the load.
+        An empty snapshot leaves the old data in place. NULLs in required columns stop the load, or
+        with ``on_null="quarantine"`` their rows go to the version's rejects: rows loaded and rows
+        rejected are the rows read. ``rejects`` reads them.
         """
+        if on_null not in ("fail", "quarantine"):
+            raise ValueError(f"on_null is 'fail' or 'quarantine', not {on_null!r}")
         current = self.current_version(spec.name)
         for version in self.versions(spec.name):
             if current is None or version > current:
                 self._drop(spec.name, version)
+        version, rejected = (current or 0) + 1, 0
+        if on_null == "quarantine":
+            df, rejected = self._set_apart(df, spec, version)
         if spec.replace_key:
             if df.isEmpty():
-                return LoadResult(spec.name, 0, current, True)
+                self._drop(spec.name, version)
+                return LoadResult(spec.name, 0, current, True, rejected)
             batches = conform(df, spec).withColumn("load_seq", F.lit(1))
             if current is not None:
                 old = self.read(spec.name).withColumn("load_seq", F.lit(0))
                 batches = old.unionByName(batches)
             df = newest_by_key(batches, spec.replace_key)
 
-        version = (current or 0) + 1
         counts = dict(self.stage(df, spec, version))
         rows = counts.pop("__rows")
         broken = {column: n for column, n in counts.items() if n}
@@ -210,10 +236,10 @@ class Warehouse:
         if broken:
             raise NullViolation(f"{spec.name}: NULLs in required columns {broken}")
         if rows == 0:
-            return LoadResult(spec.name, 0, current, True)
+            return LoadResult(spec.name, 0, current, True, rejected)
 
         self.publish(spec.name, version)
         for old_version in self.versions(spec.name):
             if old_version < version - 1:
                 self._drop(spec.name, old_version)
-        return LoadResult(spec.name, rows, version, False)
+        return LoadResult(spec.name, rows, version, False, rejected)

@@ -94,14 +94,16 @@ def read_day_counts(spark: SparkSession, out: str) -> DataFrame:
 
 
 def high_water_mark(target: DataFrame) -> DataFrame:
-    """One row: the newest stamp already loaded."""
-    return target.agg(F.max("timestamp").alias("since"))
+    """One row: the newest stamp already loaded; the earliest of all stamps while there is none."""
+    earliest = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+    return target.agg(F.coalesce(F.max("timestamp"), earliest).alias("since"))
 
 
 def new_events(source: DataFrame, target: DataFrame) -> DataFrame:
     """Source events from the high-water mark on; all of them while the target is empty.
 
     The mark itself is included, as events of the same stamp may arrive later; merge by event_id.
+    Events whose stamp could not be read have no place in time: they come with a full load only. The
+    plain comparison reaches the Parquet scan.
     """
-    mark = high_water_mark(target).scalar()
-    return source.filter(mark.isNull() | (F.col("timestamp") >= mark))
+    return source.filter(F.col("timestamp") >= high_water_mark(target).scalar())

@@ -2,23 +2,27 @@ from __future__ import annotations
 
 import pytest
 
-from patronlake.operators.events import clean_events
+from patronlake.operators.cleaning import rejected_values
+from patronlake.operators.events import clean_events, events_plan
 from patronlake.operators.tickets import clean_tickets
 from patronlake.sources import landing
 
 
-def test_jdbc_predicates_meet_every_row_once():
-    clauses = landing.jdbc_predicates("order_id", 4)
-    assert len(set(clauses)) == 4
-    assert sum("IS NULL" in c for c in clauses) == 1
-    assert [f"= {i}" in c for i, c in enumerate(clauses)] == [True] * 4
+def test_jdbc_ranges_of_pages_meet_every_row_once():
+    clauses = landing.jdbc_predicates(10, 4)
+    assert clauses == [
+        "ctid < '(2,0)'::tid", "ctid >= '(2,0)'::tid AND ctid < '(5,0)'::tid",
+        "ctid >= '(5,0)'::tid AND ctid < '(7,0)'::tid", "ctid >= '(7,0)'::tid",
+    ]
+    assert landing.jdbc_predicates(0, 4) == ["TRUE"] and len(landing.jdbc_predicates(2, 4)) == 2
     with pytest.raises(ValueError):
-        landing.jdbc_predicates("order_id", 0)
+        landing.jdbc_predicates(10, 0)
 
 
-def test_jdbc_properties_stream_rows():
+def test_jdbc_properties_stream_rows_and_keep_stamps_without_zone():
     properties = landing.jdbc_properties("me", "secret", fetch_rows=500)
     assert properties["fetchsize"] == "500" and properties["driver"] == "org.postgresql.Driver"
+    assert properties["preferTimestampNTZ"] == "true"
 
 
 def test_landing_counts_while_writing(spark, tmp_path):
@@ -36,10 +40,20 @@ def test_json_events_with_broken_lines(spark, tmp_path):
         '{"event_id":"2","timestamp":"2024-01-01T00:00:00.002Z","session_id":"s",'
         '"event_type":"add_to_cart","time_spent_seconds":7}\n'
     )
-    raw = landing.read_events(spark, str(tmp_path), with_corrupt=True)
-    assert [r._corrupt_record for r in raw.collect() if r.event_id is None] == ["not json"]
-    clean = clean_events(landing.read_events(spark, str(tmp_path)))
-    assert sorted(r.event_id for r in clean.collect()) == ["1", "2"]
+    (tmp_path / "c.json").write_text(
+        '{"event_id":"3","timestamp":"2024-01-01T00:00:00.002Z","event_type":"add_to_cart",'
+        '"time_spent_seconds":99999999999}\n{"event_id":"4","timestamp":"now","event_type":"add_to_cart",'
+        '"time_spent_seconds":"abc"}\n'
+    )
+    raw = landing.read_events(spark, str(tmp_path))
+    lines = landing.corrupt_lines(raw).collect()
+    assert [(r.raw_value, r.reason) for r in lines] == [("not json", "unreadable line")]
+    clean = {r.event_id: r.time_spent_seconds for r in clean_events(raw).collect()}
+    assert clean == {"1": None, "2": 7, "3": None, "4": None}
+    rejected = rejected_values(raw, events_plan(raw)).collect()
+    assert sorted((r.row_key, r.column_name, r.raw_value) for r in rejected) == [
+        ("3", "time_spent_seconds", "99999999999"), ("4", "time_spent_seconds", "abc"), ("4", "timestamp", "now"),
+    ]
 
 
 HEADER = "Ticket_ID,Order_ID,Customer_Email,Issue_Type,Status,Customer_Rating,Reported_Date\n"

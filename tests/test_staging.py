@@ -26,9 +26,10 @@ def market(spark):
         "order_id string, customer_id string, order_status string, order_purchase_timestamp string",
     )
     payments = spark.createDataFrame(
-        [("o1", "1", "boleto", "10.10"), ("o1", "2", "voucher", "5.05"), ("o2", "1", "pix", "bad"),
-         ("o3", "2", "boleto", "7")],
-        "order_id string, payment_sequential string, payment_type string, payment_value string",
+        # of two first payments the later row of the file counts
+        [("o1", "1", "voucher", "0.10", 0), ("o1", "1", "boleto", "10.00", 1), ("o1", "2", "voucher", "5.05", 2),
+         ("o2", "1", "pix", "bad", 3), ("o3", "2", "boleto", "7", 4), ("o4", " 1", "boleto", None, 5)],
+        "order_id string, payment_sequential string, payment_type string, payment_value string, file_row long",
     )
     return customers, orders, payments
 
@@ -89,10 +90,13 @@ def test_items_products_and_translations(spark):
         "product_id string, product_category_name string",
     )
     words = spark.createDataFrame(
-        [("cama_mesa", "bed_bath"), ("vazio", "")],
-        "product_category_name string, product_category_name_english string",
+        # the last usable row of a repeated category counts, and multiplies no product
+        [("cama_mesa", "bed", 1), ("cama_mesa", "bed_bath", 3), ("cama_mesa", "", 4), ("vazio", "", 2)],
+        "product_category_name string, product_category_name_english string, file_row long",
     )
-    found = {r.product_id: (r.product_name, r.category) for r in staging.stage_products(products, words).collect()}
+    staged = staging.stage_products(products, words).collect()
+    assert len(staged) == 5
+    found = {r.product_id: (r.product_name, r.category) for r in staged}
 
     def number(product_id):
         return int(hashlib.md5(product_id.encode()).hexdigest()[:6], 16) % 10000

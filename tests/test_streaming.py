@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import json
 import os
+from types import SimpleNamespace
+
+import pytest
 
 from patronlake.operators.events import clean_events
 from patronlake.sources.landing import read_events
@@ -95,6 +98,20 @@ def test_incremental_pull_from_the_high_water_mark(spark, tmp_path):
     ids = sorted(r.event_id for r in feed.new_events(source, loaded).collect())
     assert ids == ["3", "4", "5"]
     assert feed.new_events(source, loaded.limit(0)).count() == 5
+    source.write.parquet(f"{tmp_path}/stored")
+    stored = spark.read.parquet(f"{tmp_path}/stored")
+    pulled = feed.new_events(stored, loaded)
+    pulled.collect()
+    plan = pulled._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(timestamp" in plan
+
+
+def test_scratch_folder_is_shared_or_the_master_is_local():
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master="spark://host:7077")
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(cluster)
 
 
 def test_scratch_folder_follows_the_cluster_setting(spark):

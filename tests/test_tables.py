@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -186,18 +187,23 @@ def test_whole_run_from_raw_to_warehouse(spark, tmp_path, warehouse):
         name: star.raw(f"raw_{name}")
         for name in ("users", "products", "orders", "order_items", "events", "tickets")
     }
-    # Only orders with a known status may be loaded.
-    raw["orders"] = raw["orders"].filter("order_status <> 'mystery'")
     sources = ("users", "products", "orders", "order_items")
     counts = jobs.run_extract({name: raw[name] for name in sources}, zones)
     assert counts == {name: raw[name].count() for name in sources}
     jobs.run_transforms({**raw, **{name: zones.read(name) for name in sources}}, zones)
-    results = jobs.run_load(zones, warehouse)
+    results = jobs.run_load(zones, warehouse, on_null="quarantine")
+    for r in results:
+        assert r.rows + r.rejected == zones.read(r.table).count()
+    rejected = {r.table: r.rejected for r in results if r.rejected}
+    assert rejected == {"fact_orders": raw["orders"].filter("order_status = 'mystery'").count()}
+    assert warehouse.rejects("fact_orders").count() == rejected["fact_orders"]
     assert [r.table for r in results] == list(S.TABLES)
     assert all(r.rows > 0 and r.version == 1 for r in results)
+    known = zones.fact_orders.filter("order_status IS NOT NULL")
+    whole = SimpleNamespace(**{name: zones.read(name) for name in S.TABLES} | {"fact_orders": known})
     for query in (serving.revenue_by, serving.top_products, serving.customer_360_page):
         # The warehouse holds whole seconds of the last activity.
-        loaded, clean = (query(t).drop("last_active_date").collect() for t in (warehouse, zones))
+        loaded, clean = (query(t).drop("last_active_date").collect() for t in (warehouse, whole))
         assert loaded == clean
     assert (Path(tmp_path) / "serving" / "customer_360").exists()
 
@@ -205,3 +211,15 @@ def test_whole_run_from_raw_to_warehouse(spark, tmp_path, warehouse):
 def test_unknown_status_stops_the_order_load(spark, warehouse):
     with pytest.raises(tables.NullViolation, match="order_status"):
         warehouse.load(BenchStar(spark, SMALL).fact_orders, S.FACT_ORDERS)
+
+
+def test_day_reload_reads_the_days_of_arrival_only(spark, tmp_path):
+    feed = f"{tmp_path}/feed"
+    for day in ("2023-12-01", "2024-01-01", "2024-01-09"):
+        spark.range(3).selectExpr(
+            "CAST(id AS STRING) AS event_id", "TIMESTAMP_NTZ '2024-01-01 10:00:00' AS timestamp",
+            "'view_item' AS event_type", "'u' AS user_id", "'s' AS session_id", "'p' AS product_id",
+            "'x' AS device_os", "1 AS time_spent_seconds", f"DATE '{day}' AS ingest_date",
+        ).write.mode("append").partitionBy("ingest_date").parquet(feed)
+    jobs.reload_day(spark.read.parquet(feed), f"{tmp_path}/log", dt.date(2024, 1, 1))
+    assert spark.read.parquet(f"{tmp_path}/log").count() == 3

@@ -136,6 +136,7 @@ def count_tokens(
     encoded = (
         texts.join(misses, same, "left_semi").select("digest", "text")
         .mapInArrow(_encoder(spark.sparkContext.broadcast(file)), "digest binary, n_tokens long")
+        .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))  # rows with equal ids and texts
     )
     encoded.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(cache)
     space.drop("misses")

@@ -57,9 +57,9 @@ def test_license_places_labels_and_evidence(table):
     ]
     found = {r.doc_id: r for r in licenses.scan_licenses(table(rows)).collect()}
     one = found[1]
-    assert (one.n_words, one.n_base, one.first_word, one.last_word) == (18, 3, 4, 12)
+    assert (one.n_words, one.n_base, one.first_word, one.last_word) == (19, 3, 4, 13)
     assert one.base_labels == "apache,mit" and one.labels == "apache,apache-2.0-notice,mit" and one.score == 1.0
-    assert one.evidence == ["apache-2.0-notice:1-10"]
+    assert one.evidence == ["apache-2.0-notice:1-11"]
     assert (found[2].n_words, found[2].first_word, found[2].labels, found[2].score) == (0, None, "", 0.0)
     assert (found[4].base_labels, found[4].n_base, found[4].score) == ("gpl", 1, 0.5)
     assert found[5].n_base == found[6].n_base == 0 and found[None].base_labels == "mit"

@@ -5,20 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more than 1/200 of the rows is hot, so there are fewer than 200 of them, and the
-# lookup grows by at most 200 · SALTS rows.
+# A key with more than 1/200 of the rows is hot, so there are fewer than 200 of them. It is dealt out to
+# as many salts as bring it down to about ROWS_PER_TASK rows each; the lookup grows by that many rows,
+# at most one for each ROWS_PER_TASK rows and SALTS for each hot key.
 HOT_SHARE = 200
 SALTS = 64
+ROWS_PER_TASK = 1_000_000
 _TRACKED = 10_000
 
 
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
-    """One row with the array of hot key values, from one mergeable sketch of the key column."""
+    """One row (keys, counts) as a struct of arrays, from one mergeable sketch of the key column."""
     top = rows.agg(
         F.count("*").alias("n"),
         F.expr(f"approx_top_k(`{key}`, {HOT_SHARE}, {_TRACKED})").alias("top"),
     )
-    return top.select(F.expr(f"transform(filter(top, t -> t.count * {HOT_SHARE} > n), t -> t.item)"))
+    hot = top.select(F.expr(f"filter(top, t -> t.count * {HOT_SHARE} > n)").alias("hot"))
+    return hot.select(F.expr("struct(transform(hot, t -> t.item) AS keys, transform(hot, t -> t.count) AS counts)"))
 
 
 def spread_left_join(
@@ -32,13 +35,13 @@ def spread_left_join(
     split its skewed partitions, which is why this is done here.
     """
     hot = hot_keys(rows, key).scalar()
-    is_hot = F.array_contains(hot, F.col(key))
-    dealt: Column = F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int")
-    salted_rows = rows.withColumn(
-        "__salt", F.when(F.col(key).isNull() | is_hot, dealt).otherwise(0)
-    )
-    all_salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    salted_lookup = lookup.withColumn(
-        "__salt", F.explode(F.when(is_hot, all_salts).otherwise(F.array(F.lit(0))))
-    )
+    found = F.get(hot["counts"], (F.array_position(hot["keys"], F.col(key)) - 1).cast("int"))
+    salts: Column = F.greatest(F.lit(SALTS), F.ceil(found / ROWS_PER_TASK)).cast("bigint")
+    whole = F.xxhash64(salt_by)
+    # a NULL key meets nothing, so its rows may go anywhere
+    dealt = F.when(F.col(key).isNull(), whole).when(found.isNotNull(), F.pmod(whole, salts))
+    one = F.lit(0).cast("bigint")
+    salted_rows = rows.withColumn("__salt", F.coalesce(dealt, one))
+    all_salts = F.when(found.isNotNull(), F.sequence(one, salts - 1)).otherwise(F.array(one))
+    salted_lookup = lookup.withColumn("__salt", F.explode(all_salts))
     return salted_rows.join(salted_lookup, [key, "__salt"], "left").drop("__salt")

@@ -74,6 +74,19 @@ def loyalty_thresholds(spend: DataFrame, relative_error: float | None = None) ->
     ])
 
 
+def thresholds_in_range(spend: DataFrame, thresholds: DataFrame, error: float) -> DataFrame:
+    """One row: whether each threshold's rank among the spenders is within ``error`` of its fraction."""
+    t = thresholds.select(F.struct(*TIER_FRACTIONS).alias("t"))
+    rows = spend.withColumn("t", t.scalar())
+    below, upto = (
+        {n: F.count_if(test(F.col("total_spend"), F.col(f"t.{n}"))) / F.count("total_spend") for n in TIER_FRACTIONS}
+        for test in (lambda a, b: a < b, lambda a, b: a <= b)
+    )
+    return rows.agg(*[
+        ((below[n] - error <= p) & (upto[n] + error >= p)).alias(n) for n, p in TIER_FRACTIONS.items()
+    ])
+
+
 def tier_of(spend: Column, thresholds: Column) -> Column:
     return (
         F.when(spend >= thresholds["platinum"], "Platinum")

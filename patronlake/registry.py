@@ -35,8 +35,10 @@ def _tables() -> dict[str, Query]:
         "loyalty_thresholds_no_guests": lambda t: users.loyalty_thresholds(
             users.user_spend(t.raw_orders, exclude_guests=True)
         ),
-        "loyalty_thresholds_approx": lambda t: users.loyalty_thresholds(
-            users.user_spend(t.raw_orders), relative_error=0.01
+        "loyalty_thresholds_approx": lambda t: users.thresholds_in_range(
+            users.user_spend(t.raw_orders),
+            users.loyalty_thresholds(users.user_spend(t.raw_orders), relative_error=0.01),
+            error=0.01,
         ),
         "product_cost": lambda t: cost_prices(t.raw_order_items),
         "order_agg_by_user": lambda t: wide.purchases_by_user(_activity(t)),

@@ -63,7 +63,7 @@ def test_spread_left_join_equals_plain_join(spark):
     lookup = spark.createDataFrame(
         [("hot", "H")] + [(f"k{i}", f"v{i}") for i in range(500)], "key string, value string"
     )
-    assert skew.hot_keys(rows, "key").first()[0][0] == "hot"
+    assert skew.hot_keys(rows, "key").first()[0]["keys"][0] == "hot"
     spread = skew.spread_left_join(rows, lookup, "key", salt_by="row_id")
     plain = rows.join(lookup, "key", "left")
     assert sorted(map(tuple, spread.collect()), key=str) == sorted(

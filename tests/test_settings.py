@@ -11,7 +11,11 @@ PACKAGE = Path(__file__).resolve().parents[1] / "patronlake"
 def test_partitions_grow_with_the_data():
     small, large = session_settings(1, 8), session_settings(100 * 1024**4, 4000)
     assert small["spark.sql.shuffle.partitions"] == "16"
-    assert int(large["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (128 * 1024**2)
+    terabyte = session_settings(1024**4, 400)
+    assert int(terabyte["spark.sql.shuffle.partitions"]) == 1024**4 // (128 * 1024**2)
+    # what the driver keeps of a shuffle stays bounded: map tasks times partitions
+    splits = 100 * 1024**4 // int(large["spark.sql.files.maxPartitionBytes"])
+    assert splits * int(large["spark.sql.shuffle.partitions"]) < 2.5e9
 
 
 def test_operators_run_no_action_and_no_udf():

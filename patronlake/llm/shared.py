@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ARROW_BATCH_BYTES = 16 * 1024**2
+ARROW_BATCH_BYTES = 8 * 1024**2
 _BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -22,7 +22,7 @@ _shipped: set[str] = set()
 def prepare(spark: SparkSession) -> None:
     """What operators with Python in tasks need of a session.
 
-    Batches sent to Python stay near 16 MB however long the texts are, and executors get this package,
+    Batches sent to Python stay near 8 MB however long the texts are, and executors get this package,
     which a cluster need not have installed.
     """
     application = spark.sparkContext.applicationId

@@ -36,7 +36,8 @@ from patronlake.llm.shared import prepare, whole_text
 MARK = "▁"
 _LITERAL = "\ud800"  # stands for a U+2581 of the text; no valid text has a surrogate
 UNKNOWN_COST = 10.0
-KEPT_UNITS = 300_000
+KEPT_UNITS = 200_000
+_ENCODED_AT_ONCE = 1 << 20  # characters encoded and given back together
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _UNIGRAM = 1
 
@@ -295,31 +296,44 @@ def _columns(shared, check: bool):
         fallback[codec.byte_ids[codec.byte_ids >= 0]] = True
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
-            packed = codec.encode(texts)
-            values = np.frombuffer(b"".join(packed), "<i4")
-            sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
-            offsets = np.concatenate([[0], np.cumsum(sizes)])
-            spelled = np.concatenate([[0], np.cumsum(fallback[values])])
-            same = None
-            if check:
-                table = codec.bytes_of
-                same = []
-                for text, a, b in zip(texts, offsets[:-1].tolist(), offsets[1:].tolist()):
-                    joined = b"".join([table[i] for i in values[a:b].tolist()])
-                    same.append(joined.removeprefix(b" ") == text.encode())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:-1], pa.array(sizes),
-                    pa.array(spelled[offsets[1:]] - spelled[offsets[:-1]]),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values)),
-                    pa.array(same, pa.bool_()) if check else pa.nulls(len(texts), pa.bool_()),
-                ],
-                names=[*batch.schema.names[:-1], "n_tokens", "n_byte_tokens", "ids", "round_trip"],
-            )
+            for a, b in _slices(texts):
+                yield encoded(codec, fallback, batch.slice(a, b - a), texts[a:b])
+
+    def encoded(codec, fallback, batch, texts):
+        packed = codec.encode(texts)
+        values = np.frombuffer(b"".join(packed), "<i4")
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        spelled = np.concatenate([[0], np.cumsum(fallback[values])])
+        same = None
+        if check:
+            table = codec.bytes_of
+            same = []
+            for text, a, b in zip(texts, offsets[:-1].tolist(), offsets[1:].tolist()):
+                joined = b"".join([table[i] for i in values[a:b].tolist()])
+                same.append(joined.removeprefix(b" ") == text.encode())
+        return pa.RecordBatch.from_arrays(
+            [
+                *batch.columns[:-1], pa.array(sizes), pa.array(spelled[offsets[1:]] - spelled[offsets[:-1]]),
+                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values)),
+                pa.array(same, pa.bool_()) if check else pa.nulls(len(texts), pa.bool_()),
+            ],
+            names=[*batch.schema.names[:-1], "n_tokens", "n_byte_tokens", "ids", "round_trip"],
+        )
 
     return run
 
 
+def _slices(texts: list[str]):
+    """Ranges of texts with about _ENCODED_AT_ONCE characters; a longer text stands alone."""
+    begin, held = 0, 0
+    for i, text in enumerate(texts, 1):
+        held += len(text)
+        if held >= _ENCODED_AT_ONCE or i == len(texts):
+            yield begin, i
+            begin, held = i, 0
+
+
 def encode_column(
     docs: DataFrame, model_file: str, keep: tuple[str, ...] = ("doc_id",), text_column: str = "text", check: bool = True
 ) -> DataFrame:

@@ -38,6 +38,7 @@ from patronlake.llm.shared import Workspace, prepare, required
 ROLL_BYTES = 256 * 1024**2
 SHARD_BYTES = 16 * 1024**2  # of payload; more, where there would be over MAX_SHARDS
 MAX_SHARDS = 4096
+MAX_READERS = 1 << 16  # tasks that read an archive; more files share them
 WARC_DATE = "2020-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
@@ -357,4 +358,6 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -
     """
     prepare(spark)
     manifest = spark.read.parquet(f"{folder}/manifest").select("name")
-    return manifest.repartition("name").mapInArrow(_file_reader(folder, with_payload), _RECORD)
+    # a given number of tasks: by the size of the names alone, adaptive execution would make one of them
+    tasks = max(1, min(MAX_READERS, manifest.count()))
+    return manifest.repartition(tasks).mapInArrow(_file_reader(folder, with_payload), _RECORD)

@@ -13,8 +13,10 @@ over tasks. No pair within a group is emitted and no link between groups is lost
 
 `near_groups` is the wider form for similarities: fingerprints of `WIDE_BITS` bits, of which drawn sets
 of bits are the keys. Two documents with five-word shingles of Jaccard similarity s differ in a share
-arccos(2s / (1 + s)) / pi of the bits; the keys are as many as make it likely (`RECALL`) that a pair
-at `SIMILARITY` shares one, and links are verified by the Hamming distance of the whole fingerprint.
+arccos(2s / (1 + s)) / pi of the bits, on average. The Hamming cut lies `DEVIATIONS` above that, and the
+keys are as many as give a pair at `SIMILARITY` the chance `RECALL` to pass the cut and share a key. Both
+only choose candidates: classes of loosely linked documents bring their sets of shingles together, and
+a link is a pair whose sets have Jaccard similarity `SIMILARITY` or more.
 
 Defined results: a NULL or blank text has fingerprint zero and links like any other; a text with fewer
 words than a shingle is one shingle; equal texts have equal fingerprints; NULL ids never are a
@@ -39,7 +41,9 @@ from patronlake.llm.shared import Workspace, prepare, required, text_bytes
 SEED = 42
 SHINGLE, DISTANCE = 3, 3
 HOT_ROWS = 4096
-WIDE_SHINGLE, WIDE_BITS, SIMILARITY, RECALL = 5, 256, 0.8, 0.95
+WIDE_SHINGLE, WIDE_BITS, SIMILARITY, RECALL, DEVIATIONS = 5, 256, 0.8, 0.99, 3
+KEYS_AT_ONCE = 64  # shuffled at a time, which bounds the disk
+SET_ROWS, SET_SHINGLES = 2048, 1 << 20  # of a class, compared in one task
 _LANES = np.uint64(0x0101010101010101)
 _PIECE = 1 << 16  # shingles hashed at a time, so that a very long text needs little memory
 _MIXERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -78,10 +82,19 @@ def _packed(counts: np.ndarray, n: int) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel()
 
 
+def shingle_set(text: bytes, k: int = WIDE_SHINGLE) -> np.ndarray:
+    """The distinct hashes of the shingles, ascending."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(text, k)]))
+
+
 def fingerprint(text: bytes, k: int = SHINGLE, words: int = 1) -> np.ndarray:
     """The fingerprint as `words` unsigned 64-bit numbers; the first is that of XXH64 itself."""
+    return _fingerprint(shingle_hashes(text, k), words)
+
+
+def _fingerprint(pieces, words: int) -> np.ndarray:
     counts, n = np.zeros(64 * words, np.int64), 0
-    for hashes in shingle_hashes(text, k):
+    for hashes in pieces:
         n += len(hashes)
         for i in range(words):
             if i:
@@ -92,24 +105,41 @@ def fingerprint(text: bytes, k: int = SHINGLE, words: int = 1) -> np.ndarray:
     return _packed(counts, n)
 
 
-def fingerprints(docs: DataFrame, k: int, words: int, id_column="doc_id", text_column="text") -> DataFrame:
-    """(doc, fp): fp is a long for one word and the bytes of the words otherwise."""
+def fingerprints(docs: DataFrame, k: int, id_column="doc_id", text_column="text") -> DataFrame:
+    """(doc, fp long)."""
     prepare(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
-            prints = [fingerprint(t, k, words) for t in batch.column(1).to_pylist()]
-            if words == 1:
-                fps = pa.array(np.concatenate(prints or [np.empty(0, np.uint64)]).view(np.int64))
-            else:
-                fps = pa.array([p.tobytes() for p in prints], pa.binary())
+            prints = [fingerprint(t, k) for t in batch.column(1).to_pylist()]
+            fps = pa.array(np.concatenate(prints or [np.empty(0, np.uint64)]).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), fps], names=["doc", "fp"])
 
-    kind = "long" if words == 1 else "binary"
+    return _bytes(docs, id_column, text_column).mapInArrow(run, "doc long, fp long")
+
+
+def wide_fingerprints(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
+    """(doc, fp, digest): bytes of the wide fingerprint of the set of shingles, and a digest of the set."""
+    prepare(docs.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
+            fps = pa.array([_fingerprint([x], WIDE_BITS // 64).tobytes() for x in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), fps, _digests(sets)], names=["doc", "fp", "digest"]
+            )
+
+    return _bytes(docs, id_column, text_column).mapInArrow(run, "doc long, fp binary, digest binary")
+
+
+def _digests(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary())
+
+
+def _bytes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     narrow = required(docs, id_column, text_column)
-    return narrow.select(
-        F.col(f"`{id_column}`").cast("long").alias("doc"), text_bytes(text_column).alias("bytes")
-    ).mapInArrow(run, f"doc long, fp {kind}")
+    return narrow.select(F.col(f"`{id_column}`").cast("long").alias("doc"), text_bytes(text_column).alias("bytes"))
 
 
 def block_masks(blocks: int, distance: int = DISTANCE) -> list[int]:
@@ -179,6 +209,12 @@ def _linked(distance: int, words: int):
         a, b = np.concatenate(a), np.concatenate(b)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
+    return _by_run(resolve)
+
+
+def _by_run(resolve):
+    """Calls `resolve` with whole runs of rows that are sorted by (key, part)."""
+
     def run(batches):
         held = None
         for batch in batches:
@@ -207,32 +243,39 @@ def _links(keyed: DataFrame, distance: int, words: int, space: Workspace, name:
         keyed.groupBy("key").count().filter(F.col("count") > hot_rows)
         .select("key", F.ceil(F.col("count") / hot_rows).cast("int").alias("chunks")),
     )
-    chunk = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    plain = keyed.select("key", F.lit(0).alias("part"), F.lit(0).alias("side"), "id", "fp")
-    if not hot.isEmpty():
-        low, high = F.least("chunk", "other"), F.greatest("chunk", "other")
-        split = (
-            keyed.join(hot, "key").withColumn("chunk", chunk).withColumn("other", other)
-            .select(
-                "key", (F.lit(1) + low * F.col("chunks") + high).alias("part"),
-                F.when(F.col("chunk") <= F.col("other"), 0).otherwise(1).alias("side"), "id", "fp",
-            )
-        )
-        plain = plain.join(hot, "key", "left_anti").unionByName(split)
+    plain = _parts(keyed, hot)
     return (
         plain.repartition("key", "part").sortWithinPartitions("key", "part", "side")
         .mapInArrow(_linked(distance, words), "a long, b long")
     )
 
 
+def _parts(keyed: DataFrame, hot: DataFrame) -> DataFrame:
+    """Rows (key, part, side, ...): those of the keys in `hot` (key, chunks) once for each pair of chunks."""
+    own = [c for c in keyed.columns if c != "key"]
+    plain = keyed.select("key", F.lit(0).alias("part"), F.lit(0).alias("side"), *own)
+    if hot.isEmpty():
+        return plain
+    chunk = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    low, high = F.least("chunk", "other"), F.greatest("chunk", "other")
+    split = (
+        keyed.join(hot, "key").withColumn("chunk", chunk).withColumn("other", other)
+        .select(
+            "key", (F.lit(1) + low * F.col("chunks") + high).alias("part"),
+            F.when(F.col("chunk") <= F.col("other"), 0).otherwise(1).alias("side"), *own,
+        )
+    )
+    return plain.join(hot, "key", "left_anti").unionByName(split)
+
+
 def simhash_components(
     docs: DataFrame, k: int = SHINGLE, distance: int = DISTANCE, hot_rows: int = HOT_ROWS,
     id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """(doc_id, fp long, component_id): classes of documents linked within `distance` bits."""
     space = Workspace(docs.sparkSession, "simhash")
-    prints = space.put("prints", fingerprints(docs, k, 1, id_column, text_column))
+    prints = space.put("prints", fingerprints(docs, k, id_column, text_column))
     distinct = space.put("distinct", prints.groupBy("fp").agg(F.min("doc").alias("least")))
     masks = block_masks(blocks_for(distinct.count(), distance), distance)
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
@@ -247,12 +290,106 @@ def simhash_components(
 
 
 def wide_plan(distinct: int, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[int, int, int]:
-    """Bits of a key, number of keys, and the largest Hamming distance of a link."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    """Bits of a key, number of keys, and the largest Hamming distance of a candidate link."""
+    share = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
     width = max(16, math.ceil(math.log2(max(2, distinct))))
-    keys = math.ceil(math.log(1 - recall) / math.log(1 - (1 - share) ** width))
     deviation = math.sqrt(share * (1 - share) / WIDE_BITS)
-    return width, keys, math.floor((share + deviation) * WIDE_BITS)
+    distance = math.floor((share + DEVIATIONS * deviation) * WIDE_BITS)
+    keys = 1
+    while chance(similarity, width, keys, distance) < recall:
+        keys += 1 + keys // 50
+    return width, keys, distance
+
+
+def chance(similarity: float, width: int, keys: int, distance: int) -> float:
+    """That a pair of the similarity is within the distance and shares one of the keys."""
+    share = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+    whole = math.comb(WIDE_BITS, width)
+    return sum(
+        math.comb(WIDE_BITS, d) * share**d * (1 - share) ** (WIDE_BITS - d)
+        * (1 - (1 - math.comb(WIDE_BITS - d, width) / whole) ** keys)
+        for d in range(distance + 1)
+    )
+
+
+def similar(sets: list[np.ndarray], similarity: float, cross: int | None = None) -> list[tuple[int, int]]:
+    """Links (i, j) of a spanning forest of all pairs of sets with at least the Jaccard similarity.
+
+    With `cross`, only pairs of one of the first `cross` sets with one of the rest need be compared.
+    """
+    n = len(sets)
+    size = np.fromiter(map(len, sets), np.int64, n)
+    owner = np.repeat(np.arange(n), size)
+    _, value, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    begin = np.cumsum(count) - count
+    holders = owner[np.argsort(value, kind="stable")]  # who has a value, value by value
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    parent, index, links = np.arange(n), np.arange(n), []
+    for i in range(n if cross is None else cross):
+        others = (index >= max(i + 1, cross or 0)) & (parent != parent[i])
+        if not others.any():
+            continue
+        mine = value[bounds[i] : bounds[i + 1]]
+        mine = mine[count[mine] > 1]
+        many = count[mine]
+        at = np.repeat(begin[mine] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        common = np.bincount(holders[at], minlength=n)
+        others &= (common > 0) & (common >= similarity * (size + size[i] - common) - 1e-6)
+        for j in np.flatnonzero(others).tolist():
+            if parent[j] != parent[i]:
+                links.append((i, j))
+                parent[parent == parent[j]] = parent[i]
+    return links
+
+
+def _similar(similarity: float):
+    """Rows (key, part, side, id, shingles) sorted by key and part: links found in each run."""
+
+    def resolve(batch):
+        key, part, side, ids = (batch.column(i).to_numpy() for i in range(4))
+        start = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (part[1:] != part[:-1])))
+        links = []
+        for s, e in zip(start.tolist(), [*start[1:].tolist(), len(key)]):
+            sets = [np.frombuffer(x, "<u8") for x in batch.column(4).slice(s, e - s).to_pylist()]
+            cross = int((side[s:e] == 0).sum())
+            links += [(ids[s + i], ids[s + j]) for i, j in similar(sets, similarity, cross if cross < e - s else None)]
+        a, b = np.array(links, np.int64).reshape(-1, 2).T
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return _by_run(resolve)
+
+
+def _verified(
+    docs: DataFrame, classes: DataFrame, similarity: float, space: Workspace, id_column: str, text_column: str,
+    set_rows: int = SET_ROWS,
+) -> DataFrame:
+    """Links (a, b) of Jaccard `similarity` or more among the documents of each class (node, root).
+
+    Only these documents' sets of shingles are shuffled, once; large classes go in pairs of chunks.
+    """
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), batch.column(1), _digests(sets), pa.array(map(len, sets), pa.int64()),
+                    pa.array([x.tobytes() for x in sets], pa.binary()),
+                ],
+                names=["key", "id", "digest", "n", "shingles"],
+            )
+
+    texts = _bytes(docs, id_column, text_column).join(classes, F.col("doc") == F.col("node"))
+    sets = space.put("sets", texts.select(F.col("root").alias("key"), "doc", "bytes").mapInArrow(
+        run, "key long, id long, digest binary, n long, shingles binary"
+    ).dropDuplicates(["id", "digest"]))
+    chunks = F.ceil(F.greatest(F.count("*") / set_rows, F.sum("n") / SET_SHINGLES)).cast("int")
+    hot = space.put("sets-hot", sets.groupBy("key").agg(chunks.alias("chunks")).filter("chunks > 1"))
+    return (
+        _parts(sets.select("key", "id", "shingles"), hot)
+        .repartition("key", "part").sortWithinPartitions("key", "part", "side")
+        .mapInArrow(_similar(similarity), "a long, b long")
+    )
 
 
 def near_groups(
@@ -263,30 +400,40 @@ def near_groups(
 
     Documents that are in no group, or the smallest of theirs, have no row.
     """
-    words = WIDE_BITS // 64
     space = Workspace(docs.sparkSession, "near")
-    prints = space.put("prints", fingerprints(docs, WIDE_SHINGLE, words, id_column, text_column))
-    distinct = space.put("distinct", prints.groupBy("fp").agg(F.min("doc").alias("id")))
+    prints = space.put("prints", wide_fingerprints(docs, id_column, text_column))
+    distinct = space.put("distinct", prints.groupBy("digest").agg(F.min("doc").alias("id"), F.first("fp").alias("fp")))
     width, keys, distance = wide_plan(distinct.count(), similarity)
-
-    def keyed_rows(batches):
-        draw = np.random.default_rng(SEED)
-        chosen = [np.sort(draw.choice(WIDE_BITS, width, replace=False)) for _ in range(keys)]
-        powers = np.left_shift(np.uint64(1), np.arange(width, dtype=np.uint64))
-        for batch in batches:
-            n = batch.num_rows
-            raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(n, -1)
-            bits = np.unpackbits(raw, axis=1, bitorder="little")
-            for i, at in enumerate(chosen):
-                key = (bits[:, at].astype(np.uint64) * powers).sum(1, dtype=np.uint64)
-                key = (key + (np.uint64(i) << np.uint64(width))) * _MIXERS[0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), batch.column(0), batch.column(1)], names=["key", "id", "fp"]
-                )
+    draw = np.random.default_rng(SEED)
+    drawn = [np.sort(draw.choice(WIDE_BITS, width, replace=False)) for _ in range(keys)]
+
+    def keyed_rows(first):
+        def run(batches):
+            powers = np.left_shift(np.uint64(1), np.arange(width, dtype=np.uint64))
+            for batch in batches:
+                n = batch.num_rows
+                raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(n, -1)
+                bits = np.unpackbits(raw, axis=1, bitorder="little")
+                for i, at in enumerate(drawn[first : first + KEYS_AT_ONCE], first):
+                    key = (bits[:, at].astype(np.uint64) * powers).sum(1, dtype=np.uint64)
+                    key = (key + (np.uint64(i) << np.uint64(width))) * _MIXERS[0]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key.view(np.int64)), batch.column(0), batch.column(1)], names=["key", "id", "fp"]
+                    )
+
+        return run
 
     source = distinct.filter(F.col("id").isNotNull()).select("id", "fp")
-    keyed = source.mapInArrow(keyed_rows, "key long, id long, fp binary")
-    roots = components(_links(keyed, distance, words, space, "links", hot_rows), space)
+    loose = None
+    for first in range(0, keys, KEYS_AT_ONCE):
+        keyed = source.mapInArrow(keyed_rows(first), "key long, id long, fp binary")
+        found = _links(keyed, distance, WIDE_BITS // 64, space, f"links-{first}", hot_rows)
+        found = space.put(f"loose-{first}", found.distinct())
+        loose = found if loose is None else loose.unionByName(found)
+        space.release()
+    classes = space.put("classes", components(loose, space, "loose-stars"))
+    links = _verified(docs, classes, similarity, space, id_column, text_column)
+    roots = components(links, space)
     answer = space.put("answer", distinct.join(roots, distinct.id == roots.node, "left").select(
-        "fp", F.coalesce("root", "id").alias("component")))
-    return prints.join(answer, "fp").filter("doc <> component").select("doc", "component")
+        "digest", F.coalesce("root", "id").alias("component")))
+    return prints.join(answer, "digest").filter("doc <> component").select("doc", "component")

@@ -128,3 +128,45 @@ def test_near_groups_catch_near_copies_and_leave_others(table):
     assert (6000, 0) in found and (5001, 5000) in found
     others = found - {(6000, 0), (5001, 5000)}
     assert others <= near and len(others) >= 0.9 * len(near)
+
+
+def pair_at(draw, words, share, n=204):
+    """Two texts of n words whose five-word shingles have Jaccard similarity `share`, by a replaced tail."""
+    total = n - 4
+    lost = round(total * (1 - share) / (1 + share))
+    text = [draw.choice(words) for _ in range(n)]
+    return text, [*text[: n - lost], *(draw.choice(words) for _ in range(lost))]
+
+
+@pytest.mark.parametrize("share, linked", [(0.802, True), (0.78, False), (0.7, False)])
+def test_near_groups_decide_by_exact_jaccard(table, share, linked):
+    draw = random.Random(7)
+    words = [f"v{i}" for i in range(30000)]
+    rows = []
+    for i in range(300):
+        pair = [" ".join(t) for t in pair_at(draw, words, share)]
+        assert (jaccard(*pair) >= 0.8) == linked and abs(jaccard(*pair) - share) < 0.01
+        rows += [(2 * i, pair[0]), (2 * i + 1, pair[1])]
+    found = {(r.doc, r.component) for r in simhash.near_groups(table(rows)).collect()}
+    assert found <= {(2 * i + 1, 2 * i) for i in range(300)}
+    assert len(found) >= 0.96 * 300 if linked else not found
+
+
+def test_verified_links_equal_brute_force():
+    draw = random.Random(9)
+    sets = [np.unique(np.array(draw.sample(range(60), draw.randint(0, 50)), np.uint64)) for _ in range(80)]
+    sets += [np.union1d(x, np.array([99], np.uint64)) for x in sets]
+    exact = {
+        (i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))
+        if len(a := set(sets[i]) | set(sets[j])) and len(set(sets[i]) & set(sets[j])) >= 0.8 * len(a)
+    }
+
+    def classes(links):
+        root = list(range(len(sets)))
+        for i, j in links:
+            root = [root[i] if r == root[j] else r for r in root]
+        return {tuple(i for i, r in enumerate(root) if r == x) for x in set(root)}
+
+    assert set(simhash.similar(sets, 0.8)) <= exact and classes(simhash.similar(sets, 0.8)) == classes(exact)
+    crossing = {(i, j) for i, j in exact if i < 70 <= j}
+    assert classes(simhash.similar(sets, 0.8, cross=70)) == classes(crossing)

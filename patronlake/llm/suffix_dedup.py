@@ -13,8 +13,8 @@ A byte is removed if a `SPAN`-byte string that covers it also starts in a docume
 - Edges bring their bytes together once, at the end, and compare window by window.
 
 Batches may come in any order of ids. Scans stream through sorted rows and hold one anchor's rows at a
-time, of an anchor with more than `HOT_ROWS` rows not even those: its edges go by window instead. No
-group is collected and nothing is capped.
+time, of an anchor with more than `HOT_ROWS` rows not even those: its edges, those of batches in which it
+has fewer rows too, go by window instead. No group is collected and nothing is capped.
 
 Defined results: a NULL text is empty and keeps nothing; texts below `SPAN` bytes keep all; a NULL id
 counts as larger than all others; rows with equal ids are not "smaller" to each other, so equal rows
@@ -254,7 +254,7 @@ class SuffixFamily:
         return f"{self.space.name}_{name}"
 
     def add(self, docs: DataFrame, last: bool = False) -> DataFrame:
-        """Scans a batch (doc long, bytes binary) against all levels; rows (doc, body, kind) found.
+        """Scans a batch (doc long, bytes binary) against all levels; rows (doc, prefix, group, body, kind) found.
 
         `last` writes no level: for a family that is thrown away after this batch.
         """
@@ -288,7 +288,8 @@ class SuffixFamily:
             self.levels.append((len(merging), name))
         schema = T.StructType.fromDDL(_FOUND)
         found = self.space.get(name, schema).filter(F.col("kind") != ENTRY)
-        return found.select("doc", "body", "kind")
+        group = F.shiftright("near", 32).cast("int").alias("group")
+        return found.select("doc", "prefix", group, "body", "kind")
 
     def _forget(self, name: str) -> None:
         self.spark.sql(f"DROP TABLE {self._table(name)}")
@@ -504,10 +505,13 @@ def lost_segments(docs: DataFrame, keyed: DataFrame, batches: int = BATCHES, hot
         space.release()
     family.close()
     removed = found.filter(F.col("kind") == REMOVED).select("doc", "body", F.lit(-1).cast("long").alias("mask"))
+    # an anchor that was hot in any batch is hot for the pieces of all batches, or they would not meet
+    hot_anchors = space.put("hot-anchors", found.filter(F.col("kind") == HOT_EDGE).select("prefix", "group").distinct())
     edges = (
         found.filter(F.col("kind") != REMOVED)
+        .join(hot_anchors.withColumn("hot", F.lit(True)), ["prefix", "group"], "left")
         .groupBy("doc", "body")
-        .agg((F.max("kind") == HOT_EDGE).alias("hot"))
+        .agg(F.coalesce(F.max("hot"), F.lit(False)).alias("hot"))
         .groupBy("doc")
         .agg(F.collect_list(F.struct("body", "hot")).alias("wanted"))
     )

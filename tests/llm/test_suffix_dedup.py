@@ -102,3 +102,18 @@ def test_documents_keep_their_columns(table):
     found = {r.doc_id: tuple(r)[1:] for r in out.collect()}
     assert found[1] == (passage, "en", len(passage), "x")
     assert found[2] == ("before  after", "de", 13, None) and set(found) == {1, 2}
+
+
+def test_an_anchor_hot_in_one_batch_and_cold_in_another(table):
+    """Documents of batch 2 share windows, not segments, with an anchor that only batch 1 has often."""
+    draw = random.Random(11)
+
+    def noise(n):
+        return "".join(draw.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+
+    passage = noise(60)
+    rows = [(i, passage) for i in range(1, 61)] + [(1000 + i, noise(80)) for i in range(58)]
+    rows += [(2000, noise(40) + passage[:54] + noise(40)), (2001, noise(40) + passage[6:] + noise(40))]
+    found = dedup_passages(table(rows), 2, 20).drop("kept").collect()
+    assert {r.doc_id: r.n_removed for r in found if r.doc_id >= 2000} == {2000: 54, 2001: 54}
+    assert sorted(str(tuple(r)) for r in found) == brute(rows)

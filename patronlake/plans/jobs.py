@@ -73,19 +73,28 @@ def reload_day(raw_events: DataFrame, path: str, day: dt.date, late_days: int =
     """Clean one logical day of events and rewrite just that day under ``path``.
 
     Running it again gives the same files; other days are not touched. A day without events is
-    left as it is. A feed with ``ingest_date`` partitions is read from the day before to
-    ``late_days`` after it: events arrive on their day or a little later.
+    left as it is. A feed with ``ingest_date`` partitions is read from the day before on, as events
+    arrive on their day or later. Of those that arrive more than ``late_days`` after it, replays of
+    events that had arrived by then are left out; all others are kept, however late.
     """
-    if "ingest_date" in raw_events.columns:
-        arrived = F.col("ingest_date").cast("date")
-        span = (day - dt.timedelta(days=1), day + dt.timedelta(days=late_days))
-        raw_events = raw_events.filter(arrived.between(*map(F.lit, span)))
     first, following = (
         F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz")
         for d in (day, day + dt.timedelta(days=1))
     )
     stamp = F.col("timestamp")
-    events = clean_events(raw_events).filter((stamp >= first) & (stamp < following))
+
+    def of_day(raw: DataFrame) -> DataFrame:
+        return clean_events(raw).filter((stamp >= first) & (stamp < following))
+
+    if "ingest_date" in raw_events.columns:
+        arrived = F.col("ingest_date").cast("date")
+        before, in_time = (F.lit(day + dt.timedelta(days=n)) for n in (-1, late_days))
+        events = of_day(raw_events.filter(arrived.between(before, in_time)))
+        late = of_day(raw_events.filter(arrived > in_time))
+        known = events.select("event_id").distinct()
+        events = events.unionByName(late.join(known, "event_id", "left_anti"))
+    else:
+        events = of_day(raw_events)
     write_days(events, path, "timestamp", "event_id")
 
 

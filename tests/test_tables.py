@@ -223,3 +223,15 @@ def test_day_reload_reads_the_days_of_arrival_only(spark, tmp_path):
         ).write.mode("append").partitionBy("ingest_date").parquet(feed)
     jobs.reload_day(spark.read.parquet(feed), f"{tmp_path}/log", dt.date(2024, 1, 1))
     assert spark.read.parquet(f"{tmp_path}/log").count() == 3
+
+
+def test_day_reload_keeps_events_that_arrive_much_later(spark, tmp_path):
+    feed = f"{tmp_path}/feed"
+    for event, arrived in (("0", "2024-01-01"), ("1", "2024-01-03"), ("2", "2024-01-06")):
+        spark.range(1).selectExpr(
+            f"'{event}' AS event_id", "TIMESTAMP_NTZ '2024-01-01 10:00:00' AS timestamp",
+            "'view_item' AS event_type", "'u' AS user_id", "'s' AS session_id", "'p' AS product_id",
+            "'x' AS device_os", "1 AS time_spent_seconds", f"DATE '{arrived}' AS ingest_date",
+        ).write.mode("append").partitionBy("ingest_date").parquet(feed)
+    jobs.reload_day(spark.read.parquet(feed), f"{tmp_path}/log", dt.date(2024, 1, 1))
+    assert ids(spark.read.parquet(f"{tmp_path}/log").select("event_id")) == ["0", "1", "2"]

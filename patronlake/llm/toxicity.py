@@ -1,22 +1,21 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index of all their terms.
 
 Learning. Labelled rows that are not held out give at most `MAX_EXAMPLES` examples, those with the least
 hash of their id, and of equal texts one. Terms are lower-case words and their beginnings of 4 and 5
-letters. Spark counts in how many examples of either label a term stands; the vocabulary is the terms
-of a likelihood ratio of at least `LEAST_RATIO` that stand in at least `LEAST_SHARE` of the toxic
-examples. Examples become unit vectors of TF-IDF weights over the vocabulary.
+letters. All terms of two or more examples are indexed; one of a single example links it to no other.
+A term's weight is its IDF times 1 + G, with G2 the likelihood ratio of term and label: terms that speak
+for either label lead and all others still count. Examples become unit vectors of these TF-IDF weights.
 
-Search. Examples are ordered by their strongest term and cut into blocks. Each term has postings, and
-for each block it occurs in the greatest weight there. A text's bound for a block is the sum of its
-weights times those; blocks are scored in the order of their bounds until no bound reaches the k-th
-score. The result is that of scoring all examples, ties to the earlier example.
+Search. Rare terms have postings; terms of an eighth of the examples or more are rows of a dense matrix,
+which texts are multiplied with some at a time. Every example is scored. What may be among the k nearest
+by these sums is scored again in double precision; ties go to the earlier example.
 
 Score. The neighbours vote with their similarities. Votes of the examples themselves, each without its
 own text, are turned into rates of toxicity by isotonic regression; this calibration maps a text's
-vote to its score. A text without any term of the vocabulary, so an empty one too, gets the rate of
-examples without any. Evidence is the nearest examples with label and similarity.
+vote to its score. A text without any indexed term, so an empty one too, gets the rate of examples
+without any. Evidence is the nearest examples with label and similarity.
 
-The index has at most `MAX_EXAMPLES` rows of vocabulary terms, so it may be broadcast; all texts are
+The index has the terms of at most `MAX_EXAMPLES` rows, so it may be broadcast; all texts are
 scored whole.
 
 Defined results: a NULL text is empty; NULL labels teach nothing, of several labels of an id the
@@ -26,12 +25,12 @@ the hash of the empty text; repeated rows are scored each; further columns are i
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +38,9 @@ from patronlake.llm.shared import Workspace, prepare, required, whole_text
 
 MAX_EXAMPLES = 10_000
 NEIGHBOURS = 16
-BLOCK = 64
-LEAST_RATIO = 30.0
-LEAST_SHARE = 0.03
-LEAST_COUNT = 3
+AT_ONCE = 64  # texts to a product with the dense matrix
+COMMON = 8  # a term of one in so many examples is common
+LEAST_COUNT = 2
 THRESHOLD = 0.7
 KEPT_WORDS = 200_000
 
@@ -79,81 +77,125 @@ def _example_terms(batches):
         )
 
 
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 class Index:
-    """Labelled unit vectors in blocks, with postings and block maxima by term."""
+    """Labelled unit vectors, by example and by term."""
 
     def __init__(self, idf: dict[str, float], examples: list[tuple[int, int, dict[str, int]]], neighbours: int = NEIGHBOURS):
-        """examples: (doc_id, label, counts of vocabulary terms)."""
-        self.k = neighbours
-        self.terms = {t: i for i, t in enumerate(sorted(idf))}
-        self.idf = np.array([idf[t] for t in sorted(idf)])
-        vectors = [(doc, label, self.vector(counts)) for doc, label, counts in examples]
-        blank = [label for _, label, v in vectors if v is None]
-        full = [(doc, label, v) for doc, label, v in vectors if v is not None]
-        # examples with the same strongest term stand together, which keeps block maxima apart
-        full.sort(key=lambda e: (int(e[2][0][np.argmax(e[2][1])]), -float(e[2][1].max()), e[0]))
-        self.docs = np.array([e[0] for e in full], np.int64)
-        self.labels = np.array([e[1] for e in full], np.float64)
-        self.vectors = [e[2] for e in full]
-        self.n_blocks = -(-len(full) // BLOCK)
-        postings: list[list[tuple[int, float]]] = [[] for _ in self.terms]
-        for i, (ids, weights) in enumerate(self.vectors):
-            for t, w in zip(ids.tolist(), weights.tolist()):
-                postings[t].append((i, w))
-        self.at = [np.array([i for i, _ in p], np.int64) for p in postings]
-        self.weight = [np.array([w for _, w in p]) for p in postings]
-        self.block_at, self.block_max, self.block_from = [], [], []
-        for at, weight in zip(self.at, self.weight):
-            blocks, begin = np.unique(at // BLOCK, return_index=True)
-            self.block_at.append(blocks)
-            self.block_max.append(np.maximum.reduceat(weight, begin) if len(begin) else weight)
-            self.block_from.append(np.searchsorted(at, np.arange(self.n_blocks + 1) * BLOCK))
-        n = len(blank) + len(full)
-        prior = (sum(blank) + float(self.labels.sum()) + 1) / (n + 2)
-        self.blank_score = (sum(blank) + prior) / (len(blank) + 1) if n else 0.5
+        """idf: weight of each term. examples: (doc_id, label, counts of terms, of which those in idf count)."""
+        terms = sorted(idf)
+        number = {t: i for i, t in enumerate(terms)}
+        rows = [sorted((number[t], n) for t, n in counts.items() if t in number) for _, _, counts in examples]
+        self._build(
+            terms, np.array([idf[t] for t in terms]),
+            np.array([e[0] for e in examples], np.int64), np.array([e[1] for e in examples], np.float64),
+            np.repeat(np.arange(len(rows)), [len(r) for r in rows]).astype(np.int64),
+            np.array([t for r in rows for t, _ in r], np.int64), np.array([n for r in rows for _, n in r], np.float64),
+            neighbours,
+        )
+
+    @classmethod
+    def of_arrays(cls, *columns) -> Index:
+        index = cls.__new__(cls)
+        index._build(*columns)
+        return index
+
+    def _build(self, terms, idf, docs, labels, row, term, count, neighbours=NEIGHBOURS):
+        """row, term, count: the terms of the examples, by row and term."""
+        self.k, self.idf = neighbours, idf
+        self.terms = {t: i for i, t in enumerate(terms)}
+        size = np.bincount(row, minlength=len(docs))
+        full = size > 0
+        blank = labels[~full]
+        self.docs, self.labels, size = docs[full], labels[full], size[full]
+        n = len(self.docs)
+        self.bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        # whole numbers instead of weights, and some rows at a time: the driver is small
+        self.term = term.astype(np.int32)
+        self.count = count.astype(np.min_scalar_type(int(count.max()) if len(count) else 0))
+        self.norm = np.ones(n)
+        df = np.bincount(term, minlength=len(terms))
+        self.common = np.where(df * COMMON >= n, np.cumsum(df * COMMON >= n) - 1, -1)
+        self.matrix = np.zeros((int((self.common >= 0).sum()), n), np.float32)
+        self.size = np.where(self.common >= 0, 0, df)
+        self.begin = np.cumsum(self.size) - self.size
+        self.at = np.empty(int(self.size.sum()), np.int32)
+        self.at_weight = np.empty(len(self.at), np.float32)
+        filled = self.begin.copy()
+        for i in range(n):
+            ids, weight = self._row(i)
+            self.norm[i] = np.sqrt((weight * weight).sum())
+            weight /= self.norm[i]
+            dense = self.common[ids] >= 0
+            self.matrix[self.common[ids[dense]], i] = weight[dense]
+            rare = ids[~dense]
+            self.at[filled[rare]], self.at_weight[filled[rare]] = i, weight[~dense]
+            filled[rare] += 1
+        total = n + len(blank)
+        prior = (float(blank.sum()) + float(self.labels.sum()) + 1) / (total + 2)
+        self.blank_score = (float(blank.sum()) + prior) / (len(blank) + 1) if total else 0.5
         self.knots = self._calibrate()
 
+    @property
+    def vectors(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [self._row(i) for i in range(len(self.docs))]
+
+    def _row(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.bounds[i], self.bounds[i + 1]
+        return self.term[a:b], (1 + np.log(self.count[a:b], dtype=np.float64)) * self.idf[self.term[a:b]] / self.norm[i]
+
     def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray] | None:
         """(term numbers, weights) of unit length; None without any term."""
-        pairs = sorted((self.terms[t], n) for t, n in counts.items() if t in self.terms)
-        if not pairs:
+        return self.numbered({self.terms[t]: n for t, n in counts.items() if t in self.terms})
+
+    def numbered(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The same of counts by term number."""
+        if not counts:
             return None
-        ids = np.array([t for t, _ in pairs])
-        weights = (1 + np.log([n for _, n in pairs])) * self.idf[ids]
+        ids = np.fromiter(counts, np.int64, len(counts))
+        order = np.argsort(ids)
+        ids = ids[order]
+        weights = (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts))[order])) * self.idf[ids]
         return ids, weights / np.sqrt((weights * weights).sum())
 
     def nearest(self, vector, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Positions and similarities of the k nearest examples with similarity above 0."""
-        ids, weights = vector
-        bounds = np.zeros(self.n_blocks)
-        for t, w in zip(ids.tolist(), weights.tolist()):
-            bounds[self.block_at[t]] += w * self.block_max[t]
-        order = np.argsort(-bounds, kind="stable")
-        best_at, best = np.empty(0, np.int64), np.empty(0)
-        least = 0.0
-        for begin in range(0, len(order), 4):
-            blocks = order[begin : begin + 4]
-            blocks = blocks[(bounds[blocks] > 0) & (bounds[blocks] >= least - 1e-12)]
-            if not len(blocks):
-                break
-            at, score = [best_at], [best]
-            for block in blocks.tolist():
-                dense = np.zeros(min(BLOCK, len(self.docs) - block * BLOCK))
-                for t, w in zip(ids.tolist(), weights.tolist()):
-                    a, b = self.block_from[t][block], self.block_from[t][block + 1]
-                    dense[self.at[t][a:b] - block * BLOCK] += w * self.weight[t][a:b]
-                hit = np.flatnonzero(dense > 0)
-                at.append(hit + block * BLOCK)
-                score.append(dense[hit])
-            at, score = np.concatenate(at), np.concatenate(score)
-            if without >= 0:
-                other = at != without
-                at, score = at[other], score[other]
-            keep = np.lexsort((at, -score))[:k]
-            best_at, best = at[keep], score[keep]
-            if len(best) == k:
-                least = float(best[-1])
-        return best_at, best
+        return self.all_nearest([vector], k, [without])[0]
+
+    def all_nearest(self, vectors, k: int, without=None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """`nearest` of each vector."""
+        found, n = [], len(self.docs)
+        for first in range(0, len(vectors), AT_ONCE):
+            some = vectors[first : first + AT_ONCE]
+            query = np.zeros((len(some), len(self.matrix)), np.float32)
+            for i, (ids, weights) in enumerate(some):
+                on = self.common[ids] >= 0
+                query[i, self.common[ids[on]]] = weights[on]
+            scores = query @ self.matrix
+            for i, (ids, weights) in enumerate(some):
+                score, size = scores[i], self.size[ids]
+                at = _ranges(self.begin[ids], size)
+                score += np.bincount(self.at[at], np.repeat(weights, size) * self.at_weight[at], minlength=n)
+                if without is not None and without[first + i] >= 0:
+                    score[without[first + i]] = 0
+                least = np.partition(score, n - k)[n - k] - 1e-5 if n > k else 0
+                near = np.flatnonzero((score > 0) & (score >= least))
+                exact = self._exact(ids, weights, near)
+                keep = np.lexsort((near, -exact))[:k]
+                found.append((near[keep], exact[keep]))
+        return found
+
+    def _exact(self, ids: np.ndarray, weights: np.ndarray, near: np.ndarray) -> np.ndarray:
+        out = np.empty(len(near))
+        for j, i in enumerate(near.tolist()):
+            terms, own = self._row(i)
+            at = np.minimum(np.searchsorted(ids, terms), len(ids) - 1)
+            out[j] = np.where(ids[at] == terms, weights[at], 0.0) @ own
+        return out
 
     def vote(self, at: np.ndarray, similarity: np.ndarray) -> float:
         """Share of toxic examples among the nearest, weighted by similarity, drawn to the blank rate."""
@@ -162,9 +204,11 @@ class Index:
 
     def _calibrate(self) -> tuple[np.ndarray, np.ndarray]:
         """Isotonic regression of labels on the votes of the examples, each found without itself."""
-        votes = np.array([
-            self.vote(*self.nearest(v, self.k, without=i)) for i, v in enumerate(self.vectors)
-        ])
+        n, votes = len(self.docs), []
+        for first in range(0, n, AT_ONCE):
+            some = range(first, min(first + AT_ONCE, n))
+            votes += [self.vote(*near) for near in self.all_nearest([self._row(i) for i in some], self.k, some)]
+        votes = np.array(votes)
         if not len(votes):
             return np.array([0.0, 1.0]), np.array([0.0, 1.0])
         order = np.argsort(votes, kind="stable")
@@ -180,9 +224,17 @@ class Index:
 
     def score(self, vector) -> tuple[float, list[tuple[int, int, float]]]:
         """Score and evidence: (doc_id, label, similarity) of the three nearest."""
-        if vector is None or not len(self.docs):
-            return self.blank_score, []
-        at, similarity = self.nearest(vector, self.k)
+        return self.all_scores([vector])[0]
+
+    def all_scores(self, vectors) -> list[tuple[float, list[tuple[int, int, float]]]]:
+        """`score` of each vector."""
+        full = [v for v in vectors if v is not None] if len(self.docs) else []
+        found = iter(self.all_nearest(full, self.k))
+        return [
+            (self.blank_score, []) if v is None or not full else self._score(*next(found)) for v in vectors
+        ]
+
+    def _score(self, at: np.ndarray, similarity: np.ndarray) -> tuple[float, list[tuple[int, int, float]]]:
         value = float(np.interp(self.vote(at, similarity), *self.knots)) if len(at) else self.blank_score
         evidence = [
             (int(self.docs[i]), int(self.labels[i]), float(s)) for i, s in zip(at[:3].tolist(), similarity[:3].tolist())
@@ -190,20 +242,18 @@ class Index:
         return min(1.0, max(0.0, value)), evidence
 
 
-def _likelihood_ratio() -> Column:
-    """G-squared of term and label: a, b examples with the term; toxic, clean examples in all."""
-    n = F.col("toxic") + F.col("clean")
-    with_term = F.col("a") + F.col("b")
+def likelihood_ratio(a: np.ndarray, b: np.ndarray, toxic: int, clean: int) -> np.ndarray:
+    """G-squared of term and label: a toxic and b clean examples with the term; toxic, clean examples in all."""
+    n, with_term = toxic + clean, a + b
 
-    def part(seen: Column, rows: Column, columns: Column) -> Column:
-        return F.when(seen > 0, seen * F.log(seen * n / (rows * columns))).otherwise(0.0)
+    def part(seen, rows, columns):
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) * n / np.maximum(rows * columns, 1)), 0.0)
 
     without = n - with_term
-    return 2 * (
-        part(F.col("a"), with_term, F.col("toxic")) + part(F.col("b"), with_term, F.col("clean"))
-        + part(F.col("toxic") - F.col("a"), without, F.col("toxic"))
-        + part(F.col("clean") - F.col("b"), without, F.col("clean"))
-    )
+    return np.maximum(0.0, 2 * (
+        part(a, with_term, toxic) + part(b, with_term, clean)
+        + part(toxic - a, without, toxic) + part(clean - b, without, clean)
+    ))
 
 
 def learn(docs: DataFrame, labels: DataFrame, space: Workspace, max_examples: int = MAX_EXAMPLES) -> Index:
@@ -223,26 +273,51 @@ def learn(docs: DataFrame, labels: DataFrame, space: Workspace, max_examples: in
     counted = space.put("examples", texts.select(
         F.unhex(F.lpad(F.hex("doc_id"), 16, "0")).alias("digest"), "label", "text"
     ).mapInArrow(_example_terms, _TERMS))
-    totals = counted.agg(F.count_if(F.col("label") == 1).alias("toxic"), F.count_if(F.col("label") != 1).alias("clean"))
-    toxic, clean = totals.first()
-    if not toxic + clean:
-        return Index({}, [])
     vocabulary = (
         counted.select("label", F.explode("terms").alias("term")).groupBy("term")
         .agg(F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") != 1).alias("b"))
-        .withColumns({"toxic": F.lit(toxic), "clean": F.lit(clean)})
-        .filter((F.col("a") >= max(LEAST_COUNT, LEAST_SHARE * toxic)) & (_likelihood_ratio() >= LEAST_RATIO))
-        .filter(F.col("a") * F.col("clean") > F.col("b") * F.col("toxic"))
-        .select("term", (F.col("a") + F.col("b")).alias("df")).collect()  # at most a few terms for each toxic example
+        .filter(F.col("a") + F.col("b") >= LEAST_COUNT).toArrow().sort_by("term")  # terms of at most max_examples rows
     )
-    idf = {r["term"]: math.log((1 + toxic + clean) / (1 + r["df"])) + 1 for r in vocabulary}
-    wanted = F.array(*map(F.lit, sorted(idf))) if idf else F.array().cast("array<string>")
-    pairs = F.filter(F.arrays_zip("terms", "counts"), lambda p: F.array_contains(wanted, p["terms"]))
-    examples = counted.select("digest", "label", pairs.alias("pairs")).collect()
-    return Index(idf, [
-        (int.from_bytes(r["digest"], "big", signed=True), r["label"], {p["terms"]: p["counts"] for p in r["pairs"]})
-        for r in examples
-    ])
+    terms = vocabulary["term"].to_pylist()
+    a, b = (vocabulary[c].to_numpy().astype(np.float64) for c in ("a", "b"))
+    numbered = counted.mapInArrow(
+        _numbered_terms(docs.sparkSession.sparkContext.broadcast(vocabulary["term"].combine_chunks())),
+        "digest binary, label int, terms binary, counts binary",
+    ).toArrow().sort_by("digest")
+    rows = [np.frombuffer(x, np.int32) for x in numbered["terms"].to_pylist()]
+    labelled = numbered["label"].to_numpy().astype(np.float64)
+    toxic = int((labelled == 1).sum())
+    clean = len(labelled) - toxic
+    weights = (np.log((1 + toxic + clean) / (1 + a + b)) + 1) * (1 + np.sqrt(likelihood_ratio(a, b, toxic, clean)))
+    none = np.empty(0, np.int32)
+    return Index.of_arrays(
+        terms, weights,
+        np.array([int.from_bytes(d, "big", signed=True) for d in numbered["digest"].to_pylist()], np.int64), labelled,
+        np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows]), np.concatenate([none, *rows]),
+        np.concatenate([none, *(np.frombuffer(x, np.int32) for x in numbered["counts"].to_pylist())]),
+    )
+
+
+def _numbered_terms(vocabulary):
+    """Term numbers, ascending, and counts of each example as bytes."""
+
+    def run(batches):
+        for batch in batches:
+            terms, counts = [], []
+            numbers = pc.index_in(batch.column(2).flatten(), value_set=vocabulary.value).fill_null(-1).to_numpy()
+            seen = batch.column(3).flatten().to_numpy()
+            ends = np.cumsum(pc.list_value_length(batch.column(2)).to_numpy())
+            for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist()):
+                number = numbers[begin:end]
+                order = np.argsort(number)[int((number < 0).sum()) :]
+                terms.append(number[order].astype(np.int32).tobytes())
+                counts.append(seen[begin:end][order].astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(terms, pa.binary()), pa.array(counts, pa.binary())],
+                names=["digest", "label", "terms", "counts"],
+            )
+
+    return run
 
 
 def _scorer(index):
@@ -251,27 +326,23 @@ def _scorer(index):
 
     def run(batches):
         model: Index = index.value
-        terms, known, scored = model.terms, {}, {}
+        terms, known = model.terms, {}
         for batch in batches:
-            scores, evidence = [], []
-            for text in batch.column(1).to_pylist():
-                counts: dict[str, int] = {}
-                for word in _LETTERS.findall(text.lower()):
+            vectors = []
+            for text in batch.column(1):
+                counts: dict[int, int] = {}
+                for word, n in Counter(_LETTERS.findall(text.as_py().lower())).items():
                     hit = known.get(word)
                     if hit is None:
                         if len(known) > KEPT_WORDS:
                             known.clear()
-                        hit = known[word] = tuple(t for t in terms_of_word(word) if t in terms)
+                        hit = known[word] = tuple(terms[t] for t in terms_of_word(word) if t in terms)
                     for term in hit:
-                        counts[term] = counts.get(term, 0) + 1
-                key = tuple(sorted(counts.items()))
-                if key not in scored:
-                    if len(scored) > KEPT_WORDS // 10:
-                        scored.clear()
-                    scored[key] = model.score(model.vector(counts))
-                value, near = scored[key]
-                scores.append(value)
-                evidence.append([{"doc_id": d, "label": y, "similarity": s} for d, y, s in near])
+                        counts[term] = counts.get(term, 0) + n
+                vectors.append(model.numbered(counts))
+            found = model.all_scores(vectors)
+            scores = [value for value, _ in found]
+            evidence = [[{"doc_id": d, "label": y, "similarity": s} for d, y, s in near] for _, near in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores, pa.float64()), pa.array(evidence, kind)], names=names
             )

@@ -67,3 +67,33 @@ def test_without_labels_and_with_nulls(spark, table):
     rows = X.score_toxicity(docs, none).collect()
     assert sorted((str(r.doc_id), r.score, r.predicted) for r in rows) == [("1", 0.5, 0), ("2", 0.5, 0), ("None", 0.5, 0)]
     assert X.score_toxicity(docs.limit(0), none).count() == 0
+
+
+def test_few_examples_still_search_every_text(spark):
+    """51 examples, 6 of them toxic: scores differ, and toxic texts lead."""
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rows = {r.doc_id: r for r in X.score_toxicity(docs, labels).collect()}
+    assert len(rows) == docs.count() and len({r.score for r in rows.values()}) > 5
+    worded = {r.doc_id for r in docs.collect() if len((r.text or "").split()) >= 20}
+    assert len(worded) > 150 and all(rows[d].evidence for d in worded)
+    truth = {r.doc_id: r.toxic for r in labels.collect() if r.doc_id in rows}
+    toxic, clean = ([rows[d].score for d, y in truth.items() if y == label] for label in (1, 0))
+    assert np.mean(toxic) > np.mean(clean)
+
+
+def test_a_toxic_word_of_few_examples_counts(spark, table):
+    draw = random.Random(4)
+    ids = [i for i in range(900) if zlib.crc32(str(i).encode()) % 3 != 1][:400]
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    rows, labels = [], []
+    for n, i in enumerate(ids):
+        toxic = n % 4 == 0
+        mark = ("vilenessx" if n < 24 else "scumbagq") if toxic else "kindly"
+        rows.append((i, " ".join([*(draw.choice(words) for _ in range(40)), mark])))
+        labels.append((i, int(toxic)))
+    text = " ".join(draw.choice(words) for _ in range(40))
+    rows += [(5000, f"{text} vilenessx"), (5001, text), (5002, f"{text} kindly")]
+    found = {r.doc_id: r for r in X.score_toxicity(table(rows), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    assert found[5000].score > 0.7 > found[5002].score and all(e.label == 1 for e in found[5000].evidence)
+    assert found[5001].evidence

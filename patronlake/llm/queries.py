@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlake.llm import (
-    exact_topk, licenses, mixing, quality_rules, simhash, suffix_dedup, token_counts, toxicity, unigram, warc,
+    collocations, exact_topk, licenses, mixing, quality_rules, role_repair, simhash, suffix_dedup, token_counts,
+    toxicity, unigram, vector_join, warc,
 )
 from patronlake.llm.shared import Workspace
 
@@ -93,9 +94,23 @@ def op10_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return found.drop("kept")
 
 
+def op11_vector_join(spark: SparkSession, directory: str) -> DataFrame:
+    return vector_join.nearest(_table(spark, directory, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op12_role_repair(spark: SparkSession, directory: str) -> DataFrame:
+    rows = role_repair.conversations(_table(spark, directory, "conversations"))
+    return role_repair.repair(role_repair.damage(rows))
+
+
+def op13_collocations(spark: SparkSession, directory: str) -> DataFrame:
+    return collocations.mine(_table(spark, directory, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     named = [
         op1_warc_archives, op2_toxicity_neighbours, op3_exact_topk, op4_license_scan, op5_token_counts,
         op6_simhash_dedup, op7_quality_rules, op8_sentencepiece, op9_source_mix, op10_suffix_dedup,
+        op11_vector_join, op12_role_repair, op13_collocations,
     ]
     return {query.__name__: query for query in named}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from patronlake.llm import licenses, quality_rules
+from patronlake.llm import collocations, licenses, quality_rules
 from patronlake.llm.anchors import SPAN
 from patronlake.llm.queries import MIX
 
@@ -236,6 +236,67 @@ WITH t AS (
 SELECT doc_id, n_bytes, n_removed, n_spans, sha256(unhex(rest)) AS kept_sha256 FROM kept"""
 
 
+def _vector_join() -> str:
+    return """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_transform(range(1, len(q.w) + 1), lambda i: q.w[i] * c.w[i]) AS p
+  FROM v AS q JOIN v AS c ON q.r <> c.r WHERE q.vec_id % 20 = 0
+), scored AS (
+  SELECT r, query_id, vec_id, list_reduce(p, lambda a, b: a + b) AS score FROM pairs
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored
+) WHERE rank <= 20"""
+
+
+def _collocations() -> str:
+    least, longest, first = collocations.LEAST, collocations.LONGEST, collocations.FIRST
+    return rf"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents
+), p AS (
+  SELECT lang, unnest(regexp_extract_all(t, '[^.,;:!?
+-]+')) AS piece FROM d
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM p
+), starts AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w
+), grams AS (
+  SELECT lang, w[i:i + k - 1] AS g FROM (SELECT *, unnest(range(1, least({longest}, len(w) - i + 1) + 1)) AS k FROM starts)
+), f AS (
+  SELECT lang, g, count(*) AS f FROM grams GROUP BY lang, g HAVING count(*) >= {least}
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang
+), cuts AS (
+  SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1
+), scored AS (
+  SELECT c.lang, c.g, c.a, x.f AS l, y.f AS r, n, k, (1000 * c.a::HUGEINT * n // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts AS c JOIN f AS x ON x.lang = c.lang AND x.g = c.g[1:k]
+  JOIN f AS y ON y.lang = c.lang AND y.g = c.g[k + 1:len(c.g)] JOIN totals AS t ON t.lang = c.lang
+), lowest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS nth FROM scored) WHERE nth = 1
+), inner_starts AS (
+  SELECT lang, g, f, unnest(range(1, len(g))) AS i FROM f WHERE len(g) > 2
+), inside AS (
+  SELECT lang, g[i:j] AS g, max(f) AS longer FROM (
+    SELECT lang, g, f, i, unnest(range(i + 1, len(g) + 1)) AS j FROM inner_starts
+  ) WHERE j - i + 1 < len(g) GROUP BY lang, g[i:j]
+), kept AS (
+  SELECT s.lang, array_to_string(s.g, ' ') AS phrase, a, l, r, n, score
+  FROM lowest AS s LEFT JOIN inside AS i ON i.lang = s.lang AND i.g = s.g
+  WHERE longer IS NULL OR 100 * longer < 100 * a
+)
+SELECT * FROM (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM kept
+) WHERE rank <= {first}"""
+
+
 def llm_statements() -> dict[str, str]:
     return {
         "op1_warc_archives": _warc(),
@@ -244,4 +305,6 @@ def llm_statements() -> dict[str, str]:
         "op7_quality_rules": _quality(),
         "op9_source_mix": _mixing(),
         "op10_suffix_dedup": _suffix_dedup(),
+        "op11_vector_join": _vector_join(),
+        "op13_collocations": _collocations(),
     }

@@ -45,8 +45,8 @@ from patronlake.llm.shared import Workspace, prepare, required
 
 LEAST, LONGEST, FIRST = 100, 5, 2000
 OPEN_AT_FIRST, GROWTH = 16, 16
-SLICE = 4 * 1024**2  # bytes of text to a row of codes
-ROWS_PER_FILE = 32
+SLICE = 2 * 1024**2  # bytes of text to a row of codes
+ROWS_PER_FILE = 16
 BITS_PER_KEY, MAX_BITS = 16, 1 << 27  # 16 MB a bitmap at most
 
 # Capitals to lower, ends of pieces to a full stop, tabs to blanks.

@@ -18,6 +18,12 @@ keys are as many as give a pair at `SIMILARITY` the chance `RECALL` to pass the
 only choose candidates: classes of loosely linked documents bring their sets of shingles together, and
 a link is a pair whose sets have Jaccard similarity `SIMILARITY` or more.
 
+Keys are drawn in batches, `KEYS_AT_FIRST` first and then `KEYS_AT_ONCE`. After each batch the loose
+classes are contracted: documents carry their class, rows of one class are not compared again, and a key
+reports its trees as links from the smallest class of the tree to each other one. So a class of n near
+copies gives at most KEYS_AT_FIRST * (n - 1) links in the first batch, however many keys there are, and
+only links between what is left of it later.
+
 Defined results: a NULL or blank text has fingerprint zero and links like any other; a text with fewer
 words than a shingle is one shingle; equal texts have equal fingerprints; NULL ids never are a
 component's id unless there is no other; repeated rows stay; empty tables give empty results; further
@@ -42,7 +48,7 @@ SEED = 42
 SHINGLE, DISTANCE = 3, 3
 HOT_ROWS = 4096
 WIDE_SHINGLE, WIDE_BITS, SIMILARITY, RECALL, DEVIATIONS = 5, 256, 0.8, 0.99, 3
-KEYS_AT_ONCE = 64  # shuffled at a time, which bounds the disk
+KEYS_AT_FIRST, KEYS_AT_ONCE = 8, 64  # shuffled at a time, which bounds the disk
 SET_ROWS, SET_SHINGLES = 2048, 1 << 20  # of a class, compared in one task
 _LANES = np.uint64(0x0101010101010101)
 _PIECE = 1 << 16  # shingles hashed at a time, so that a very long text needs little memory
@@ -179,6 +185,51 @@ def forest(fps: np.ndarray, distance: int, cross: int | None = None) -> list[tup
     return links
 
 
+def merged(fps: np.ndarray, distance: int, label: np.ndarray, cross: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the labels that pairs within the distance bring together: (smallest of a tree, other).
+
+    Rows of one label are together from the start. `cross` as in `forest`.
+    """
+    names, tree = np.unique(label, return_inverse=True)
+    n = len(fps)
+    for i in range(n if cross is None else cross):
+        others = np.arange(max(i + 1, cross or 0), n)
+        others = others[tree[others] != tree[i]]
+        if len(others):
+            near = others[np.bitwise_count(fps[others] ^ fps[i]).sum(1, dtype=np.int64) <= distance]
+            if len(near):
+                tree[np.isin(tree, np.append(tree[near], tree[i]))] = tree[i]
+    members = np.unique(np.stack([tree, label]), axis=1)
+    new = np.append(True, members[0, 1:] != members[0, :-1])
+    smallest = members[1][np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+    return smallest[~new], members[1][~new]
+
+
+def _classes_linked(distance: int, words: int):
+    """Rows (key, part, side, id, label, fp) sorted by key and part: links between labels in each run."""
+
+    def resolve(batch):
+        key, part, side, label = (batch.column(i).to_numpy() for i in (0, 1, 2, 4))
+        fps = np.frombuffer(b"".join(batch.column(5).to_pylist()), "<u8").reshape(-1, words)
+        start = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (part[1:] != part[:-1])))
+        size = np.diff(np.append(start, len(key)))
+        pair = start[size == 2]  # most keys that are shared at all
+        near = (np.bitwise_count(fps[pair] ^ fps[pair + 1]).sum(1, dtype=np.int64) <= distance) & (label[pair] != label[pair + 1])
+        x, y = label[pair[near]], label[pair[near] + 1]
+        a, b = [np.minimum(x, y)], [np.maximum(x, y)]
+        for s, n in zip(start[size > 2].tolist(), size[size > 2].tolist()):
+            own = label[s : s + n]
+            if (own == own[0]).all():
+                continue
+            cross = int((side[s : s + n] == 0).sum())
+            low, high = merged(fps[s : s + n], distance, own, cross if cross < n else None)
+            a.append(low)
+            b.append(high)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    return _by_run(resolve)
+
+
 def _linked(distance: int, words: int):
     """Rows (key, part, side, id, fp) sorted by key and part: links found in each run."""
 
@@ -233,10 +284,11 @@ def _by_run(resolve):
 
 
 def _links(keyed: DataFrame, distance: int, words: int, space: Workspace, name: str, hot_rows: int) -> DataFrame:
-    """Links (a, b) among rows (key long, id long, fp) that share a key.
+    """Links (a, b) among rows (key long, id long, fp) that share a key; of rows with a label, between labels.
 
-    Keys with one row are most of them and end at the scan. Of keys with more than `hot_rows` rows the
-    rows go to chunks by a hash, and every two chunks meet in a task of their own.
+    Of keys with more than `hot_rows` rows the rows go to chunks by a hash, and every two chunks meet in
+    a task of their own. What one task holds at a time is two chunks of `hot_rows` rows at most, which
+    with wide fingerprints is about half a megabyte.
     """
     hot = space.put(
         f"{name}-hot",
@@ -244,9 +296,10 @@ def _links(keyed: DataFrame, distance: int, words: int, space: Workspace, name:
         .select("key", F.ceil(F.col("count") / hot_rows).cast("int").alias("chunks")),
     )
     plain = _parts(keyed, hot)
+    linked = (_classes_linked if "label" in keyed.columns else _linked)(distance, words)
     return (
         plain.repartition("key", "part").sortWithinPartitions("key", "part", "side")
-        .mapInArrow(_linked(distance, words), "a long, b long")
+        .mapInArrow(linked, "a long, b long")
     )
 
 
@@ -407,31 +460,39 @@ def near_groups(
     draw = np.random.default_rng(SEED)
     drawn = [np.sort(draw.choice(WIDE_BITS, width, replace=False)) for _ in range(keys)]
 
-    def keyed_rows(first):
+    def keyed_rows(some):
         def run(batches):
             powers = np.left_shift(np.uint64(1), np.arange(width, dtype=np.uint64))
             for batch in batches:
                 n = batch.num_rows
-                raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(n, -1)
+                raw = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(n, -1)
                 bits = np.unpackbits(raw, axis=1, bitorder="little")
-                for i, at in enumerate(drawn[first : first + KEYS_AT_ONCE], first):
-                    key = (bits[:, at].astype(np.uint64) * powers).sum(1, dtype=np.uint64)
+                for i in some:
+                    key = (bits[:, drawn[i]].astype(np.uint64) * powers).sum(1, dtype=np.uint64)
                     key = (key + (np.uint64(i) << np.uint64(width))) * _MIXERS[0]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key.view(np.int64)), batch.column(0), batch.column(1)], names=["key", "id", "fp"]
+                        [pa.array(key.view(np.int64)), *batch.columns], names=["key", "id", "label", "fp"]
                     )
 
         return run
 
-    source = distinct.filter(F.col("id").isNotNull()).select("id", "fp")
-    loose = None
-    for first in range(0, keys, KEYS_AT_ONCE):
-        keyed = source.mapInArrow(keyed_rows(first), "key long, id long, fp binary")
+    source = distinct.filter(F.col("id").isNotNull()).select("id", F.col("id").alias("label"), "fp")
+    first, step = 0, KEYS_AT_FIRST
+    while first < keys:
+        some = range(first, min(first + step, keys))
+        keyed = source.mapInArrow(keyed_rows(some), "key long, id long, label long, fp binary")
         found = _links(keyed, distance, WIDE_BITS // 64, space, f"links-{first}", hot_rows)
         found = space.put(f"loose-{first}", found.distinct())
-        loose = found if loose is None else loose.unionByName(found)
+        roots = components(found, space, f"loose-stars-{first}")
+        source = space.put(f"labelled-{first}", source.join(roots, F.col("label") == F.col("node"), "left").select(
+            "id", F.coalesce("root", "label").alias("label"), "fp"
+        ))
+        first, step = first + step, KEYS_AT_ONCE
         space.release()
-    classes = space.put("classes", components(loose, space, "loose-stars"))
+    shared = source.groupBy("label").count().filter("count > 1").select("label")
+    classes = space.put("classes", source.join(shared, "label").select(
+        F.col("id").alias("node"), F.col("label").alias("root")
+    ))
     links = _verified(docs, classes, similarity, space, id_column, text_column)
     roots = components(links, space)
     answer = space.put("answer", distinct.join(roots, distinct.id == roots.node, "left").select(

@@ -170,3 +170,64 @@ def test_verified_links_equal_brute_force():
     assert set(simhash.similar(sets, 0.8)) <= exact and classes(simhash.similar(sets, 0.8)) == classes(exact)
     crossing = {(i, j) for i, j in exact if i < 70 <= j}
     assert classes(simhash.similar(sets, 0.8, cross=70)) == classes(crossing)
+
+
+def test_merged_labels_equal_components():
+    draw = np.random.default_rng(4)
+    centres = draw.integers(0, 2**63, (6, 4), dtype=np.uint64)
+    fps = np.array([c ^ np.array([1 << int(draw.integers(63)), 0, 0, 0], np.uint64) for c in centres for _ in range(15)])
+    label = np.array([7 * (i // 2) + 3 for i in range(len(fps))])
+    low, high = simhash.merged(fps, 3, label)
+    groups = {}
+    for i in range(len(fps)):
+        groups.setdefault(i // 15, set()).add(int(label[i]))
+    whole = []  # labels that lie in two groups join them
+    for own in groups.values():
+        own = set(own)
+        for other in [x for x in whole if x & own]:
+            whole.remove(other)
+            own |= other
+        whole.append(own)
+    assert sorted(zip(low.tolist(), high.tolist())) == sorted((min(x), y) for x in whole for y in x if y != min(x))
+    assert len(simhash.merged(fps, 3, np.zeros(len(fps), np.int64))[0]) == 0
+
+
+def near_copies(draw, n, words):
+    base = [draw.choice(words) for _ in range(400)]
+    out = []
+    for _ in range(n):
+        text = list(base)
+        for at in draw.sample(range(400), 4):
+            text[at] = draw.choice(words)
+        out.append(" ".join(text))
+    return out
+
+
+@pytest.mark.parametrize("n", [300, 600])
+def test_links_of_a_class_do_not_grow_with_the_number_of_keys(table, monkeypatch, n):
+    rows = list(enumerate(near_copies(random.Random(11), n, [f"v{i}" for i in range(30000)])))
+    seen = []
+    plain = simhash.components
+
+    def counted(edges, space, name="stars"):
+        seen.append((name, edges.count()))
+        return plain(edges, space, name)
+
+    monkeypatch.setattr(simhash, "components", counted)
+    found = simhash.near_groups(table(rows)).collect()
+    assert {r.component for r in found} == {0} and len(found) == n - 1
+    loose = [count for name, count in seen if name.startswith("loose")]
+    assert len(loose) > 2 and loose[0] <= simhash.KEYS_AT_FIRST * (n - 1) and sum(loose) <= 10 * n
+
+
+@pytest.mark.parametrize("set_rows", [7, 2048])
+def test_large_classes_are_verified_in_chunks(spark, table, set_rows):
+    draw = random.Random(12)
+    words = [f"v{i}" for i in range(30000)]
+    texts = near_copies(draw, 30, words) + near_copies(draw, 30, words)
+    docs = table(list(enumerate(texts)))
+    classes = table([(i, 0) for i in range(60)], "node long, root long")  # one loose class of two real ones
+    space = simhash.Workspace(spark, "verified")
+    links = simhash._verified(docs, classes, 0.8, space, "doc_id", "text", set_rows=set_rows)
+    roots = {r.node: r.root for r in simhash.components(links, space).collect()}
+    assert roots == {i: 0 if i < 30 else 30 for i in range(60)}

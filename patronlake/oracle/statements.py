@@ -229,6 +229,8 @@ ORDER BY "timestamp", event_id LIMIT {P.EVENTS_LIMIT} OFFSET {P.EVENTS_OFFSET}""
     page["customer_360_upsert"] = """SELECT c.* REPLACE (CASE WHEN c.total_orders_completed > 0
   THEN v.loyalty_tier ELSE c.loyalty_tier END AS loyalty_tier)
 FROM customer_360 c LEFT JOIN dim_users_validated v ON c.user_id = v.user_id"""
+    page["merge_by_key"] = page["customer_360_upsert"]
+    page["daily_refresh"] = "SELECT * FROM customer_360"
     return page
 
 

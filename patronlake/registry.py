@@ -15,6 +15,8 @@ from patronlake.functions.periods import yyyymm
 from patronlake.operators import cleaning, events, orders, quality, staging, tickets, users, wide
 from patronlake.operators.products import cost_prices, products_plan
 from patronlake.plans import serving
+from patronlake.plans.daily import DailyStar
+from patronlake.sources.keyed import KeyedTable
 from patronlake.sources.landing import ingest_counts
 from patronlake.sources.shapes import RAW_SHAPES
 from patronlake.sources.tables import Warehouse, newest_by_key
@@ -75,16 +77,19 @@ def _remap_drift(t: BenchStar) -> DataFrame:
     )
 
 
-def _upsert(t: BenchStar) -> DataFrame:
+def _loads(t: BenchStar) -> tuple[DataFrame, DataFrame]:
     """A full load, then a second one of the buying customers with their tiers revised."""
     revised = users.clean_users(t.raw("raw_tiered_users")).select("user_id", "loyalty_tier")
     second = (
         t.customer_360.filter("total_orders_completed > 0")
         .drop("loyalty_tier")
         .join(revised, "user_id", "left")
-        .withColumn("load_seq", F.lit(2))
     )
-    first = t.customer_360.withColumn("load_seq", F.lit(1))
+    return t.customer_360, second
+
+
+def _upsert(t: BenchStar) -> DataFrame:
+    first, second = (rows.withColumn("load_seq", F.lit(i)) for i, rows in enumerate(_loads(t)))
     return newest_by_key(first.unionByName(second), "user_id")
 
 
@@ -135,6 +140,37 @@ def _event_stream(t: BenchStar) -> DataFrame:
     return stream.selectExpr(*[f"{e} AS `{n}`" for n, e in RAW_SHAPES["raw_events"][1].items()])
 
 
+def _daily_refresh(t: BenchStar) -> DataFrame:
+    """A first load without two dates, then these dates one after the other, the first of them twice."""
+    star = DailyStar(t.spark, scratch_folder(t.spark), f"daily_{uuid.uuid4().hex}", buckets=16)
+
+    def before(rows: DataFrame, stamp: str) -> DataFrame:
+        day = F.to_date(stamp)
+        return rows.filter(day.isNull() | ~day.isin(*P.REFRESH_DAYS))
+
+    orders = before(t.fact_orders, "created_at")
+    star.load(
+        users.clean_users(t.raw_users, before(t.raw_orders, "created_at")), orders,
+        t.fact_order_items.join(orders.select("order_id"), "order_id", "left_semi"),
+        before(t.fact_events_log, "timestamp"), before(t.fact_cs_tickets, "reported_at"),
+    )
+    raw = {name: getattr(t, f"raw_{name}") for name in ("orders", "order_items", "events", "tickets")}
+    for day in (*P.REFRESH_DAYS, P.REFRESH_DAYS[0]):
+        star.refresh(raw, t.dim_users, day)
+    return star.wide.read()
+
+
+def _merge_by_key(t: BenchStar) -> DataFrame:
+    """The two loads of ``customer_360_upsert`` as merges into a table in buckets."""
+    first, second = _loads(t)
+    table = KeyedTable(
+        t.spark, f"keyed_{uuid.uuid4().hex}", "customer_360", S.CUSTOMER_360.schema, "user_id", buckets=16
+    )
+    table.merge(first)
+    table.merge(second)
+    return table.read()
+
+
 def _feeds() -> dict[str, Query]:
     return {
         "ingest_counts": lambda t: ingest_counts({
@@ -152,6 +188,8 @@ def _feeds() -> dict[str, Query]:
             yyyymm(F.col("created_at")).alias("yyyymm")
         ).agg(F.count("*").alias("order_count")),
         "customer_360_upsert": _upsert,
+        "merge_by_key": _merge_by_key,
+        "daily_refresh": _daily_refresh,
         "stream_clean_events": _stream_clean,
         "stream_events_by_day": _stream_days,
         "stream_deduplicated": _stream_deduplicated,

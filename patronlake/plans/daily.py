@@ -34,7 +34,6 @@ from patronlake.operators.orders import clean_order_items, clean_orders
 from patronlake.operators.tickets import clean_tickets
 from patronlake.operators.wide import wide_rows
 from patronlake.sources.keyed import BUCKETS, GONE, KeyedTable, MergeResult
-from patronlake.sources.tables import write_days
 
 _LONG, _STR, _NTZ = T.LongType(), T.StringType(), T.TimestampNTZType()
 _MEASURES = {
@@ -153,10 +152,11 @@ class DailyStar:
         return self.spark.read.schema(spec.schema).parquet(self.path(table)).select(*spec.columns)
 
     def _staged(self, rows: DataFrame, table: str) -> DataFrame:
-        """The date's clean rows, written once: what follows reads them many times."""
+        """Clean rows, written once: what follows reads them more than once."""
         path = f"{self.folder}/_incoming/{table}"
-        rows.select(*S.TABLES[table].columns).write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(S.TABLES[table].schema).parquet(path)
+        rows = rows.select(*S.TABLES[table].columns) if table in S.TABLES else rows
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     def load(self, users: DataFrame, orders: DataFrame, items: DataFrame, events: DataFrame, tickets: DataFrame) -> None:
         """The first load, from clean tables."""
@@ -167,7 +167,10 @@ class DailyStar:
         dated = items.join(orders.select("order_id", "created_at"), "order_id", "left")
         rows = {"fact_orders": orders, "fact_events_log": events, "fact_cs_tickets": tickets, "fact_order_items": dated}
         for table, clean in rows.items():
-            write_days(clean, self.path(table), _STAMPS.get(table, "created_at"), S.TABLES[table].columns[0])
+            by_day = clean.withColumn("day", F.to_date(_STAMPS.get(table, "created_at"))).select(*S.TABLES[table].columns, "day")
+            by_day.repartitionByRange("day", S.TABLES[table].columns[0]).write.mode("overwrite").partitionBy("day").parquet(
+                self.path(table)
+            )
 
     def refresh(self, raw: dict[str, DataFrame], users: DataFrame, day: dt.date) -> RefreshResult:
         """Takes in a date's raw orders, order_items, events and tickets; `users` are all clean users.
@@ -185,6 +188,7 @@ class DailyStar:
             table: self._staged(rows.filter((F.col(_STAMPS[table]) >= first) & (F.col(_STAMPS[table]) < following)), table)
             for table, rows in clean.items()
         }
+        users = self._staged(users.select("user_id", *_PROFILE), "profiles")
         old = {table: self.stored(table, day) for table in new}
         link_keys, activity_keys = ["order_id", "part"], ["user_id", "part"]
 

@@ -138,14 +138,30 @@ class KeyedTable:
 
     # Merge.
 
-    def merged(self, batch: DataFrame, buckets: set[int]) -> DataFrame:
-        """The rows of these buckets after the merge, with their bucket; partitioned by it."""
+    def _batch(self) -> str:
+        return f"{self.database}.{self.name}__batch"
+
+    def stage(self, batch: DataFrame) -> dict[int, int]:
+        """Writes the batch, so that it is evaluated once; its rows by bucket."""
+        gone = F.coalesce(F.col(GONE), F.lit(False)) if GONE in batch.columns else F.lit(False)
+        typed = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields]
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._batch()}")
+        (
+            batch.select(*typed, gone.alias(GONE)).withColumn("bucket", self._bucket())
+            .write.format("parquet").mode("overwrite").saveAsTable(self._batch())
+        )
+        staged = self.spark.table(self._batch())
+        required = {f.name for f in self.schema.fields if not f.nullable}
+        rules = {c: F.col(f"`{c}`").isNull() & (F.lit(c in self.unique) | ~F.col(GONE)) for c in sorted(required | set(self.unique))}
+        seen = staged.groupBy("bucket").agg(F.count("*").alias("n"), *[F.count_if(x).alias(f"no_{c}") for c, x in rules.items()]).collect()
+        if broken := [c for c in rules if any(r[f"no_{c}"] for r in seen)]:
+            raise NullViolation(f"{self._view()}: NULLs in {broken}")
+        return {r["bucket"]: r["n"] for r in seen}
+
+    def merged(self, buckets: set[int]) -> DataFrame:
+        """The rows of these buckets after the merge, with their bucket. Only the staged batch is shuffled."""
         columns = self.schema.fieldNames()
-        gone = F.col(GONE) if GONE in batch.columns else F.lit(False)
-        new = batch.select(
-            *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields],
-            F.coalesce(gone, F.lit(False)).alias(GONE), F.lit(1).alias(_SEQ),
-        ).repartition(self.buckets, self.key)
+        new = self.spark.table(self._batch()).select(*columns, GONE, F.lit(1).alias(_SEQ)).repartition(self.buckets, self.key)
         old = [part.select(*columns, F.lit(False).alias(GONE), F.lit(0).alias(_SEQ)) for part in self._stored(buckets)]
         newest = W.partitionBy(*self.unique).orderBy(F.desc(_SEQ), GONE, *[F.desc(c) for c in columns])
         return (
@@ -158,37 +174,23 @@ class KeyedTable:
 
         Rows with a true column `GONE` delete. Of rows with equal `unique` columns in one batch a row that
         stays wins over one that goes, then the greatest. An empty batch changes nothing. NULLs in the
-        unique columns or in required ones stop the merge. The batch is evaluated twice, once for its
-        buckets.
+        unique columns, or in required ones of rows that stay, stop the merge.
         """
         version, owners = self._state()
         live = set(owners)
         self._drop({n for n in self._stored_generations() if version is None or n > version})
-        required = {f.name for f in self.schema.fields if not f.nullable} | set(self.unique)
-        broken = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in sorted(set(self.unique))])
-        kept = batch.filter(~F.coalesce(F.col(GONE), F.lit(False))) if GONE in batch.columns else batch
-        seen = batch.groupBy(self._bucket().alias("bucket")).agg(F.count_if(broken).alias("broken")).collect()
-        if any(r["broken"] for r in seen):
-            raise NullViolation(f"{self._view()}: NULLs in {list(self.unique)}")
-        if nulls := self._nulls(kept, sorted(required - set(self.unique))):
-            raise NullViolation(f"{self._view()}: NULLs in required columns {nulls}")
-        touched = {r["bucket"] for r in seen}
+        touched = set(self.stage(batch))
         if not touched:
             return MergeResult(version, 0, True)
         if version is None or len(live) >= self.generations:
             touched = set(range(self.buckets))
         following = (version or 0) + 1
         (
-            self.merged(batch, touched).write.format("parquet").mode("overwrite").partitionBy("bucket")
+            self.merged(touched).write.format("parquet").mode("overwrite").partitionBy("bucket")
             .bucketBy(self.buckets, self.key).sortBy(*self.unique).saveAsTable(self._generation(following))
         )
         left = {n: held - touched for n, held in owners.items()}
         self._publish(following, {**{n: held for n, held in left.items() if held}, following: touched})
         self._drop(self._stored_generations() - live - {following})
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._batch()}")
         return MergeResult(following, len(touched), False)
-
-    def _nulls(self, rows: DataFrame, columns: list[str]) -> list[str]:
-        if not columns:
-            return []
-        counts = rows.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in columns]).first()
-        return [c for c in columns if counts[c]]

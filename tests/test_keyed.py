@@ -73,10 +73,11 @@ def test_no_exchange_over_stored_rows(spark, table):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         new = batch(spark, [("u1", "p", 3), ("u90", "p", 3)])
-        touched = table._buckets_of(new)
-        plan = plan_of(table.merged(new, touched))
-        assert plan.count("Exchange") == 2  # the fixture's own repartition and the batch by key
-        assert "ENSURE_REQUIREMENTS" not in plan and "PartitionFilters: [isnotnull(bucket" in plan
+        touched = set(table.stage(new))
+        assert touched == table._buckets_of(new)
+        plan = plan_of(table.merged(touched))
+        assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan  # the batch
+        assert "PartitionFilters: [isnotnull(bucket" in plan
         found = table.rows_of(new)
         scans = [line for line in plan_of(found).splitlines() if "FileScan parquet" in line]
         assert scans and all("PartitionFilters: [isnotnull(bucket" in line for line in scans)

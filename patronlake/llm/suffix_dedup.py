@@ -11,6 +11,8 @@ A byte is removed if a `SPAN`-byte string that covers it also starts in a docume
   that are as large as what it has grown to, so each entry is rewritten a logarithmic number of times.
   Of equal segments a level keeps the smallest document.
 - Edges bring their bytes together once, at the end, and compare window by window.
+- Rows of a batch carry the place of their segment, so what is found is cut without another scan. Only
+  texts that hold a lost segment more than once, and edges of older batches, are scanned again.
 
 Batches may come in any order of ids. Scans stream through sorted rows and hold one anchor's rows at a
 time, of an anchor with more than `HOT_ROWS` rows not even those: its edges, those of batches in which it
@@ -28,6 +30,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,8 +46,10 @@ ENTRY, REMOVED, EDGE, HOT_EDGE = 0, 1, 2, 3
 FRESH, MERGING, SCANNED = 0, 1, 2
 
 _ENTRY = "prefix long, near long, body long, doc long, bucket int"
-_ROW = f"{_ENTRY}, origin int"
-_FOUND = f"{_ENTRY}, kind int"
+# place: start of the segment in its text * 256 + length, or one of:
+UNKNOWN, REPEATED = -1, -2  # of rows from levels; of segments that a text may hold more than once
+_ROW = f"{_ENTRY}, origin int, place long"
+_FOUND = f"{_ENTRY}, kind int, place long"
 _ORDER = ("prefix", "near", "body", "doc")
 _NO_SIDE = 0xFFFF
 BUCKET_BYTES = 16 * 1024**2  # of text to a bucket of an array
@@ -89,14 +94,17 @@ def _entries(buckets: int):
                     continue
                 # repeats inside a document: sorted by document and segment, first of each
                 order = np.lexsort((s.body, s.doc))
-                keep = order[_changes(s.doc[order], s.body[order])]
+                first = np.flatnonzero(_changes(s.doc[order], s.body[order]))
+                keep = order[first]
+                place = s.start_in_text[keep] << 8 | (s.end - s.start)[keep]
+                place[np.diff(np.append(first, len(order))) > 1] = REPEATED
                 prefix, near = s.prefix[keep], _near(s)[keep]
                 columns = (
                     prefix, near, s.body[keep], docs[s.doc[keep]], _bucket(prefix, near, buckets),
-                    np.full(len(keep), FRESH, np.int32),
+                    np.full(len(keep), FRESH, np.int32), place,
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in columns], names=[*_ORDER, "bucket", "origin"]
+                    [pa.array(c) for c in columns], names=[*_ORDER, "bucket", "origin", "place"]
                 )
 
     return run
@@ -126,7 +134,7 @@ def _shared(keys: np.ndarray, side: np.ndarray, fresh: np.ndarray) -> np.ndarray
 
 def _scan_part(rows: list[np.ndarray], hot: bool, keep_level: bool, skip: int):
     """Findings in whole runs of sorted rows. The first `skip` rows were reported before."""
-    prefix, near, body, doc, bucket, origin = rows
+    prefix, near, body, doc, bucket, origin, place = rows
     key_new = _changes(prefix, near >> 32)
     seg_new = key_new | _changes(near, body)
     index = np.arange(len(prefix))
@@ -134,13 +142,14 @@ def _scan_part(rows: list[np.ndarray], hot: bool, keep_level: bool, skip: int):
     fresh = origin == FRESH
     out = []
 
-    def emit(kind, mask):
+    def emit(kind, mask, places):
         mask = mask & (index >= skip)
         if mask.any():
             columns = [prefix[mask], near[mask], body[mask], doc[mask], bucket[mask]]
-            out.append((*columns, np.full(int(mask.sum()), kind, np.int32)))
+            out.append((*columns, np.full(int(mask.sum()), kind, np.int32), places[mask]))
 
-    emit(REMOVED, (doc > doc[head]) & (fresh | fresh[head]))
+    unknown = np.full(len(prefix), UNKNOWN, np.int64)
+    emit(REMOVED, (doc > doc[head]) & (fresh | fresh[head]), place)
     if keep_level:
         # the smallest document of each segment among those that go into the new level
         inside = np.flatnonzero(origin != SCANNED)
@@ -149,19 +158,21 @@ def _scan_part(rows: list[np.ndarray], hot: bool, keep_level: bool, skip: int):
         mask[first] = True
         if skip:  # the carried row stands for its segment, which is already in the level
             mask &= ~((head < skip) & (index >= skip))
-        emit(ENTRY, mask)
+        emit(ENTRY, mask, unknown)
     segs = np.flatnonzero(seg_new)
     mask = np.zeros(len(prefix), bool)
     if hot:
         mask[segs] = True
-        emit(HOT_EDGE, mask)
+        emit(HOT_EDGE, mask, np.full(len(prefix), REPEATED, np.int64))
     elif len(segs):
         keys = np.cumsum(key_new)[segs]
         # a segment counts as new if any of its rows is
         seg_fresh = np.maximum.reduceat(fresh.astype(np.int8), segs).astype(bool)
         sides = near[segs]
         mask[segs] = _shared(keys, sides >> 16 & 0xFFFF, seg_fresh) | _shared(keys, sides & 0xFFFF, seg_fresh)
-        emit(EDGE, mask)
+        # the head stands for all rows of its document
+        again = np.append(~seg_new[1:] & (doc[1:] == doc[:-1]), False)
+        emit(EDGE, mask, np.where(again, REPEATED, place))
     return out
 
 
@@ -172,7 +183,7 @@ def _scan(keep_level: bool, hot_rows: int):
     is sorted here. Rows of one anchor stand together but for their sides, which sort between group and
     body, so equal segments are neighbours.
     """
-    names = [*_ORDER, "bucket", "kind"]
+    names = [*_ORDER, "bucket", "kind", "place"]
 
     def flush(rows, hot, skip):
         for columns in _scan_part(rows, hot, keep_level, skip):
@@ -254,7 +265,7 @@ class SuffixFamily:
         return f"{self.space.name}_{name}"
 
     def add(self, docs: DataFrame, last: bool = False) -> DataFrame:
-        """Scans a batch (doc long, bytes binary) against all levels; rows (doc, prefix, group, body, kind) found.
+        """Scans a batch (doc long, bytes binary) against all levels; rows (doc, prefix, group, body, kind, place) found.
 
         `last` writes no level: for a family that is thrown away after this batch.
         """
@@ -267,7 +278,7 @@ class SuffixFamily:
         for level in self.levels:
             origin = F.lit(MERGING if level in merging else SCANNED).alias("origin")
             stored = self.spark.table(self._table(level[1])).filter(F.col("kind") == ENTRY)
-            rows = rows.union(stored.select(*_ORDER, "bucket", origin))
+            rows = rows.union(stored.select(*_ORDER, "bucket", origin, F.lit(UNKNOWN).cast("long").alias("place")))
         name = f"batch{self._batch}"
         self._batch += 1
         ordered = rows.sortWithinPartitions("bucket", *_ORDER)
@@ -289,7 +300,7 @@ class SuffixFamily:
         schema = T.StructType.fromDDL(_FOUND)
         found = self.space.get(name, schema).filter(F.col("kind") != ENTRY)
         group = F.shiftright("near", 32).cast("int").alias("group")
-        return found.select("doc", "prefix", group, "body", "kind")
+        return found.select("doc", "prefix", group, "body", "kind", "place")
 
     def _forget(self, name: str) -> None:
         self.spark.sql(f"DROP TABLE {self._table(name)}")
@@ -304,32 +315,38 @@ class SuffixFamily:
 
 
 def _edge_bytes(batches):
-    """Segments that a document must compare window by window, with their bytes."""
+    """Segments that a document must compare window by window, with their bytes.
+
+    Most have a known place; the other texts are scanned for theirs.
+    """
+    names = ["prefix", "group", "body", "doc", "hot", "place", "bytes"]
     for batch in batches:
-        docs = np.asarray(batch.column(0), dtype=np.int64)
+        docs, texts = np.asarray(batch.column(0), dtype=np.int64), batch.column(1).to_pylist()
         wanted = batch.column(2)
         asked = wanted.flatten()
-        bodies = asked.field("body").to_numpy()
-        hots = asked.field("hot").to_numpy(zero_copy_only=False)
-        bounds = wanted.offsets.to_numpy() - wanted.offsets[0].as_py()
-        for s in anchors.scan(batch.column(1).to_pylist()):
+        prefix, group, body, place = (asked.field(c).to_numpy() for c in ("prefix", "group", "body", "place"))
+        hot = asked.field("hot").to_numpy(zero_copy_only=False)
+        which = np.repeat(np.arange(len(docs)), np.diff(wanted.offsets.to_numpy()))
+
+        def pieces(at, found):
+            columns = [pa.array(c[at]) for c in (prefix, group, body)]
+            columns += [pa.array(docs[which[at]]), pa.array(hot[at]), pa.array(place[at]), pa.array(found, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        known = np.flatnonzero(place >= 0)
+        starts, lengths = place[known] >> 8, place[known] & 255
+        yield pieces(known, [texts[w][a : a + n] for w, a, n in zip(which[known].tolist(), starts.tolist(), lengths.tolist())])
+        rest = np.flatnonzero(place < 0)
+        open_texts = np.unique(which[rest])  # ascending, as `which` is
+        in_open = np.searchsorted(open_texts, which[rest])
+        for s in anchors.scan([texts[i] for i in open_texts.tolist()]):
             if not len(s.doc):
                 continue
-            low, high = int(s.doc[0]), int(s.doc[-1]) + 1
-            begin, end = bounds[low], bounds[high]
-            which = np.repeat(np.arange(low, high), np.diff(bounds[low : high + 1]))
-            body, hot = bodies[begin:end], hots[begin:end]
-            at = _positions(s, which, body)
+            begin, end = np.searchsorted(in_open, [int(s.doc[0]), int(s.doc[-1]) + 1])
+            at = _positions(s, in_open[begin:end], body[rest[begin:end]])
             got = at >= 0
-            at, which, body, hot = at[got], which[got], body[got], hot[got]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(s.prefix[at]), pa.array(s.group[at]), pa.array(body),
-                    pa.array(docs[which]), pa.array(hot),
-                    pa.array([s.buffer[a:b] for a, b in zip(s.start[at], s.end[at])], pa.binary()),
-                ],
-                names=["prefix", "group", "body", "doc", "hot", "bytes"],
-            )
+            at = at[got]
+            yield pieces(rest[begin:end][got], [s.buffer[a:b] for a, b in zip(s.start[at].tolist(), s.end[at].tolist())])
 
 
 def _positions(s: anchors.Segments, which: np.ndarray, body: np.ndarray) -> np.ndarray:
@@ -384,9 +401,9 @@ def _masks(row, index, doc_of_row, lost) -> tuple[np.ndarray, np.ndarray]:
 
 def _compare_edges(batches):
     """Rows sorted by (prefix, group): windows that also stand in a smaller document of the anchor."""
-    names = ["doc", "body", "mask"]
+    names = ["doc", "body", "mask", "place"]
 
-    def resolve(prefix, group, body, doc, texts):
+    def resolve(prefix, group, body, doc, place, texts):
         key = np.cumsum(_changes(prefix, group))
         row, index, one, two = _windows_of(texts)
         order = np.lexsort((doc[row], two, one, key[row]))
@@ -397,7 +414,7 @@ def _compare_edges(batches):
         rows, masks = _masks(row, index, doc, lost)
         if len(rows):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[rows]), pa.array(body[rows]), pa.array(masks)], names=names
+                [pa.array(doc[rows]), pa.array(body[rows]), pa.array(masks), pa.array(place[rows])], names=names
             )
 
     held = None
@@ -415,14 +432,14 @@ def _compare_edges(batches):
 
 
 def _edge_columns(batch):
-    numbers = [batch.column(i).to_numpy() for i in range(4)]
-    return *numbers, batch.column(4).to_pylist()
+    numbers = [batch.column(i).to_numpy() for i in range(5)]
+    return *numbers, batch.column(5).to_pylist()
 
 
 def _hot_windows(batches):
     for batch in batches:
         body, doc = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-        row, index, one, two = _windows_of(batch.column(4).to_pylist())
+        row, index, one, two = _windows_of(batch.column(5).to_pylist())
         yield pa.RecordBatch.from_arrays(
             [pa.array(x) for x in (one, two, doc[row], body[row], index)],
             names=["one", "two", "doc", "body", "index"],
@@ -486,8 +503,39 @@ def removed_spans(text: bytes, lost: dict[int, int]) -> list[tuple[int, int]]:
     return _union_of_intervals(begin[order], end[order])
 
 
+def spans_at(mask: np.ndarray, place: np.ndarray) -> list[tuple[int, int]]:
+    """The same from the places of the segments, without the text."""
+    start, whole = place >> 8, mask == -1
+    begins, ends = [start[whole]], [(start + (place & 255))[whole]]
+    part, bits = start[~whole], mask[~whole]
+    for i in range(anchors.REACH if len(part) else 0):
+        on = (bits >> np.int64(i)) & 1 == 1
+        begins.append(part[on] + i)
+        ends.append(part[on] + i + anchors.SPAN)
+    begin, end = np.concatenate(begins), np.concatenate(ends)
+    order = np.argsort(begin, kind="stable")
+    return _union_of_intervals(begin[order], end[order])
+
+
+def _all_spans(texts: list[bytes], lost: pa.ListArray) -> list[list[tuple[int, int]]]:
+    """Removed spans of each text of a batch. Only texts with a segment of unknown place are scanned."""
+    flat = lost.flatten()
+    body, mask, place = (flat.field(c).to_numpy() for c in ("body", "mask", "place"))
+    sizes = np.fromiter((0 if x is None else x for x in pc.list_value_length(lost).to_pylist()), np.int64, len(lost))
+    ends = np.cumsum(sizes).tolist()
+    out = []
+    for text, a, b in zip(texts, [0, *ends], ends):
+        if a == b:
+            out.append([])
+        elif (place[a:b] >= 0).all():
+            out.append(spans_at(mask[a:b], place[a:b]))
+        else:
+            out.append(removed_spans(text, _merged(body[a:b].tolist(), mask[a:b].tolist())))
+    return out
+
+
 def lost_segments(docs: DataFrame, keyed: DataFrame, batches: int = BATCHES, hot_rows: int = HOT_ROWS):
-    """(doc, body, mask): segments of which windows are removed; mask -1 stands for all of them.
+    """(doc, body, mask, place): segments of which windows are removed; mask -1 stands for all of them.
 
     `keyed` is docs as (doc, bytes); it is shuffled by doc once, for the edges and for the caller.
     """
@@ -504,34 +552,45 @@ def lost_segments(docs: DataFrame, keyed: DataFrame, batches: int = BATCHES, hot
         found = report if found is None else found.unionByName(report)
         space.release()
     family.close()
-    removed = found.filter(F.col("kind") == REMOVED).select("doc", "body", F.lit(-1).cast("long").alias("mask"))
+    # places are of one text: rows with one id have none
+    twice = space.put("twice", keyed.groupBy("doc").count().filter("count > 1").select("doc", F.lit(True).alias("again")))
+    if not twice.isEmpty():
+        place = F.when(F.col("again"), F.lit(REPEATED).cast("long")).otherwise(F.col("place"))
+        found = found.join(twice, "doc", "left").withColumn("place", place).drop("again")
+    removed = found.filter(F.col("kind") == REMOVED).select("doc", "body", F.lit(-1).cast("long").alias("mask"), "place")
     # an anchor that was hot in any batch is hot for the pieces of all batches, or they would not meet
     hot_anchors = space.put("hot-anchors", found.filter(F.col("kind") == HOT_EDGE).select("prefix", "group").distinct())
     edges = (
         found.filter(F.col("kind") != REMOVED)
         .join(hot_anchors.withColumn("hot", F.lit(True)), ["prefix", "group"], "left")
         .groupBy("doc", "body")
-        .agg(F.coalesce(F.max("hot"), F.lit(False)).alias("hot"))
+        .agg(
+            F.coalesce(F.max("hot"), F.lit(False)).alias("hot"), F.min("prefix").alias("prefix"), F.min("group").alias("group"),
+            F.when(F.min("place") == REPEATED, F.lit(REPEATED).cast("long")).otherwise(F.max("place")).alias("place"),
+        )
         .groupBy("doc")
-        .agg(F.collect_list(F.struct("body", "hot")).alias("wanted"))
+        .agg(F.collect_list(F.struct("body", "hot", "prefix", "group", "place")).alias("wanted"))
     )
     pieces = keyed.join(edges, "doc").select("doc", "bytes", "wanted").mapInArrow(
-        _edge_bytes, "prefix long, group int, body long, doc long, hot boolean, bytes binary"
+        _edge_bytes, "prefix long, group int, body long, doc long, hot boolean, place long, bytes binary"
     )
     pieces = space.put("edges", pieces, by="hot")
     space.release()
-    columns = ["prefix", "group", "body", "doc", "bytes"]
+    columns = ["prefix", "group", "body", "doc", "place", "bytes"]
     cold = (
         pieces.filter(~F.col("hot")).select(*columns).repartition("prefix", "group")
         .sortWithinPartitions("prefix", "group")
-        .mapInArrow(_compare_edges, "doc long, body long, mask long")
+        .mapInArrow(_compare_edges, "doc long, body long, mask long, place long")
     )
     hot = (
         pieces.filter("hot").select(*columns)
         .mapInArrow(_hot_windows, "one long, two long, doc long, body long, index long")
         .repartition("one", "two").sortWithinPartitions("one", "two", "doc")
         .mapInArrow(_lost_windows, "doc long, body long, index long")
-        .select("doc", "body", F.expr("shiftleft(1L, cast(index AS int))").alias("mask"))
+        .select(
+            "doc", "body", F.expr("shiftleft(1L, cast(index AS int))").alias("mask"),
+            F.lit(REPEATED).cast("long").alias("place"),
+        )
     )
     return removed.unionByName(cold).unionByName(hot), space
 
@@ -566,7 +625,7 @@ def dedup_passages(
         text_bytes(text_column).alias("bytes"),
     )
     lost, _ = lost_segments(docs, keyed, batches, hot_rows)
-    by_doc = lost.groupBy("doc").agg(F.collect_list(F.struct("body", "mask")).alias("lost"))
+    by_doc = lost.groupBy("doc").agg(F.collect_list(F.struct("body", "mask", "place")).alias("lost"))
     cut = keyed.join(by_doc, "doc", "left").mapInArrow(
         _cut_texts(with_text),
         "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary",
@@ -592,10 +651,10 @@ def cut_documents(
         text_bytes(text_column).alias("bytes"), own,
     )
     lost, _ = lost_segments(docs, keyed.select("doc", "bytes"), batches, hot_rows)
-    by_doc = lost.groupBy("doc").agg(F.collect_list(F.struct("body", "mask")).alias("lost"))
-    kind = keyed.schema["own"].dataType.simpleString()
+    by_doc = lost.groupBy("doc").agg(F.collect_list(F.struct("body", "mask", "place")).alias("lost"))
+    kind = T.StructType([keyed.schema["own"], T.StructField("text", T.StringType())])
     cut = keyed.join(by_doc, "doc", "left").select("bytes", "lost", "own").mapInArrow(
-        _left_texts, f"own {kind}, text string"
+        _left_texts, kind
     ).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     columns = [
         F.col("text").alias(c) if c == text_column
@@ -609,17 +668,17 @@ def cut_documents(
 def _left_texts(batches):
     for batch in batches:
         texts = []
-        for text, lost in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            spans = removed_spans(text, _merged(lost))
+        whole = batch.column(0).to_pylist()
+        for text, spans in zip(whole, _all_spans(whole, batch.column(1))):
             texts.append(cut_bytes(text, spans).decode("utf-8", "ignore"))
         yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(texts, pa.string())], names=["own", "text"])
 
 
-def _merged(lost) -> dict[int, int]:
-    masks: dict[int, int] = {}
-    for x in lost or ():
-        masks[x["body"]] = masks.get(x["body"], 0) | x["mask"]
-    return masks
+def _merged(bodies: list[int], masks: list[int]) -> dict[int, int]:
+    found: dict[int, int] = {}
+    for body, mask in zip(bodies, masks):
+        found[body] = found.get(body, 0) | mask
+    return found
 
 
 def cut_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -636,8 +695,8 @@ def _cut_texts(with_text: bool):
     def run(batches):
         for batch in batches:
             found = [[], [], [], [], []]
-            for text, lost in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                spans = removed_spans(text, _merged(lost))
+            whole = batch.column(1).to_pylist()
+            for text, spans in zip(whole, _all_spans(whole, batch.column(2))):
                 kept = cut_bytes(text, spans)
                 values = (
                     len(text), len(text) - len(kept), len(spans),

@@ -8,7 +8,7 @@ import random
 import numpy as np
 import pytest
 
-from patronlake.llm import anchors
+from patronlake.llm import anchors, suffix_dedup
 from patronlake.llm.suffix_dedup import cut_documents, dedup_passages
 
 LAST = 1 << 62
@@ -117,3 +117,15 @@ def test_an_anchor_hot_in_one_batch_and_cold_in_another(table):
     found = dedup_passages(table(rows), 2, 20).drop("kept").collect()
     assert {r.doc_id: r.n_removed for r in found if r.doc_id >= 2000} == {2000: 54, 2001: 54}
     assert sorted(str(tuple(r)) for r in found) == brute(rows)
+
+
+def test_places_give_the_spans_that_a_scan_gives():
+    draw = random.Random(21)
+    text = bytes(draw.randrange(97, 123) for _ in range(4000))
+    found = next(suffix_dedup.anchors.scan([text]))
+    assert len(set(found.body.tolist())) == len(found.body)
+    chosen = np.array(sorted(draw.sample(range(len(found.body)), 40)))
+    masks = np.array([-1 if draw.random() < 0.5 else 1 << draw.randrange(max(1, int(n) - 49)) for n in (found.end - found.start)[chosen]])
+    place = found.start_in_text[chosen] << 8 | (found.end - found.start)[chosen]
+    scanned = suffix_dedup.removed_spans(text, dict(zip(found.body[chosen].tolist(), masks.tolist())))
+    assert suffix_dedup.spans_at(masks, place) == scanned and scanned

@@ -43,12 +43,12 @@ HOT_ROWS = 1 << 17
 NO_ID = (1 << 63) - 1
 
 ENTRY, REMOVED, EDGE, HOT_EDGE = 0, 1, 2, 3
-FRESH, MERGING, SCANNED = 0, 1, 2
 
 _ENTRY = "prefix long, near long, body long, doc long, bucket int"
 # place: start of the segment in its text * 256 + length, or one of:
 UNKNOWN, REPEATED = -1, -2  # of rows from levels; of segments that a text may hold more than once
-_ROW = f"{_ENTRY}, origin int, place long"
+MERGING, SCANNED = -3, -4  # of rows from levels while they are scanned; all others are fresh
+_ROW = f"{_ENTRY}, place long"
 _FOUND = f"{_ENTRY}, kind int, place long"
 _ORDER = ("prefix", "near", "body", "doc")
 _NO_SIDE = 0xFFFF
@@ -101,10 +101,10 @@ def _entries(buckets: int):
                 prefix, near = s.prefix[keep], _near(s)[keep]
                 columns = (
                     prefix, near, s.body[keep], docs[s.doc[keep]], _bucket(prefix, near, buckets),
-                    np.full(len(keep), FRESH, np.int32), place,
+                    place,
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in columns], names=[*_ORDER, "bucket", "origin", "place"]
+                    [pa.array(c) for c in columns], names=[*_ORDER, "bucket", "place"]
                 )
 
     return run
@@ -134,12 +134,13 @@ def _shared(keys: np.ndarray, side: np.ndarray, fresh: np.ndarray) -> np.ndarray
 
 def _scan_part(rows: list[np.ndarray], hot: bool, keep_level: bool, skip: int):
     """Findings in whole runs of sorted rows. The first `skip` rows were reported before."""
-    prefix, near, body, doc, bucket, origin, place = rows
+    prefix, near, body, doc, bucket, mark = rows
+    fresh, scanned = mark >= REPEATED, mark == SCANNED
+    place = np.where(fresh, mark, UNKNOWN)
     key_new = _changes(prefix, near >> 32)
     seg_new = key_new | _changes(near, body)
     index = np.arange(len(prefix))
     head = np.maximum.accumulate(np.where(seg_new, index, 0))
-    fresh = origin == FRESH
     out = []
 
     def emit(kind, mask, places):
@@ -152,7 +153,7 @@ def _scan_part(rows: list[np.ndarray], hot: bool, keep_level: bool, skip: int):
     emit(REMOVED, (doc > doc[head]) & (fresh | fresh[head]), place)
     if keep_level:
         # the smallest document of each segment among those that go into the new level
-        inside = np.flatnonzero(origin != SCANNED)
+        inside = np.flatnonzero(~scanned)
         first = inside[_changes(head[inside])] if len(inside) else inside
         mask = np.zeros(len(prefix), bool)
         mask[first] = True
@@ -276,9 +277,9 @@ class SuffixFamily:
             merging.append(level)
         rows = docs.mapInArrow(_entries(self.buckets), _ROW).repartition(self.buckets, "bucket")
         for level in self.levels:
-            origin = F.lit(MERGING if level in merging else SCANNED).alias("origin")
+            mark = F.lit(MERGING if level in merging else SCANNED).cast("long").alias("place")
             stored = self.spark.table(self._table(level[1])).filter(F.col("kind") == ENTRY)
-            rows = rows.union(stored.select(*_ORDER, "bucket", origin, F.lit(UNKNOWN).cast("long").alias("place")))
+            rows = rows.union(stored.select(*_ORDER, "bucket", mark))
         name = f"batch{self._batch}"
         self._batch += 1
         ordered = rows.sortWithinPartitions("bucket", *_ORDER)
@@ -503,34 +504,36 @@ def removed_spans(text: bytes, lost: dict[int, int]) -> list[tuple[int, int]]:
     return _union_of_intervals(begin[order], end[order])
 
 
-def spans_at(mask: np.ndarray, place: np.ndarray) -> list[tuple[int, int]]:
-    """The same from the places of the segments, without the text."""
-    start, whole = place >> 8, mask == -1
-    begins, ends = [start[whole]], [(start + (place & 255))[whole]]
-    part, bits = start[~whole], mask[~whole]
-    for i in range(anchors.REACH if len(part) else 0):
-        on = (bits >> np.int64(i)) & 1 == 1
-        begins.append(part[on] + i)
-        ends.append(part[on] + i + anchors.SPAN)
-    begin, end = np.concatenate(begins), np.concatenate(ends)
+def spans_at(texts: list[bytes], row: np.ndarray, mask: np.ndarray, place: np.ndarray) -> list[list[tuple[int, int]]]:
+    """Removed spans of each text from places of segments alone; `row` is the text of a segment."""
+    # the texts as one line, a byte apart, so that no span joins two of them
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    base = np.cumsum(lengths) - lengths
+    start, whole = (place >> 8) + base[row], mask == -1
+    window, bit = np.nonzero(mask[~whole, None] >> np.arange(anchors.REACH) & 1)
+    partly = start[~whole][window] + bit
+    begin = np.concatenate([start[whole], partly])
+    end = np.concatenate([(start + (place & 255))[whole], partly + anchors.SPAN])
     order = np.argsort(begin, kind="stable")
-    return _union_of_intervals(begin[order], end[order])
+    runs = np.array(_union_of_intervals(begin[order], end[order]), np.int64).reshape(-1, 2)
+    bounds = np.searchsorted(runs[:, 0], np.append(base, lengths.sum())).tolist()
+    return [
+        list(map(tuple, (runs[a:b] - at).tolist())) for a, b, at in zip(bounds, bounds[1:], base.tolist())
+    ]
 
 
 def _all_spans(texts: list[bytes], lost: pa.ListArray) -> list[list[tuple[int, int]]]:
     """Removed spans of each text of a batch. Only texts with a segment of unknown place are scanned."""
     flat = lost.flatten()
     body, mask, place = (flat.field(c).to_numpy() for c in ("body", "mask", "place"))
-    sizes = np.fromiter((0 if x is None else x for x in pc.list_value_length(lost).to_pylist()), np.int64, len(lost))
-    ends = np.cumsum(sizes).tolist()
-    out = []
-    for text, a, b in zip(texts, [0, *ends], ends):
-        if a == b:
-            out.append([])
-        elif (place[a:b] >= 0).all():
-            out.append(spans_at(mask[a:b], place[a:b]))
-        else:
-            out.append(removed_spans(text, _merged(body[a:b].tolist(), mask[a:b].tolist())))
+    sizes = np.fromiter((x or 0 for x in pc.list_value_length(lost).to_pylist()), np.int64, len(lost))
+    row = np.repeat(np.arange(len(lost)), sizes)
+    unknown = np.unique(row[place < 0])
+    known = ~np.isin(row, unknown)
+    out = spans_at(texts, row[known], mask[known], place[known])
+    for i in unknown.tolist():
+        own = row == i
+        out[i] = removed_spans(texts[i], _merged(body[own].tolist(), mask[own].tolist()))
     return out
 
 

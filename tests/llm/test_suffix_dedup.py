@@ -128,4 +128,5 @@ def test_places_give_the_spans_that_a_scan_gives():
     masks = np.array([-1 if draw.random() < 0.5 else 1 << draw.randrange(max(1, int(n) - 49)) for n in (found.end - found.start)[chosen]])
     place = found.start_in_text[chosen] << 8 | (found.end - found.start)[chosen]
     scanned = suffix_dedup.removed_spans(text, dict(zip(found.body[chosen].tolist(), masks.tolist())))
-    assert suffix_dedup.spans_at(masks, place) == scanned and scanned
+    row = np.full(len(place), 1)
+    assert suffix_dedup.spans_at([b"before", text, b""], row, masks, place) == [[], scanned, []] and scanned

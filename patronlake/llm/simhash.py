@@ -18,11 +18,12 @@ keys are as many as give a pair at `SIMILARITY` the chance `RECALL` to pass the
 only choose candidates: classes of loosely linked documents bring their sets of shingles together, and
 a link is a pair whose sets have Jaccard similarity `SIMILARITY` or more.
 
-Keys are drawn in batches, `KEYS_AT_FIRST` first and then `KEYS_AT_ONCE`. After each batch the loose
-classes are contracted: documents carry their class, rows of one class are not compared again, and a key
-reports its trees as links from the smallest class of the tree to each other one. So a class of n near
-copies gives at most KEYS_AT_FIRST * (n - 1) links in the first batch, however many keys there are, and
-only links between what is left of it later.
+Keys are drawn in batches, `KEYS_AT_FIRST` first and then twice as many each time, up to `KEYS_AT_ONCE`.
+Documents carry a label, at first their id, and after each batch the smallest label that theirs was
+linked to. Rows of one label are not compared again, and a key reports its trees as links from the
+smallest label of the tree to each other one. So a class of n near copies gives at most
+KEYS_AT_FIRST * (n - 1) links in the first batch, however many keys there are, and later only links
+between the labels that are left. All links together make the loose classes, once.
 
 Defined results: a NULL or blank text has fingerprint zero and links like any other; a text with fewer
 words than a shingle is one shingle; equal texts have equal fingerprints; NULL ids never are a
@@ -477,22 +478,21 @@ def near_groups(
         return run
 
     source = distinct.filter(F.col("id").isNotNull()).select("id", F.col("id").alias("label"), "fp")
-    first, step = 0, KEYS_AT_FIRST
+    loose, first, step = None, 0, KEYS_AT_FIRST
     while first < keys:
         some = range(first, min(first + step, keys))
         keyed = source.mapInArrow(keyed_rows(some), "key long, id long, label long, fp binary")
         found = _links(keyed, distance, WIDE_BITS // 64, space, f"links-{first}", hot_rows)
         found = space.put(f"loose-{first}", found.distinct())
-        roots = components(found, space, f"loose-stars-{first}")
-        source = space.put(f"labelled-{first}", source.join(roots, F.col("label") == F.col("node"), "left").select(
-            "id", F.coalesce("root", "label").alias("label"), "fp"
-        ))
-        first, step = first + step, KEYS_AT_ONCE
+        loose = found if loose is None else loose.unionByName(found)
+        first, step = first + step, min(2 * step, KEYS_AT_ONCE)
+        if first < keys:
+            lower = found.groupBy(F.col("b").alias("label")).agg(F.min("a").alias("least"))
+            source = space.put(f"labelled-{first}", source.join(lower, "label", "left").select(
+                "id", F.coalesce("least", "label").alias("label"), "fp"
+            ))
         space.release()
-    shared = source.groupBy("label").count().filter("count > 1").select("label")
-    classes = space.put("classes", source.join(shared, "label").select(
-        F.col("id").alias("node"), F.col("label").alias("root")
-    ))
+    classes = space.put("classes", components(loose, space, "loose-stars"))
     links = _verified(docs, classes, similarity, space, id_column, text_column)
     roots = components(links, space)
     answer = space.put("answer", distinct.join(roots, distinct.id == roots.node, "left").select(

@@ -39,8 +39,14 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else the warehouse."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Without one, the warehouse will do for a local master alone: its folder is often a local one.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    if not named and master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 

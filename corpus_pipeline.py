@@ -9,7 +9,6 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from patronlake.llm import mixing, quality_rules, simhash, suffix_dedup, unigram
 from patronlake.llm.queries import MIX, vocabulary_file
@@ -28,8 +27,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows with one id are one document; rows without an id stay.
     """
-    dropped = simhash.near_groups(docs).select(F.col("doc").alias("__doc")).distinct()
-    return docs.join(dropped, docs.doc_id == F.col("__doc"), "left_anti")
+    dropped = simhash.near_groups(docs).select("doc").distinct()
+    return docs.join(dropped, docs["doc_id"] == dropped["doc"], "left_anti")
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -218,6 +218,28 @@ FROM (SELECT count(*) AS sessions, count(*) FILTER (v) AS viewed,
   {P.EVENTS_OFFSET + P.EVENTS_LIMIT} < total AS has_more
 FROM (SELECT *, count(*) OVER () AS total FROM raw_events WHERE {since})
 ORDER BY "timestamp", event_id LIMIT {P.EVENTS_LIMIT} OFFSET {P.EVENTS_OFFSET}"""
+    statements["events_deep_page"] = f"""SELECT {columns}, total,
+  {P.EVENTS_DEEP + P.EVENTS_LIMIT} < total AS has_more
+FROM (SELECT *, count(*) OVER () AS total FROM raw_events WHERE {since})
+ORDER BY "timestamp", event_id LIMIT {P.EVENTS_LIMIT} OFFSET {P.EVENTS_DEEP}"""
+    statements["customers_middle_page"] = f"""SELECT {CUSTOMER_COLUMNS} FROM (SELECT *,
+  row_number() OVER (ORDER BY total_lifetime_value DESC NULLS LAST, user_id) - 1 AS place,
+  count(*) OVER () // 2 AS half FROM customer_360)
+WHERE place >= half AND place < half + {P.PAGE_LIMIT}"""
+    statements["ordered_funnel"] = """SELECT * FROM (WITH e AS (SELECT session_id, event_type,
+    row_number() OVER (PARTITION BY session_id ORDER BY "timestamp" NULLS LAST, event_id NULLS LAST) AS i
+  FROM fact_events_log),
+v AS (SELECT session_id, min(i) FILTER (event_type = 'view_item') AS v FROM e GROUP BY session_id),
+c AS (SELECT v.session_id, any_value(v.v) AS v, min(e.i) AS c FROM v
+  LEFT JOIN e ON e.session_id IS NOT DISTINCT FROM v.session_id AND e.event_type = 'add_to_cart' AND e.i > v.v
+  GROUP BY v.session_id),
+a AS (SELECT c.session_id, any_value(c.v) AS v, any_value(c.c) AS c, min(e.i) AS a FROM c
+  LEFT JOIN e ON e.session_id IS NOT DISTINCT FROM c.session_id AND e.event_type = 'cart_abandonment' AND e.i > c.c
+  GROUP BY c.session_id)
+SELECT count(*) AS sessions, count(v) AS viewed, count(c) AS carted, count(a) AS abandoned,
+  CAST(count(c) AS DOUBLE) / nullif(count(v), 0) AS view_to_cart,
+  CAST(count(a) AS DOUBLE) / nullif(count(c), 0) AS cart_to_abandon
+FROM a)"""
     page = dict(statements)
     page["stream_clean_events"] = f"SELECT {columns} FROM fact_events_log"
     page["stream_events_by_day"] = """SELECT CAST("timestamp" AS DATE) AS day, event_type,

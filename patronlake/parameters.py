@@ -10,7 +10,7 @@ TICKET_MONTH = "1998-02-01"
 PAGE_LIMIT, PAGE_OFFSET = 100, 50
 SEARCH_TERM = "r#0000000_2"
 EVENTS_SINCE = "2024-01-10 00:00:00"
-EVENTS_LIMIT, EVENTS_OFFSET = 500, 250
+EVENTS_LIMIT, EVENTS_OFFSET, EVENTS_DEEP = 500, 250, 2_000
 SHIFT_ANCHOR = dt.datetime(2025, 6, 30, 18, 45, 10)
 # A date with orders and tickets, and one with events.
 REFRESH_DAYS = (dt.date(1998, 2, 10), dt.date(2024, 1, 10))

@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from patronlake import parameters as P
 from patronlake import schemas as S
 from patronlake.functions.periods import yyyymm
-from patronlake.operators import cleaning, events, orders, quality, staging, tickets, users, wide
+from patronlake.operators import cleaning, events, funnel, orders, quality, staging, tickets, users, wide
 from patronlake.operators.products import cost_prices, products_plan
 from patronlake.plans import serving
 from patronlake.plans.daily import DailyStar
 from patronlake.sources.keyed import KeyedTable
 from patronlake.sources.landing import ingest_counts
+from patronlake.sources.ranked import RANK, RankedTable
 from patronlake.sources.shapes import RAW_SHAPES
 from patronlake.sources.tables import Warehouse, newest_by_key
 from patronlake.sources.bench_tables import BenchStar
@@ -171,6 +172,21 @@ def _merge_by_key(t: BenchStar) -> DataFrame:
     return table.read()
 
 
+def _customers_middle_page(t: BenchStar) -> DataFrame:
+    """The page that begins half-way through the customers, from a table with a directory of ranks."""
+    table = RankedTable(
+        t.spark, f"ranked_{uuid.uuid4().hex}", "customers", [("total_lifetime_value", True), ("user_id", False)]
+    )
+    rows = table.load(t.customer_360.drop("churn_risk_score"))
+    return table.page(rows // 2, P.PAGE_LIMIT).drop(RANK)
+
+
+def _events_deep_page(t: BenchStar) -> DataFrame:
+    table = RankedTable(t.spark, f"ranked_{uuid.uuid4().hex}", "events", [("timestamp", False), ("event_id", False)])
+    table.load(t.raw_events)
+    return table.page_from((P.EVENTS_SINCE,), P.EVENTS_DEEP, P.EVENTS_LIMIT).drop(RANK)
+
+
 def _feeds() -> dict[str, Query]:
     return {
         "ingest_counts": lambda t: ingest_counts({
@@ -184,6 +200,9 @@ def _feeds() -> dict[str, Query]:
         "latest_events": lambda t: events.latest_events(t.fact_events_log),
         "latest_type_counts": lambda t: events.latest_type_counts(t.fact_events_log),
         "session_funnel": lambda t: events.session_funnel(t.fact_events_log),
+        "ordered_funnel": lambda t: funnel.ordered_funnel(t.fact_events_log),
+        "events_deep_page": _events_deep_page,
+        "customers_middle_page": _customers_middle_page,
         "orders_by_yyyymm": lambda t: t.fact_orders.groupBy(
             yyyymm(F.col("created_at")).alias("yyyymm")
         ).agg(F.count("*").alias("order_count")),

@@ -11,7 +11,8 @@ Defined results: vectors that are NULL or hold a NULL or non-finite component ta
 not find its own row, but finds other rows with its id; ties go to the smaller id, NULL ids last; a
 query with fewer candidates than k gets them all; vectors of unlike lengths meet in their common
 components; repeated queries are answered each; an empty table gives an empty result; further columns
-are ignored. Scores are 64-bit sums.
+are ignored. Weights and scores beyond 64 bits count as the nearest 64-bit number of their sign: sums are exact
+before that, and rank by what is reported.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from patronlake.llm.shared import Workspace, prepare, required
 SCALE = 256
 CANDIDATES_PER_BLOCK = 8192
 QUERIES_PER_BLOCK = 1024
-_NO_ID = (1 << 63) - 1
+_MOST = (1 << 63) - 1
 
 
 def usable(vector: Column) -> Column:
@@ -84,27 +85,44 @@ def postings(matrix: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return lists
 
 
-def best_of(query: np.ndarray, lists, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and scores of the k best, ties to smaller ids."""
+def largest(matrix: np.ndarray) -> int:
+    """The greatest size of a weight."""
+    return max(abs(int(matrix.max(initial=0))), abs(int(matrix.min(initial=0))))
+
+
+def _own_score(query: np.ndarray, fits: bool) -> int:
+    return int((query * query).sum()) if fits else min(_MOST, sum(w * w for w in query.tolist()))
+
+
+def best_of(query: np.ndarray, lists, ids: np.ndarray, k: int, fits: bool = True, no_id=None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and scores of the k best, ties to smaller ids, then to rows with an id.
+
+    Unless sums `fits` 64 bits they are made of Python's numbers.
+    """
     n = len(ids)
-    scores = np.zeros(n, np.int64)
+    scores = np.zeros(n, np.int64 if fits else object)
+    if not fits:
+        query, lists = query.astype(object), [(at, weight.astype(object)) for at, weight in lists]
     for term in np.flatnonzero(query[: len(lists)]):
         at, weight = lists[term]
         if len(at) == n:
             scores += query[term] * weight
         else:
             scores[at] += query[term] * weight
+    if not fits:
+        scores = np.array([max(-_MOST, min(_MOST, s)) for s in scores], np.int64)
     if n > k:
         least = np.partition(scores, n - k)[n - k]
         at = np.flatnonzero(scores >= least)
     else:
         at = np.arange(n)
-    order = np.lexsort((ids[at], -scores[at]))[:k]
+    without = np.zeros(len(at), bool) if no_id is None else no_id[at]
+    order = np.lexsort((without, ids[at], -scores[at]))[:k]
     return at[order], scores[at[order]]
 
 
 def _search(k: int):
-    names = ["query_row", "query_id", "vec_id", "score", "own_score"]
+    names = ["query_row", "query_id", "vec_id", "score", "own_score", "no_id"]
 
     def run(batches):
         kept_block, lists, ids = None, None, None
@@ -112,16 +130,21 @@ def _search(k: int):
             for row in batch.to_pylist():
                 if row["block"] != kept_block:
                     ids = np.frombuffer(row["ids"], np.int64)
-                    lists = postings(np.frombuffer(row["weights"], np.int64).reshape(row["n"], -1))
+                    no_id = np.frombuffer(row["row_numbers"], np.int64) < 0
+                    matrix = np.frombuffer(row["weights"], np.int64).reshape(row["n"], -1)
+                    lists, most = postings(matrix), largest(matrix)
                     kept_block = row["block"]
                 queries = np.frombuffer(row["q_weights"], np.int64).reshape(row["q_n"], -1)
                 q_ids = np.frombuffer(row["q_ids"], np.int64)
                 q_rows = np.frombuffer(row["q_row_numbers"], np.int64)
-                out = [[], [], [], [], []]
+                q_most, terms = largest(queries), queries.shape[1]
+                fits = terms * q_most * max(most, q_most) <= _MOST
+                out = [[], [], [], [], [], []]
                 for number, q_id, query in zip(q_rows.tolist(), q_ids.tolist(), queries):
-                    at, scores = best_of(query, lists, ids, k + 1)
-                    own = int((query * query).sum())
-                    for column, values in zip(out, ([number] * len(at), [q_id] * len(at), ids[at], scores, [own] * len(at))):
+                    at, scores = best_of(query, lists, ids, k + 1, fits, no_id)
+                    own = _own_score(query, fits)
+                    values_of = ([number] * len(at), [q_id] * len(at), ids[at], scores, [own] * len(at), no_id[at])
+                    for column, values in zip(out, values_of):
                         column.append(np.asarray(values, np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
 
@@ -136,10 +159,11 @@ def top_k(
     spark = vectors.sparkSession
     prepare(spark)
     space = Workspace(spark, "topk")
+    number = F.monotonically_increasing_id()  # below 0 for rows without an id, which go last among equal ids
     rows = required(vectors, id_column, vector_column).filter(usable(F.col(f"`{vector_column}`")))
     rows = space.put("rows", rows.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(_NO_ID)).alias("id"),
+        F.when(F.col(f"`{id_column}`").cast("long").isNull(), -1 - number).otherwise(number).alias("row"),
+        F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(_MOST)).alias("id"),
         F.coalesce(is_query, F.lit(False)).alias("is_query"),
         weights(F.col(f"`{vector_column}`"), scale).alias("w"),
     ))
@@ -161,16 +185,17 @@ def top_k(
         F.col("row_numbers").alias("q_row_numbers"), F.col("ids").alias("q_ids"), F.col("weights").alias("q_weights"),
     )
     found = candidates.join(every, "block").mapInArrow(
-        _search(k), "query_row long, query_id long, vec_id long, score long, own_score long"
+        _search(k), "query_row long, query_id long, vec_id long, score long, own_score long, no_id long"
     )
-    best = W.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
+    best = W.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "no_id")
     ranked = found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
     # one row with the query's id and its score with itself is the query
-    itself = (F.col("vec_id") == F.col("query_id")) & (F.col("score") == F.col("own_score"))
+    same_id = (F.col("vec_id") == F.col("query_id")) & ((F.col("no_id") == 1) == (F.col("query_row") < 0))
+    itself = same_id & (F.col("score") == F.col("own_score"))
     own_place = F.min(F.when(itself, F.col("place"))).over(W.partitionBy("query_row"))
     others = ranked.withColumn("own_place", F.coalesce(own_place, F.lit(k + 1)))
     rank = F.when(F.col("place") > F.col("own_place"), F.col("place") - 1).otherwise(F.col("place"))
     return others.filter(F.col("place") != F.col("own_place")).select(
-        F.when(F.col("query_id") != _NO_ID, F.col("query_id")).alias("query_id"), rank.cast("int").alias("rank"),
-        F.when(F.col("vec_id") != _NO_ID, F.col("vec_id")).alias("vec_id"), "score",
+        F.when(F.col("query_row") >= 0, F.col("query_id")).alias("query_id"), rank.cast("int").alias("rank"),
+        F.when(F.col("no_id") == 0, F.col("vec_id")).alias("vec_id"), "score",
     ).filter(F.col("rank") <= k)

@@ -172,13 +172,17 @@ class Scanner:
     def __init__(self, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None):
         self.automata = {label: Automaton(t) for label, t in (TEMPLATES if templates is None else templates).items()}
         self.phrases = {
-            label: Automaton(phrase).head if len(words_of(phrase)) <= 2 else self._phrase(phrase)
+            label: self._phrase(phrase)
             for phrase, label in (PHRASES if phrases is None else phrases).items()
         }
 
     @staticmethod
     def _phrase(phrase: str):
-        return re.compile(rb"(?<!" + _EDGE + rb")" + _GAP.join(map(re.escape, words_of(phrase))) + rb"(?!" + _EDGE + rb")")
+        words = words_of(phrase)
+        pattern = _GAP.join(map(re.escape, words)) + rb"(?!" + _EDGE + rb")"
+        if any(words[:n] == words[-n:] for n in range(1, len(words))):
+            pattern = rb"(?=(" + pattern + rb"))"  # its places may overlap, so a match takes no words
+        return re.compile(rb"(?<!" + _EDGE + rb")" + pattern)
 
     def scan(self, texts: list[bytes]):
         """Per text: n_words, n_base, first_word, last_word, base_labels, labels, score, evidence."""
@@ -204,7 +208,7 @@ class Scanner:
 
         for label, pattern in self.phrases.items():
             for match in pattern.finditer(buffer):
-                i = owner(match.start(), match.end())
+                i = owner(match.start(), match.end(match.lastindex or 0))
                 if i is None:
                     continue
                 row, word = rows[i], int(np.searchsorted(starts, match.start())) - int(offset[i])

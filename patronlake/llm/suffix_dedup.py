@@ -619,22 +619,23 @@ def dedup_passages(
     """Per document: (doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept).
 
     `kept` is what is left of the text, as bytes: a cut may fall inside a character. NULL unless
-    `with_text`.
+    `with_text`. Rows without an id come after all others, level with the greatest 64-bit id: neither
+    loses a passage to the other.
     """
     prepare(docs.sparkSession)
     narrow = required(docs, id_column, text_column)
     keyed = narrow.select(
         F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(NO_ID)).alias("doc"),
-        text_bytes(text_column).alias("bytes"),
+        text_bytes(text_column).alias("bytes"), F.col(f"`{id_column}`").cast("long").isNull().alias("no_id"),
     )
-    lost, _ = lost_segments(docs, keyed, batches, hot_rows)
+    lost, _ = lost_segments(docs, keyed.select("doc", "bytes"), batches, hot_rows)
     by_doc = lost.groupBy("doc").agg(F.collect_list(F.struct("body", "mask", "place")).alias("lost"))
-    cut = keyed.join(by_doc, "doc", "left").mapInArrow(
+    cut = keyed.join(by_doc, "doc", "left").select("doc", "bytes", "lost", "no_id").mapInArrow(
         _cut_texts(with_text),
-        "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary",
+        "doc long, no_id boolean, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary",
     )
     return cut.select(
-        F.when(F.col("doc") != NO_ID, F.col("doc")).alias(id_column),
+        F.when(~F.col("no_id"), F.col("doc")).alias(id_column),
         "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept",
     )
 
@@ -693,7 +694,7 @@ def cut_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def _cut_texts(with_text: bool):
-    names = ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+    names = ["doc", "no_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
     def run(batches):
         for batch in batches:
@@ -709,7 +710,7 @@ def _cut_texts(with_text: bool):
                     column.append(value)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *map(pa.array, found, kinds)], names=names
+                [batch.column(0), batch.column(3), *map(pa.array, found, kinds)], names=names
             )
 
     return run

@@ -139,12 +139,13 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_column: str = "
     )
 
 
-def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The documents that pass, with their own columns.
+def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_column: str = "text") -> DataFrame:
+    """The documents that pass, with their own columns, whatever their names: here they go by number.
 
     The row number keeps the filter above the projections: below them it would hold each count's whole
     expression once for every use.
     """
-    judged = judge(docs, rules).withColumn("__row", F.monotonically_increasing_id())
+    numbered = [f"c{i}" for i in range(len(docs.columns))]
+    judged = judge(docs.toDF(*numbered), rules, numbered[docs.columns.index(text_column)]).withColumn("__row", F.monotonically_increasing_id())
     good = judged.filter(F.col("__kept") & (F.col("__row") >= 0))
-    return good.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return good.select(*[F.col(n).alias(c) for n, c in zip(numbered, docs.columns)])

@@ -50,7 +50,8 @@ def _runs(steps: int):
             cuts = np.flatnonzero(np.diff(numbers)) + 1
             starts, ends = np.append(0, cuts), np.append(cuts, batch.num_rows)
             found = moves(batch.column(2).to_numpy(), starts, ends, steps)
-            names_of = batch.column(0).take(pa.array(starts)).to_pylist()
+            known = sessions.dictionary.to_pylist()
+            names_of = [None if n < 0 else known[n] for n in numbers[starts].tolist()]
             part = batch.column(1)[0].as_py()
             if held and held[0] == names_of[0]:
                 found[0] = found[0][held[2]]

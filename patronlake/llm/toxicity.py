@@ -1,22 +1,28 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index of all their terms.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Learning. Labelled rows that are not held out give at most `MAX_EXAMPLES` examples, those with the least
 hash of their id, and of equal texts one. Terms are lower-case words and their beginnings of 4 and 5
-letters. All terms of two or more examples are indexed; one of a single example links it to no other.
-A term's weight is its IDF times 1 + G, with G2 the likelihood ratio of term and label: terms that speak
-for either label lead and all others still count. Examples become unit vectors of these TF-IDF weights.
+letters, all of them; they are known by their 64-bit XXH64. A term weighs (1 + ln count) x IDF x (1 + G),
+with G2 the likelihood ratio of term and label: terms that speak for either label lead. Examples are unit
+vectors of these weights.
 
-Search. Rare terms have postings; terms of an eighth of the examples or more are rows of a dense matrix,
-which texts are multiplied with some at a time. Every example is scored. What may be among the k nearest
-by these sums is scored again in double precision; ties go to the earlier example.
+Index. Examples are ordered so that such of like common words stand together, and cut into blocks of
+`BLOCK`. Terms of one in `COMMON` examples or more, at most `COMMON_TERMS`, are common: their postings are
+columns with the greatest weight of each block beside them. All others have sparse postings.
 
-Score. The neighbours vote with their similarities. Votes of the examples themselves, each without its
-own text, are turned into rates of toxicity by isotonic regression; this calibration maps a text's
-vote to its score. A text without any indexed term, so an empty one too, gets the rate of examples
-without any. Evidence is the nearest examples with label and similarity.
+Search. A text's sparse postings are added up for each example. With the block's greatest weights of the
+common terms this bounds an example's similarity from above. Examples are opened from the greatest bound
+down, some more each time, until no closed one's bound reaches the k-th best score. What may be among the
+k nearest is scored again in double precision and rounded to 12 places, so that ties are ties; these go to
+the smaller id.
 
-The index has the terms of at most `MAX_EXAMPLES` rows, so it may be broadcast; all texts are
-scored whole.
+Score. The neighbours vote with their similarities. Votes of the examples, each found by the other folds,
+are turned into rates of toxicity by isotonic regression; this calibration maps a text's vote to its score.
+A text without any known term, so an empty one too, gets the rate of examples without any. Evidence is the
+nearest examples with label and similarity.
+
+The index has the terms of at most `MAX_EXAMPLES` rows, some 30 bytes for each term of an example, so it
+may be broadcast; all texts are scored whole.
 
 Defined results: a NULL text is empty; NULL labels teach nothing, of several labels of an id the
 greatest holds; without any examples the score is 0.5; NULL ids are scored, and count as held out by
@@ -30,7 +36,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,42 +44,58 @@ from patronlake.llm.shared import Workspace, prepare, required, whole_text
 
 MAX_EXAMPLES = 10_000
 NEIGHBOURS = 16
-AT_ONCE = 64  # texts to a product with the dense matrix
-COMMON = 8  # a term of one in so many examples is common
-LEAST_COUNT = 2
+BLOCK = 8  # examples to a block
+COMMON, COMMON_TERMS = 8, 256
+OPENED = 64  # examples that are opened first; twice as many each further time
+AT_ONCE = 64  # texts whose bounds are computed together
+FOLDS = 5
+CLUSTERS = 64
+PULL = 0.25
+NO_TERM = ""  # stands for a beginning that a word is too short for
 THRESHOLD = 0.7
 KEPT_WORDS = 200_000
+SLACK = 1e-5  # of sums in single precision
 
 _LETTERS = re.compile(r"[^\W\d_]+")
-_TERMS = "digest binary, label int, terms array<string>, counts array<int>"
+_TERMS = "doc_id long, label int, hashes binary, counts binary"
 
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def terms_of_word(word: str) -> list[str]:
+def terms_of_word(word: str) -> tuple[str, str, str]:
     """The word, and its beginnings marked as such."""
-    return [word, *(f"{word[:n]}*" for n in (4, 5) if len(word) > n)]
+    return word, f"{word[:4]}*" if len(word) > 4 else NO_TERM, f"{word[:5]}*" if len(word) > 5 else NO_TERM
+
+
+def words(text: str) -> Counter:
+    return Counter(_LETTERS.findall(text.lower()))
 
 
 def term_counts(text: str) -> Counter:
     found: Counter = Counter()
-    for word, n in Counter(_LETTERS.findall(text.lower())).items():
+    for word, n in words(text).items():
         for term in terms_of_word(word):
-            found[term] += n
+            if term:
+                found[term] += n
     return found
 
 
+def hashed(term: str) -> int:
+    return xxhash.xxh64_intdigest(term)
+
+
 def _example_terms(batches):
     for batch in batches:
-        counts = [term_counts(t) for t in batch.column(2).to_pylist()]
+        hashes, counts = [], []
+        for text in batch.column(2):
+            found = term_counts(text.as_py())
+            hashes.append(np.fromiter(map(hashed, found), np.uint64, len(found)).tobytes())
+            counts.append(np.fromiter(found.values(), np.int32, len(found)).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0), batch.column(1), pa.array([list(c) for c in counts], pa.list_(pa.string())),
-                pa.array([list(c.values()) for c in counts], pa.list_(pa.int32())),
-            ],
-            names=["digest", "label", "terms", "counts"],
+            [batch.column(0), batch.column(1), pa.array(hashes, pa.binary()), pa.array(counts, pa.binary())],
+            names=["doc_id", "label", "hashes", "counts"],
         )
 
 
@@ -83,132 +105,177 @@ def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Labelled unit vectors, by example and by term."""
-
-    def __init__(self, idf: dict[str, float], examples: list[tuple[int, int, dict[str, int]]], neighbours: int = NEIGHBOURS):
-        """idf: weight of each term. examples: (doc_id, label, counts of terms, of which those in idf count)."""
-        terms = sorted(idf)
-        number = {t: i for i, t in enumerate(terms)}
-        rows = [sorted((number[t], n) for t, n in counts.items() if t in number) for _, _, counts in examples]
-        self._build(
-            terms, np.array([idf[t] for t in terms]),
-            np.array([e[0] for e in examples], np.int64), np.array([e[1] for e in examples], np.float64),
-            np.repeat(np.arange(len(rows)), [len(r) for r in rows]).astype(np.int64),
-            np.array([t for r in rows for t, _ in r], np.int64), np.array([n for r in rows for _, n in r], np.float64),
-            neighbours,
+    """Labelled unit vectors in blocks, and the blocks of each term."""
+
+    def __init__(self, docs, labels, hashes, counts, neighbours: int = NEIGHBOURS):
+        """Of each example its id, its label, and hashes of its terms with their counts."""
+        self.k = neighbours
+        docs, labels = np.asarray(docs, np.int64), np.asarray(labels, np.float64)
+        size = np.array([len(h) for h in hashes], np.int64)
+        blank = labels[size == 0]
+        full = np.flatnonzero(size)
+        full = full[np.argsort(docs[full], kind="stable")]
+        n = len(full)
+        total = n + len(blank)
+        prior = (labels.sum() + 1) / (total + 2)
+        self.blank_score = float((blank.sum() + prior) / (len(blank) + 1)) if total else 0.5
+        self.terms, term = np.unique(
+            np.concatenate([np.empty(0, np.uint64), *(hashes[i] for i in full)]), return_inverse=True
         )
-
-    @classmethod
-    def of_arrays(cls, *columns) -> Index:
-        index = cls.__new__(cls)
-        index._build(*columns)
-        return index
-
-    def _build(self, terms, idf, docs, labels, row, term, count, neighbours=NEIGHBOURS):
-        """row, term, count: the terms of the examples, by row and term."""
-        self.k, self.idf = neighbours, idf
-        self.terms = {t: i for i, t in enumerate(terms)}
-        size = np.bincount(row, minlength=len(docs))
-        full = size > 0
-        blank = labels[~full]
-        self.docs, self.labels, size = docs[full], labels[full], size[full]
-        n = len(self.docs)
+        weight = 1 + np.log(np.concatenate([np.ones(0), *(counts[i] for i in full)]))
+        row = np.repeat(np.arange(n), size[full])
+        by_term = np.lexsort((term, row))
+        row, term, weight = row[by_term], term[by_term].astype(np.int32), weight[by_term]
+        self.idf = np.log((1 + n) / (1 + np.bincount(term, minlength=len(self.terms)))) + 1
+        toxic = labels[full][row] == 1
+        a, b = (np.bincount(term[on], minlength=len(self.terms)) for on in (toxic, ~toxic))
+        marked = int((labels[full] == 1).sum())
+        self.idf *= 1 + np.sqrt(likelihood_ratio(a, b, marked, n - marked))
+        weight *= self.idf[term]
+        weight /= np.sqrt(np.bincount(row, weight * weight, n))[row]
+
+        dense = self._columns(row, term, weight, n)
+        order = self._order(dense)
+        self.docs, self.labels, size = docs[full][order], labels[full][order], size[full][order]
+        begin = np.searchsorted(row, np.arange(n + 1))
+        take = _ranges(begin[:-1][order], size)
+        self.term, self.weight = term[take], weight[take]
         self.bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-        # whole numbers instead of weights, and some rows at a time: the driver is small
-        self.term = term.astype(np.int32)
-        self.count = count.astype(np.min_scalar_type(int(count.max()) if len(count) else 0))
-        self.norm = np.ones(n)
-        df = np.bincount(term, minlength=len(terms))
-        self.common = np.where(df * COMMON >= n, np.cumsum(df * COMMON >= n) - 1, -1)
-        self.matrix = np.zeros((int((self.common >= 0).sum()), n), np.float32)
-        self.size = np.where(self.common >= 0, 0, df)
-        self.begin = np.cumsum(self.size) - self.size
-        self.at = np.empty(int(self.size.sum()), np.int32)
-        self.at_weight = np.empty(len(self.at), np.float32)
-        filled = self.begin.copy()
-        for i in range(n):
-            ids, weight = self._row(i)
-            self.norm[i] = np.sqrt((weight * weight).sum())
-            weight /= self.norm[i]
-            dense = self.common[ids] >= 0
-            self.matrix[self.common[ids[dense]], i] = weight[dense]
-            rare = ids[~dense]
-            self.at[filled[rare]], self.at_weight[filled[rare]] = i, weight[~dense]
-            filled[rare] += 1
-        total = n + len(blank)
-        prior = (float(blank.sum()) + float(self.labels.sum()) + 1) / (total + 2)
-        self.blank_score = (float(blank.sum()) + prior) / (len(blank) + 1) if total else 0.5
+        self.fold = np.argsort(np.argsort(self.docs, kind="stable")) % FOLDS
+        self._post(np.repeat(np.arange(n), size), dense[order])
         self.knots = self._calibrate()
 
-    @property
-    def vectors(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        return [self._row(i) for i in range(len(self.docs))]
+    def _columns(self, row, term, weight, n: int) -> np.ndarray:
+        """Weights of the common terms, and in `column` their places."""
+        seen = np.bincount(term, minlength=len(self.terms))
+        common = np.argsort(-seen, kind="stable")[:COMMON_TERMS]
+        common = common[seen[common] * COMMON >= n]
+        self.column = np.full(len(seen), -1, np.int32)
+        self.column[common] = np.arange(len(common))
+        dense = np.zeros((n, len(common)), np.float32)
+        on = self.column[term] >= 0
+        dense[row[on], self.column[term[on]]] = weight[on]
+        return dense
+
+    def _order(self, dense) -> np.ndarray:
+        """Examples by the nearest of some of them, as far as the common terms tell."""
+        if not len(dense):
+            return np.arange(0)
+        like = dense @ dense[np.linspace(0, len(dense) - 1, min(CLUSTERS, len(dense))).astype(int)].T
+        return np.lexsort((-like.max(axis=1), like.argmax(axis=1)))
+
+    def _post(self, row, dense) -> None:
+        """Sparse postings by term; of common terms the greatest weight in each block."""
+        sparse = np.flatnonzero(self.column[self.term] < 0)
+        sparse = sparse[np.argsort(self.term[sparse], kind="stable")]
+        self.posts = np.empty(len(sparse), [("at", np.int32), ("weight", np.float32)])
+        self.posts["at"], self.posts["weight"] = row[sparse], self.weight[sparse]
+        self.size = np.bincount(self.term[sparse], minlength=len(self.terms))
+        self.begin = np.cumsum(self.size) - self.size
+        self.dense = dense
+        starts = np.arange(0, len(dense), BLOCK)
+        self.peaks = np.maximum.reduceat(dense, starts, axis=0).T.copy() if len(dense) else dense.T
 
-    def _row(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def row(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers and weights of an example."""
         a, b = self.bounds[i], self.bounds[i + 1]
-        return self.term[a:b], (1 + np.log(self.count[a:b], dtype=np.float64)) * self.idf[self.term[a:b]] / self.norm[i]
-
-    def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray] | None:
-        """(term numbers, weights) of unit length; None without any term."""
-        return self.numbered({self.terms[t]: n for t, n in counts.items() if t in self.terms})
-
-    def numbered(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray] | None:
-        """The same of counts by term number."""
-        if not counts:
+        return self.term[a:b], self.weight[a:b]
+
+    def numbers(self, some: list[str]) -> np.ndarray:
+        """A row for each word: the numbers of its three terms, -1 for those that no example has."""
+        wanted = [term for word in some for term in terms_of_word(word)]
+        wanted = np.fromiter(map(hashed, wanted), np.uint64, len(wanted)).reshape(-1, 3)
+        if not len(self.terms):
+            return np.full(wanted.shape, -1)
+        at = np.minimum(np.searchsorted(self.terms, wanted), len(self.terms) - 1)
+        return np.where(self.terms[at] == wanted, at, -1)
+
+    def vector(self, numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """(term numbers, weights) of unit length from rows of `numbers` and counts of their words; None
+        without any known term."""
+        known = numbers >= 0
+        if not known.any():
             return None
-        ids = np.fromiter(counts, np.int64, len(counts))
-        order = np.argsort(ids)
-        ids = ids[order]
-        weights = (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts))[order])) * self.idf[ids]
+        ids, place = np.unique(numbers[known], return_inverse=True)
+        count = np.bincount(place, np.broadcast_to(counts[:, None], numbers.shape)[known])
+        weights = (1 + np.log(count)) * self.idf[ids]
         return ids, weights / np.sqrt((weights * weights).sum())
 
-    def nearest(self, vector, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and similarities of the k nearest examples with similarity above 0."""
-        return self.all_nearest([vector], k, [without])[0]
+    def vector_of(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        found = words(text)
+        return self.vector(self.numbers(list(found)), np.array(list(found.values()), np.float64))
+
+    def nearest(self, vector, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
+        """Positions and similarities of the k nearest examples with similarity above 0, and how many
+        examples were opened. Examples of the fold `without` take no part."""
+        return next(self.all_nearest([vector], k, [without]))
 
-    def all_nearest(self, vectors, k: int, without=None) -> list[tuple[np.ndarray, np.ndarray]]:
+    def all_nearest(self, vectors, k: int, without=None):
         """`nearest` of each vector."""
-        found, n = [], len(self.docs)
         for first in range(0, len(vectors), AT_ONCE):
             some = vectors[first : first + AT_ONCE]
-            query = np.zeros((len(some), len(self.matrix)), np.float32)
+            common = np.zeros((len(some), self.dense.shape[1]), np.float32)
             for i, (ids, weights) in enumerate(some):
-                on = self.common[ids] >= 0
-                query[i, self.common[ids[on]]] = weights[on]
-            scores = query @ self.matrix
-            for i, (ids, weights) in enumerate(some):
-                score, size = scores[i], self.size[ids]
-                at = _ranges(self.begin[ids], size)
-                score += np.bincount(self.at[at], np.repeat(weights, size) * self.at_weight[at], minlength=n)
-                if without is not None and without[first + i] >= 0:
-                    score[without[first + i]] = 0
-                least = np.partition(score, n - k)[n - k] - 1e-5 if n > k else 0
-                near = np.flatnonzero((score > 0) & (score >= least))
-                exact = self._exact(ids, weights, near)
-                keep = np.lexsort((near, -exact))[:k]
-                found.append((near[keep], exact[keep]))
-        return found
-
-    def _exact(self, ids: np.ndarray, weights: np.ndarray, near: np.ndarray) -> np.ndarray:
-        out = np.empty(len(near))
-        for j, i in enumerate(near.tolist()):
-            terms, own = self._row(i)
-            at = np.minimum(np.searchsorted(ids, terms), len(ids) - 1)
-            out[j] = np.where(ids[at] == terms, weights[at], 0.0) @ own
-        return out
+                on = self.column[ids] >= 0
+                common[i, self.column[ids[on]]] = weights[on]
+            peaks = common @ self.peaks
+            for i, vector in enumerate(some):
+                yield self._nearest(vector, common[i], peaks[i], k, without[first + i] if without is not None else -1)
+
+    def _nearest(self, vector, common, peak, k: int, without: int):
+        ids, weights = vector
+        n, size = len(self.docs), self.size[ids]
+        posts = self.posts.take(_ranges(self.begin[ids], size))
+        sparse = np.bincount(posts["at"], np.repeat(weights, size) * posts["weight"], n)
+        bound = sparse + np.repeat(peak, BLOCK)[:n]
+        if without >= 0:
+            bound[self.fold == without] = 0
+        rows, score = np.empty(0, np.int64), np.empty(0)
+        least, wave, closed = 0.0, OPENED, np.flatnonzero(bound > 0)
+        while len(closed):
+            upper = bound[closed]
+            if len(closed) > wave:
+                part = np.argpartition(-upper, wave)
+                new, closed = closed[part[:wave]], closed[part[wave:]]
+            else:
+                new, closed = closed, closed[:0]
+            rows, score = np.concatenate([rows, new]), np.concatenate([score, sparse[new] + self.dense[new] @ common])
+            if len(score) >= k:
+                least = np.partition(score, len(score) - k)[len(score) - k] - SLACK
+            closed = closed[bound[closed] >= least - SLACK]
+            wave *= 2
+        near = rows[score >= least]
+        exact = np.round(self._scores(near, self._spread(ids, weights)), 12)
+        self._query[ids] = 0
+        near, exact = near[exact > 0], exact[exact > 0]
+        keep = np.lexsort((self.docs[near], -exact))[:k]
+        return near[keep], exact[keep], len(rows)
+
+    def _spread(self, ids, weights) -> np.ndarray:
+        """The weights by term number, in an array that is kept between texts and is 0 elsewhere."""
+        if not hasattr(self, "_query"):
+            self._query = np.zeros(len(self.terms))
+        self._query[ids] = weights
+        return self._query
+
+    def __getstate__(self):
+        return {name: value for name, value in self.__dict__.items() if name != "_query"}
+
+    def _scores(self, rows, query) -> np.ndarray:
+        if not len(rows):
+            return np.empty(0)
+        size = self.bounds[rows + 1] - self.bounds[rows]
+        take = _ranges(self.bounds[rows], size)
+        return np.add.reduceat(query[self.term[take]] * self.weight[take], np.cumsum(size) - size)
 
     def vote(self, at: np.ndarray, similarity: np.ndarray) -> float:
         """Share of toxic examples among the nearest, weighted by similarity, drawn to the blank rate."""
-        pull = 0.25
-        return float(((similarity * self.labels[at]).sum() + pull * self.blank_score) / (similarity.sum() + pull))
+        return float(((similarity * self.labels[at]).sum() + PULL * self.blank_score) / (similarity.sum() + PULL))
 
     def _calibrate(self) -> tuple[np.ndarray, np.ndarray]:
-        """Isotonic regression of labels on the votes of the examples, each found without itself."""
-        n, votes = len(self.docs), []
-        for first in range(0, n, AT_ONCE):
-            some = range(first, min(first + AT_ONCE, n))
-            votes += [self.vote(*near) for near in self.all_nearest([self._row(i) for i in some], self.k, some)]
-        votes = np.array(votes)
+        """Isotonic regression of labels on the votes of the examples, each found by the other folds."""
+        vectors = [self.row(i) for i in range(len(self.docs))]
+        votes = np.array([self.vote(at, near) for at, near, _ in self.all_nearest(vectors, self.k, self.fold.tolist())])
         if not len(votes):
             return np.array([0.0, 1.0]), np.array([0.0, 1.0])
         order = np.argsort(votes, kind="stable")
@@ -228,13 +295,10 @@ class Index:
 
     def all_scores(self, vectors) -> list[tuple[float, list[tuple[int, int, float]]]]:
         """`score` of each vector."""
-        full = [v for v in vectors if v is not None] if len(self.docs) else []
-        found = iter(self.all_nearest(full, self.k))
-        return [
-            (self.blank_score, []) if v is None or not full else self._score(*next(found)) for v in vectors
-        ]
+        found = self.all_nearest([v for v in vectors if v is not None], self.k)
+        return [(self.blank_score, []) if v is None else self._score(*next(found)[:2]) for v in vectors]
 
-    def _score(self, at: np.ndarray, similarity: np.ndarray) -> tuple[float, list[tuple[int, int, float]]]:
+    def _score(self, at, similarity) -> tuple[float, list[tuple[int, int, float]]]:
         value = float(np.interp(self.vote(at, similarity), *self.knots)) if len(at) else self.blank_score
         evidence = [
             (int(self.docs[i]), int(self.labels[i]), float(s)) for i, s in zip(at[:3].tolist(), similarity[:3].tolist())
@@ -256,90 +320,56 @@ def likelihood_ratio(a: np.ndarray, b: np.ndarray, toxic: int, clean: int) -> np
     ))
 
 
-def learn(docs: DataFrame, labels: DataFrame, space: Workspace, max_examples: int = MAX_EXAMPLES) -> Index:
+def learn(
+    docs: DataFrame, labels: DataFrame, space: Workspace, max_examples: int = MAX_EXAMPLES, neighbours: int = NEIGHBOURS
+) -> Index:
+    """The index of the labelled texts. Examples are chosen by ids and digests, and texts become hashes
+    and counts of terms where they lie, so no task or driver sees many whole texts."""
     known = (
         required(labels, "doc_id", "toxic").filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("label"))
         .filter(~held_out(F.col("doc_id")))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
     )
-    text = whole_text()
-    texts = (
-        required(docs, "doc_id", "text").join(F.broadcast(known), "doc_id")
-        .groupBy(F.unhex(F.sha2(text, 256)).alias("digest"))
-        .agg(F.max("label").alias("label"), F.min("doc_id").alias("doc_id"), F.first(text).alias("text"))
-        .orderBy("digest").limit(max_examples)
+    texts = required(docs, "doc_id", "text").select(
+        F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"),
     )
-    counted = space.put("examples", texts.select(
-        F.unhex(F.lpad(F.hex("doc_id"), 16, "0")).alias("digest"), "label", "text"
-    ).mapInArrow(_example_terms, _TERMS))
-    vocabulary = (
-        counted.select("label", F.explode("terms").alias("term")).groupBy("term")
-        .agg(F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") != 1).alias("b"))
-        .filter(F.col("a") + F.col("b") >= LEAST_COUNT).toArrow().sort_by("term")  # terms of at most max_examples rows
+    found = space.put("known", texts.join(F.broadcast(known), "doc_id").select(
+        "doc_id", "label", F.sha2("text", 256).alias("digest")
+    ))
+    chosen = space.put("chosen", found.groupBy("digest").agg(
+        F.max("label").alias("label"), F.min("doc_id").alias("doc_id")
+    ).orderBy("digest").limit(max_examples))
+    examples = (
+        texts.join(F.broadcast(chosen), "doc_id").filter(F.sha2("text", 256) == F.col("digest"))
+        .select("doc_id", "label", "text").mapInArrow(_example_terms, _TERMS)
     )
-    terms = vocabulary["term"].to_pylist()
-    a, b = (vocabulary[c].to_numpy().astype(np.float64) for c in ("a", "b"))
-    numbered = counted.mapInArrow(
-        _numbered_terms(docs.sparkSession.sparkContext.broadcast(vocabulary["term"].combine_chunks())),
-        "digest binary, label int, terms binary, counts binary",
-    ).toArrow().sort_by("digest")
-    rows = [np.frombuffer(x, np.int32) for x in numbered["terms"].to_pylist()]
-    labelled = numbered["label"].to_numpy().astype(np.float64)
-    toxic = int((labelled == 1).sum())
-    clean = len(labelled) - toxic
-    weights = (np.log((1 + toxic + clean) / (1 + a + b)) + 1) * (1 + np.sqrt(likelihood_ratio(a, b, toxic, clean)))
-    none = np.empty(0, np.int32)
-    return Index.of_arrays(
-        terms, weights,
-        np.array([int.from_bytes(d, "big", signed=True) for d in numbered["digest"].to_pylist()], np.int64), labelled,
-        np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows]), np.concatenate([none, *rows]),
-        np.concatenate([none, *(np.frombuffer(x, np.int32) for x in numbered["counts"].to_pylist())]),
+    # repeated rows give equal terms in equal order
+    rows = space.put("examples", examples).distinct().toArrow()
+    return Index(
+        rows["doc_id"].to_numpy(), rows["label"].to_numpy(),
+        [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["hashes"]],
+        [np.frombuffer(x.as_buffer(), np.int32) for x in rows["counts"]], neighbours,
     )
 
 
-def _numbered_terms(vocabulary):
-    """Term numbers, ascending, and counts of each example as bytes."""
-
-    def run(batches):
-        for batch in batches:
-            terms, counts = [], []
-            numbers = pc.index_in(batch.column(2).flatten(), value_set=vocabulary.value).fill_null(-1).to_numpy()
-            seen = batch.column(3).flatten().to_numpy()
-            ends = np.cumsum(pc.list_value_length(batch.column(2)).to_numpy())
-            for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist()):
-                number = numbers[begin:end]
-                order = np.argsort(number)[int((number < 0).sum()) :]
-                terms.append(number[order].astype(np.int32).tobytes())
-                counts.append(seen[begin:end][order].astype(np.int32).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(terms, pa.binary()), pa.array(counts, pa.binary())],
-                names=["digest", "label", "terms", "counts"],
-            )
-
-    return run
-
-
 def _scorer(index):
     names = ["doc", "score", "evidence"]
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("similarity", pa.float64())]))
 
     def run(batches):
         model: Index = index.value
-        terms, known = model.terms, {}
+        known: dict[str, np.ndarray] = {}
         for batch in batches:
             vectors = []
             for text in batch.column(1):
-                counts: dict[int, int] = {}
-                for word, n in Counter(_LETTERS.findall(text.as_py().lower())).items():
-                    hit = known.get(word)
-                    if hit is None:
-                        if len(known) > KEPT_WORDS:
-                            known.clear()
-                        hit = known[word] = tuple(terms[t] for t in terms_of_word(word) if t in terms)
-                    for term in hit:
-                        counts[term] = counts.get(term, 0) + n
-                vectors.append(model.numbered(counts))
+                found = words(text.as_py())
+                if len(known) > KEPT_WORDS:
+                    known.clear()
+                new = [word for word in found if word not in known]
+                known.update(zip(new, model.numbers(new)))
+                numbers = np.array([known[word] for word in found]).reshape(-1, 3)
+                vectors.append(model.vector(numbers, np.fromiter(found.values(), np.float64, len(found))))
             found = model.all_scores(vectors)
             scores = [value for value, _ in found]
             evidence = [[{"doc_id": d, "label": y, "similarity": s} for d, y, s in near] for _, near in found]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -11,38 +12,99 @@ from patronlake.llm import toxicity as X
 
 
 def index(seed, n=600, k=7):
+    """Examples of few terms, so that many of them tie; 25 terms, some in most examples, some in few."""
     draw = random.Random(seed)
-    terms = [f"t{i}" for i in range(25)]
-    idf = {t: 1 + draw.random() * 4 for t in terms}
-    examples = []
-    for i in range(n):
-        counts = {draw.choice(terms): draw.randint(1, 5) for _ in range(draw.randint(0, 4))}
-        examples.append((i, int("t1" in counts or "t2" in counts), counts))
-    return X.Index(idf, examples, k)
-
-
-def test_block_max_search_finds_what_scoring_all_finds():
-    model, draw = index(1), random.Random(2)
-    for _ in range(200):
-        counts = {f"t{draw.randint(0, 27)}": draw.randint(1, 5) for _ in range(draw.randint(1, 6))}
-        vector = model.vector(counts)
-        if vector is None:
-            continue
-        dense = np.zeros(len(model.terms))
-        dense[vector[0]] = vector[1]
-        scores = np.array([(dense[ids] * weights).sum() for ids, weights in model.vectors])
-        at, found = model.nearest(vector, 7)
-        best = np.sort(scores)[::-1][:7]
-        np.testing.assert_allclose(found, best[best > 0], atol=1e-9)
-        np.testing.assert_allclose(scores[at], found, atol=1e-9)
-        assert model.nearest(vector, 7, without=int(at[0]))[0].tolist().count(int(at[0])) == 0
+    names = [f"t{chr(97 + i)}" for i in range(25)]
+    rows = [
+        {draw.choice(names[:3] if draw.random() < 0.5 else names): draw.randint(1, 5) for _ in range(draw.randint(0, 4))}
+        for _ in range(n)
+    ]
+    ids = draw.sample(range(10 * n), n)
+    return X.Index(
+        ids, [int("tb" in r or "tc" in r) for r in rows],
+        [np.array([X.hashed(t) for t in r], np.uint64) for r in rows], [np.array(list(r.values()), np.int32) for r in rows], k,
+    )
+
+
+def by_scoring_all(model, vector, k):
+    """(doc_id, similarity) of the k best of all examples."""
+    dense = np.zeros(len(model.terms))
+    dense[vector[0]] = vector[1]
+    scores = [(dense[ids] * weights).sum() for ids, weights in map(model.row, range(len(model.docs)))]
+    ranked = sorted((-round(s, 12), d) for s, d in zip(scores, model.docs.tolist()) if s > 0)
+    return ranked[:k]
+
+
+def test_block_max_search_finds_what_scoring_all_finds_ties_included():
+    for seed, sizes in ((1, (8, 256, 64)), (2, (8, 2, 4)), (3, (1, 0, 1)), (4, (64, 512, 8))):
+        X.BLOCK, X.COMMON_TERMS, X.OPENED = sizes
+        try:
+            model, draw = index(seed), random.Random(seed)
+            for _ in range(100):
+                vector = model.vector_of(" ".join(f"t{chr(97 + draw.randint(0, 27))}" for _ in range(draw.randint(1, 9))))
+                if vector is None:
+                    continue
+                at, found, opened = model.nearest(vector, 7)
+                assert [(-round(s, 12), d) for d, s in zip(model.docs[at].tolist(), found.tolist())] == by_scoring_all(model, vector, 7)
+                assert len(at) <= opened <= len(model.docs)
+                without = int(model.fold[at[0]])
+                assert (model.fold[model.nearest(vector, 7, without)[0]] != without).all()
+        finally:
+            X.BLOCK, X.COMMON_TERMS, X.OPENED = 8, 256, 64
+
+
+def test_blocks_that_cannot_hold_a_neighbour_stay_closed():
+    """A text equal to 20 examples, among examples that share one frequent word with it."""
+    words = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(26) for j in range(26)]
+    draw = random.Random(5)
+    rows = [["the", *draw.sample(words, 30)] for _ in range(2000)] + [["the", *words[:30 + i % 2]] for i in range(20)]
+    hashes = [np.array([X.hashed(w) for w in r], np.uint64) for r in rows]
+    model = X.Index(range(len(rows)), [0] * len(rows), hashes, [np.ones(len(r), np.int32) for r in rows])
+    at, _, opened = model.nearest(model.vector_of(" ".join(["the", *words[:30]])), 16)
+    assert set(model.docs[at].tolist()) <= set(range(2000, 2020)) and opened < 200
+
+
+def test_whole_query_against_plain_python(spark, table):
+    """TF-IDF, neighbours, similarities: from the rows on, with repeated rows, copies, ties and a long text."""
+    draw = random.Random(6)
+    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa", "zeta"]
+    docs = [(i, " ".join(draw.choices(words, k=draw.randint(1, 6)))) for i in range(120)]
+    docs += [(500, docs[0][1]), (501, "alpha " * 200_000), (502, None), docs[3], docs[3]]
+    marks = [(i, int("omega" in (t or ""))) for i, t in dict(docs).items() if i % 2]
+    found = {(r.doc_id): r for r in X.score_toxicity(table(docs), spark.createDataFrame(marks, "doc_id long, toxic int")).collect()}
+    assert X.score_toxicity(table(docs), spark.createDataFrame(marks, "doc_id long, toxic int")).count() == len(docs)
+    texts, examples = dict(docs), {}
+    for i, y in marks:
+        if zlib.crc32(str(i).encode()) % 3 != 1:
+            text = texts[i] or ""
+            d, label = examples.get(text, (i, y))
+            examples[text] = (min(d, i), max(label, y))
+    counts = {d: X.term_counts(text) for text, (d, _) in examples.items() if text}
+    label = {d: y for text, (d, y) in examples.items() if text}
+    n, marked = len(label), sum(label.values())
+    terms = {t for c in counts.values() for t in c}
+    a, b = ({t: sum(t in c for d, c in counts.items() if label[d] == y) for t in terms} for y in (1, 0))
+
+    def g2(t):
+        cells = [(a[t], a[t] + b[t], marked), (b[t], a[t] + b[t], n - marked)]
+        cells += [(marked - a[t], n - a[t] - b[t], marked), (n - marked - b[t], n - a[t] - b[t], n - marked)]
+        return max(0, 2 * sum(x * math.log(x * n / (r * c)) for x, r, c in cells if x))
+
+    idf = {t: (math.log((1 + n) / (1 + a[t] + b[t])) + 1) * (1 + math.sqrt(g2(t))) for t in terms}
+    weigh = lambda c: {t: (1 + math.log(m)) * idf[t] for t, m in c.items() if t in idf}
+    unit = lambda v: {t: x / np.sqrt(sum(y * y for y in v.values())) for t, x in v.items()}
+    vectors = {d: unit(weigh(c)) for d, c in counts.items()}
+    for i, text in texts.items():
+        own = unit(weigh(X.term_counts(text or "")))
+        ranked = sorted((-round(sum(x * v.get(t, 0) for t, x in own.items()), 9), d) for d, v in vectors.items())
+        assert [(-round(e.similarity, 9), e.doc_id) for e in found[i].evidence] == [r for r in ranked if r[0] < 0][:3]
 
 
 def test_scores_are_probabilities_that_follow_the_votes():
     model = index(3)
     grid = np.interp(np.linspace(0, 1, 50), *model.knots)
     assert (np.diff(grid) >= 0).all() and grid.min() >= 0 and grid.max() <= 1
-    assert model.score(model.vector({"t1": 2, "t2": 2}))[0] > 0.7 > 0.5 > model.score(model.vector({"t9": 2}))[0]
+    assert model.score(model.vector_of("tb tb tc tc"))[0] > 0.7 > 0.5 > model.score(model.vector_of("tj tj"))[0]
 
 
 def test_held_out_accuracy_on_the_given_tables(spark):

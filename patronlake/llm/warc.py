@@ -3,7 +3,7 @@
 Writing. Payload digests are folded into (digest, largest page_id): the response of each payload, all
 others revisit it. Records go to shards by exact quantiles of page_id, not by a sample, and are sorted
 inside the shard by (page_id, digest, url). So shards, their order, headers and bytes depend on the
-records alone. A shard rolls to its next file once the file has `roll_bytes` compressed bytes. Every
+records alone. Each shard is written by a task of its own, which streams it. A shard rolls to its next file once the file has `roll_bytes` compressed bytes. Every
 record is a gzip member of its own.
 
 Committing. A task writes files under names of its own attempt and reports them. Spark keeps the
@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from patronlake.llm import files
 from patronlake.llm.shared import Workspace, prepare, required
 
-ROLL_BYTES = 256 * 1024**2
-SHARD_BYTES = 16 * 1024**2  # of payload; more, where there would be over MAX_SHARDS
+ROLL_BYTES = 8 * 1024**2
+SHARD_BYTES = 64 * 1024**2  # of payload; more, where there would be over MAX_SHARDS
 MAX_SHARDS = 4096
 MAX_READERS = 1 << 16  # tasks that read an archive; more files share them
 WARC_DATE = "2020-01-01T00:00:00Z"
@@ -235,7 +235,7 @@ def write_archives(
         F.when(F.octet_length("payload") >= min_payload, 1).otherwise(2).alias("kind"),
     )
     written = (
-        rows.unionByName(notes).repartition("shard")
+        rows.unionByName(notes).repartitionById(len(bounds) + 1, "shard")  # a task for each shard
         .sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
         .mapInArrow(_shard_writer(folder, roll_bytes), _FILE)
     )

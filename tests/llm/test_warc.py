@@ -95,3 +95,12 @@ def test_naming_again_changes_nothing_and_damage_is_refused(spark, tmp_path):
 def test_no_pages_give_no_files(spark, tmp_path):
     assert warc.write_archives(make(spark, ROWS).limit(0), f"{tmp_path}/a").count() == 0
     assert read(spark, f"{tmp_path}/a").count() == 0
+
+
+def test_each_shard_is_written_by_a_task_of_its_own(spark, tmp_path):
+    folder = f"file://{tmp_path}/s"
+    rows = [(i, f"http://x/{i}", f"page {i} " + "x" * 400) for i in range(300)]
+    warc.write_archives(make(spark, rows), folder, shard_bytes=4000, roll_bytes=300).collect()
+    files = spark.read.schema(warc._FILE).parquet(f"{folder}/manifest-attempts").collect()
+    assert len({f.shard for f in files}) > 20 and max(f.part for f in files) > 0
+    assert all(f.temporary.split("-")[1] == str(f.shard) for f in files)

@@ -21,7 +21,7 @@ are turned into rates of toxicity by isotonic regression; this calibration maps
 A text without any known term, so an empty one too, gets the rate of examples without any. Evidence is the
 nearest examples with label and similarity.
 
-The index has the terms of at most `MAX_EXAMPLES` rows, some 30 bytes for each term of an example, so it
+The index has the terms of at most `MAX_EXAMPLES` rows, some 6 bytes for each term of an example, so it
 may be broadcast; all texts are scored whole.
 
 Defined results: a NULL text is empty; NULL labels teach nothing, of several labels of an id the
@@ -122,37 +122,53 @@ class Index:
         self.terms, term = np.unique(
             np.concatenate([np.empty(0, np.uint64), *(hashes[i] for i in full)]), return_inverse=True
         )
-        weight = 1 + np.log(np.concatenate([np.ones(0), *(counts[i] for i in full)]))
+        count = np.concatenate([np.empty(0, np.int32), *(counts[i] for i in full)])
         row = np.repeat(np.arange(n), size[full])
         by_term = np.lexsort((term, row))
-        row, term, weight = row[by_term], term[by_term].astype(np.int32), weight[by_term]
-        self.idf = np.log((1 + n) / (1 + np.bincount(term, minlength=len(self.terms)))) + 1
+        row, term, count = row[by_term], term[by_term].astype(np.int32), count[by_term]
         toxic = labels[full][row] == 1
         a, b = (np.bincount(term[on], minlength=len(self.terms)) for on in (toxic, ~toxic))
         marked = int((labels[full] == 1).sum())
-        self.idf *= 1 + np.sqrt(likelihood_ratio(a, b, marked, n - marked))
-        weight *= self.idf[term]
-        weight /= np.sqrt(np.bincount(row, weight * weight, n))[row]
+        self.idf = (np.log((1 + n) / (1 + a + b)) + 1) * (1 + np.sqrt(likelihood_ratio(a, b, marked, n - marked)))
+        common = np.argsort(-(a + b), kind="stable")[:COMMON_TERMS]
+        common = common[(a + b)[common] * COMMON >= n]
+        self.column = np.full(len(self.terms), -1, np.int32)
+        self.column[common] = np.arange(len(common))
 
-        dense = self._columns(row, term, weight, n)
-        order = self._order(dense)
+        order = self._order(self._columns(row, term, self._weights(row, term, count, n), n))
         self.docs, self.labels, size = docs[full][order], labels[full][order], size[full][order]
         begin = np.searchsorted(row, np.arange(n + 1))
         take = _ranges(begin[:-1][order], size)
-        self.term, self.weight = term[take], weight[take]
+        self.term = term[take]
+        self.count = count[take].astype(np.min_scalar_type(int(count.max()) if n else 0))
         self.bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
         self.fold = np.argsort(np.argsort(self.docs, kind="stable")) % FOLDS
-        self._post(np.repeat(np.arange(n), size), dense[order])
+        self._unfold()
         self.knots = self._calibrate()
 
+    def _unfold(self) -> None:
+        """Weights and postings. They follow from terms and counts, which alone are sent to the executors."""
+        n = len(self.docs)
+        row = np.repeat(np.arange(n), np.diff(self.bounds))
+        self.weight = self._weights(row, self.term, self.count, n)
+        self._post(row, self._columns(row, self.term, self.weight, n))
+        self._query = np.zeros(len(self.terms))
+
+    def __getstate__(self):
+        own = ("weight", "posts", "size", "begin", "dense", "peaks", "_query")
+        return {name: value for name, value in self.__dict__.items() if name not in own}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._unfold()
+
+    def _weights(self, row, term, count, n: int) -> np.ndarray:
+        weight = (1 + np.log(count, dtype=np.float64)) * self.idf[term]
+        return weight / np.sqrt(np.bincount(row, weight * weight, n))[row]
+
     def _columns(self, row, term, weight, n: int) -> np.ndarray:
-        """Weights of the common terms, and in `column` their places."""
-        seen = np.bincount(term, minlength=len(self.terms))
-        common = np.argsort(-seen, kind="stable")[:COMMON_TERMS]
-        common = common[seen[common] * COMMON >= n]
-        self.column = np.full(len(seen), -1, np.int32)
-        self.column[common] = np.arange(len(common))
-        dense = np.zeros((n, len(common)), np.float32)
+        """Weights of the common terms."""
+        dense = np.zeros((n, int((self.column >= 0).sum())), np.float32)
         on = self.column[term] >= 0
         dense[row[on], self.column[term[on]]] = weight[on]
         return dense
@@ -253,14 +269,9 @@ class Index:
 
     def _spread(self, ids, weights) -> np.ndarray:
         """The weights by term number, in an array that is kept between texts and is 0 elsewhere."""
-        if not hasattr(self, "_query"):
-            self._query = np.zeros(len(self.terms))
         self._query[ids] = weights
         return self._query
 
-    def __getstate__(self):
-        return {name: value for name, value in self.__dict__.items() if name != "_query"}
-
     def _scores(self, rows, query) -> np.ndarray:
         if not len(rows):
             return np.empty(0)

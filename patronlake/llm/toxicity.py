@@ -123,9 +123,10 @@ class Index:
             np.concatenate([np.empty(0, np.uint64), *(hashes[i] for i in full)]), return_inverse=True
         )
         count = np.concatenate([np.empty(0, np.int32), *(counts[i] for i in full)])
-        row = np.repeat(np.arange(n), size[full])
+        row, term = np.repeat(np.arange(n, dtype=np.int32), size[full]), term.astype(np.int32)
         by_term = np.lexsort((term, row))
-        row, term, count = row[by_term], term[by_term].astype(np.int32), count[by_term]
+        row, term, count = row[by_term], term[by_term], count[by_term]
+        del by_term
         toxic = labels[full][row] == 1
         a, b = (np.bincount(term[on], minlength=len(self.terms)) for on in (toxic, ~toxic))
         marked = int((labels[full] == 1).sum())
@@ -143,13 +144,14 @@ class Index:
         self.count = count[take].astype(np.min_scalar_type(int(count.max()) if n else 0))
         self.bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
         self.fold = np.argsort(np.argsort(self.docs, kind="stable")) % FOLDS
+        del row, term, count, take, toxic  # the driver is small
         self._unfold()
         self.knots = self._calibrate()
 
     def _unfold(self) -> None:
         """Weights and postings. They follow from terms and counts, which alone are sent to the executors."""
         n = len(self.docs)
-        row = np.repeat(np.arange(n), np.diff(self.bounds))
+        row = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.bounds))
         self.weight = self._weights(row, self.term, self.count, n)
         self._post(row, self._columns(row, self.term, self.weight, n))
         self._query = np.zeros(len(self.terms))

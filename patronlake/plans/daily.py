@@ -21,6 +21,7 @@ the same old rows and so the same users and orders, and each table switches in o
 from __future__ import annotations
 
 import datetime as dt
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -120,6 +121,14 @@ def _stacked(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _piece(pieces: dict[int, list[str]], columns: list[str]) -> Column:
+    """The piece of its day (column `place`) that a row goes to, by all of its columns."""
+    found = F.lit(0).cast("long")
+    for n, days in sorted(pieces.items()):
+        found = F.when(F.col("place").isin(days), F.pmod(F.xxhash64(*columns), F.lit(n))).otherwise(found)
+    return found
+
+
 @dataclass(frozen=True)
 class RefreshResult:
     activity: MergeResult
@@ -165,12 +174,27 @@ class DailyStar:
         self.activity.merge(_stacked(day_parts(orders, events), complaint_parts(self.links.read())))
         self.wide.merge(wide_rows(users, measures(self.activity.read())))
         dated = items.join(orders.select("order_id", "created_at"), "order_id", "left")
+        sized = {table: self._pieces(rows, _STAMPS[table]) for table, rows in zip(_STAMPS, (orders, events, tickets))}
         rows = {"fact_orders": orders, "fact_events_log": events, "fact_cs_tickets": tickets, "fact_order_items": dated}
         for table, clean in rows.items():
-            by_day = clean.withColumn("day", F.to_date(_STAMPS.get(table, "created_at"))).select(*S.TABLES[table].columns, "day")
-            by_day.repartitionByRange("day", S.TABLES[table].columns[0]).write.mode("overwrite").partitionBy("day").parquet(
-                self.path(table)
-            )
+            stamp, columns = _STAMPS.get(table, "created_at"), S.TABLES[table].columns
+            by_day = clean.select(*columns, F.to_date(stamp).alias("day"), _day_of(stamp).alias("place"))
+            by_day = by_day.repartition("place", _piece(sized.get(table, sized["fact_orders"]), columns)).drop("place")
+            by_day.write.mode("overwrite").partitionBy("day").parquet(self.path(table))
+
+    def _pieces(self, rows: DataFrame, stamp: str) -> dict[int, list[str]]:
+        """Days that hold more rows than a partition should, by the number of pieces (a power of 2) they go to.
+
+        A pass over the stamps alone. Ranges would need a sample, for which Spark evaluates all rows of the
+        table twice; items take the days of their orders, so their join is done once.
+        """
+        counts = rows.groupBy(_day_of(stamp).alias("day")).count().collect()
+        share = sum(r["count"] for r in counts) / int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        found: dict[int, list[str]] = {}
+        for r in counts:
+            if r["count"] > share:
+                found.setdefault(1 << (math.ceil(r["count"] / share) - 1).bit_length(), []).append(r["day"])
+        return found
 
     def refresh(self, raw: dict[str, DataFrame], users: DataFrame, day: dt.date) -> RefreshResult:
         """Takes in a date's raw orders, order_items, events and tickets; `users` are all clean users.
@@ -194,7 +218,7 @@ class DailyStar:
 
         links = link_parts(new["fact_orders"], new["fact_cs_tickets"])
         links = _stacked(links, _without(link_parts(old["fact_orders"], old["fact_cs_tickets"]), links, link_keys))
-        before = self.links.rows_of(links)
+        before = self._staged(self.links.rows_of(links), "links")
         gone = F.col(GONE).isNull() | ~F.col(GONE)
         after = _stacked(before.join(links.select(*link_keys), link_keys, "left_anti"), links.filter(gone).drop(GONE))
         told, was = complaint_parts(after), complaint_parts(before)
@@ -204,7 +228,9 @@ class DailyStar:
         activity = self.activity.merge(_stacked(
             parts, _without(old_parts, parts, activity_keys), told, _without(was, told, activity_keys)
         ))
-        touched = _stacked(*[x.select("user_id") for x in (parts, old_parts, told, was)], self._changed(users)).distinct()
+        touched = self._staged(_stacked(
+            *[x.select("user_id") for x in (parts, old_parts, told, was)], self._changed(users)
+        ).distinct(), "touched")
         wide = self.wide.merge(wide_rows(
             users.join(touched, "user_id", "left_semi"), measures(self.activity.rows_of(touched))
         ))
@@ -222,6 +248,5 @@ class DailyStar:
         return users.join(had, same, "left_anti").select("user_id")
 
     def _replace_day(self, rows: DataFrame, table: str, day: dt.date) -> None:
-        """The folder of the date holds these rows, or none if there are none."""
-        key = S.TABLES[table].columns[0]
-        rows.repartitionByRange(key).write.mode("overwrite").parquet(f"{self.path(table)}/day={day.isoformat()}")
+        """The folder of the date holds these rows, or none if there are none. They are evaluated once."""
+        rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.path(table)}/day={day.isoformat()}")

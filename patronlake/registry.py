@@ -143,7 +143,8 @@ def _event_stream(t: BenchStar) -> DataFrame:
 
 def _daily_refresh(t: BenchStar) -> DataFrame:
     """A first load without two dates, then these dates one after the other."""
-    star = DailyStar(t.spark, scratch_folder(t.spark), f"daily_{uuid.uuid4().hex}", buckets=16)
+    folder = scratch_folder(t.spark)
+    star = DailyStar(t.spark, folder, f"daily_{uuid.uuid4().hex}", buckets=16)
 
     def before(rows: DataFrame, stamp: str) -> DataFrame:
         day = F.to_date(stamp)
@@ -156,8 +157,11 @@ def _daily_refresh(t: BenchStar) -> DataFrame:
         before(t.fact_events_log, "timestamp"), before(t.fact_cs_tickets, "reported_at"),
     )
     raw = {name: getattr(t, f"raw_{name}") for name in ("orders", "order_items", "events", "tickets")}
+    # The tiers come from all orders; both dates take the same users.
+    t.dim_users.write.parquet(f"{folder}/dim_users")
+    profiles = t.spark.read.schema(S.DIM_USERS.schema).parquet(f"{folder}/dim_users")
     for day in P.REFRESH_DAYS:
-        star.refresh(raw, t.dim_users, day)
+        star.refresh(raw, profiles, day)
     return star.wide.read()
 
 

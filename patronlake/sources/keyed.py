@@ -141,34 +141,56 @@ class KeyedTable:
     def _batch(self) -> str:
         return f"{self.database}.{self.name}__batch"
 
-    def stage(self, batch: DataFrame) -> dict[int, int]:
-        """Writes the batch, so that it is evaluated once; its rows by bucket."""
+    def _typed(self, batch: DataFrame) -> DataFrame:
         gone = F.coalesce(F.col(GONE), F.lit(False)) if GONE in batch.columns else F.lit(False)
         typed = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._batch()}")
-        (
-            batch.select(*typed, gone.alias(GONE)).withColumn("bucket", self._bucket())
-            .write.format("parquet").mode("overwrite").saveAsTable(self._batch())
-        )
-        staged = self.spark.table(self._batch())
+        return batch.select(*typed, gone.alias(GONE))
+
+    def _rows_by_bucket(self, rows: DataFrame) -> dict[int, int]:
+        """Rows by bucket. NULLs in the unique columns, or in required ones of rows that stay, are an error."""
         required = {f.name for f in self.schema.fields if not f.nullable}
         rules = {c: F.col(f"`{c}`").isNull() & (F.lit(c in self.unique) | ~F.col(GONE)) for c in sorted(required | set(self.unique))}
-        seen = staged.groupBy("bucket").agg(F.count("*").alias("n"), *[F.count_if(x).alias(f"no_{c}") for c, x in rules.items()]).collect()
+        seen = rows.groupBy("bucket").agg(F.count("*").alias("n"), *[F.count_if(x).alias(f"no_{c}") for c, x in rules.items()]).collect()
         if broken := [c for c in rules if any(r[f"no_{c}"] for r in seen)]:
             raise NullViolation(f"{self._view()}: NULLs in {broken}")
         return {r["bucket"]: r["n"] for r in seen}
 
-    def merged(self, buckets: set[int]) -> DataFrame:
-        """The rows of these buckets after the merge, with their bucket. Only the staged batch is shuffled."""
+    def stage(self, batch: DataFrame) -> dict[int, int]:
+        """Writes the batch, so that it is evaluated once; its rows by bucket."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._batch()}")
+        (
+            self._typed(batch).withColumn("bucket", self._bucket())
+            .write.format("parquet").mode("overwrite").saveAsTable(self._batch())
+        )
+        return self._rows_by_bucket(self.spark.table(self._batch()))
+
+    def _newest(self, batch: DataFrame, old: list[DataFrame]) -> DataFrame:
+        """Of rows with equal unique columns the one that counts; it may be one that goes."""
         columns = self.schema.fieldNames()
-        new = self.spark.table(self._batch()).select(*columns, GONE, F.lit(1).alias(_SEQ)).repartition(self.buckets, self.key)
-        old = [part.select(*columns, F.lit(False).alias(GONE), F.lit(0).alias(_SEQ)) for part in self._stored(buckets)]
+        new = batch.select(*columns, GONE, F.lit(1).alias(_SEQ)).repartition(self.buckets, self.key)
+        old = [part.select(*columns, F.lit(False).alias(GONE), F.lit(0).alias(_SEQ)) for part in old]
         newest = W.partitionBy(*self.unique).orderBy(F.desc(_SEQ), GONE, *[F.desc(c) for c in columns])
-        return (
-            reduce(DataFrame.union, [new, *old]).withColumn("nth", F.row_number().over(newest))
-            .filter(F.col("nth") == 1).filter(~F.col(GONE)).select(*columns, self._bucket().alias("bucket"))
+        return reduce(DataFrame.union, [new, *old]).withColumn("nth", F.row_number().over(newest)).filter(F.col("nth") == 1)
+
+    def merged(self, buckets: set[int]) -> DataFrame:
+        """The rows of these buckets after the merge, with their bucket. Only the staged batch is shuffled."""
+        rows = self._newest(self.spark.table(self._batch()), self._stored(buckets)).filter(~F.col(GONE))
+        return rows.select(*self.schema.fieldNames(), self._bucket().alias("bucket"))
+
+    def _write(self, rows: DataFrame, generation: int) -> None:
+        (
+            rows.write.format("parquet").mode("overwrite").partitionBy("bucket")
+            .bucketBy(self.buckets, self.key).sortBy(*self.unique).saveAsTable(self._generation(generation))
         )
 
+    def _first(self, batch: DataFrame) -> bool:
+        """Writes the first generation straight from the batch, which has no old rows to meet, and checks what
+        was written. False if nothing stays."""
+        broken = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in self.unique])
+        rows = self._newest(self._typed(batch), []).filter(~F.col(GONE) | broken)
+        self._write(rows.select(*self.schema.fieldNames(), self._bucket().alias("bucket")), 1)
+        return bool(self._rows_by_bucket(self.spark.table(self._generation(1)).withColumn(GONE, F.lit(False))))
+
     def merge(self, batch: DataFrame) -> MergeResult:
         """Rows of the batch take the place of rows with equal `unique` columns, or are added.
 
@@ -179,16 +201,16 @@ class KeyedTable:
         version, owners = self._state()
         live = set(owners)
         self._drop({n for n in self._stored_generations() if version is None or n > version})
+        if version is None and self._first(batch):
+            self._publish(1, {1: set(range(self.buckets))})
+            return MergeResult(1, self.buckets, False)
         touched = set(self.stage(batch))
         if not touched:
             return MergeResult(version, 0, True)
         if version is None or len(live) >= self.generations:
             touched = set(range(self.buckets))
         following = (version or 0) + 1
-        (
-            self.merged(touched).write.format("parquet").mode("overwrite").partitionBy("bucket")
-            .bucketBy(self.buckets, self.key).sortBy(*self.unique).saveAsTable(self._generation(following))
-        )
+        self._write(self.merged(touched), following)
         left = {n: held - touched for n, held in owners.items()}
         self._publish(following, {**{n: held for n, held in left.items() if held}, following: touched})
         self._drop(self._stored_generations() - live - {following})

@@ -151,3 +151,38 @@ def test_only_touched_buckets_are_read(spark, star):
     assert len(own) == 1 and "PartitionFilters: [isnotnull(bucket" in plan
     names = found.select(F.input_file_name().alias("f")).distinct().collect()
     assert all(f"bucket={min(own)}/" in r.f for r in names)
+
+
+def test_a_load_evaluates_the_items_once_and_splits_a_day_of_many_rows(spark, star):
+    """Ranges by day would evaluate all items for a sample, and again to write them."""
+    draw, users = random.Random(8), users_frame(spark)
+    delivered = {day: day_rows(draw, day) for day in DAYS}
+    many = [(f"h{i}", "u1", "1.50", "delivered", None, dt.datetime.combine(DAYS[2], dt.time(7))) for i in range(400)]
+    delivered[DAYS[2]]["orders"] += many
+    delivered[DAYS[2]]["order_items"] += [(o[0], "0", "p1", "3.00") for o in many]
+    raw = frames(spark, {name: [r for day in DAYS for r in delivered[day][name]] for name in RAW})
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def told(key):
+        evaluated.add(1)
+        return key
+
+    items = daily.clean_order_items(raw["order_items"])
+    n_items = items.count()
+    orders = daily.clean_orders(raw["orders"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # pieces this small would be joined
+    try:
+        star.load(
+            users, orders, items.withColumn("order_id", F.udf(told)("order_id")), daily.clean_events(raw["events"]),
+            daily.clean_tickets(raw["tickets"]),
+        )
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert evaluated.value == n_items == star.facts("fact_order_items").count()
+    assert content(star.wide.read()) == rebuilt(spark, delivered, users)
+    assert [d for days in star._pieces(orders, "created_at").values() for d in days] == [str(DAYS[2])]
+    for table, rows in (("fact_orders", "orders"), ("fact_order_items", "order_items")):
+        for day in DAYS:
+            stored = star.stored(table, day)
+            files = stored.select(F.input_file_name().alias("f")).distinct().count()
+            assert stored.count() == len(delivered[day][rows]) and (files > 1) == (day == DAYS[2])

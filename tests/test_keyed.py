@@ -120,3 +120,29 @@ def test_what_a_merge_replaces_stays_readable_for_one_more(spark, table):
     assert 1 in table._stored_generations()
     table.merge(batch(spark, [("a", "p", 3)]))
     assert content(table) == {("a", "p"): 3}
+
+
+def test_a_first_merge_evaluates_its_batch_once_and_stages_nothing(spark, table, monkeypatch):
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def told(n):
+        evaluated.add(1)
+        return n
+
+    rows = batch(spark, [("a", "p", 1), ("a", "p", 4), ("b", "p", 2), ("c", "p", 3)], {("c", "p")})
+    with monkeypatch.context() as patched:
+        patched.delattr(keyed.KeyedTable, "stage")
+        result = table.merge(rows.withColumn("n", F.udf(told, "int")("n")))
+    assert evaluated.value == 4 and (result.version, result.buckets) == (1, 16)
+    assert content(table) == {("a", "p"): 4, ("b", "p"): 2}
+
+
+def test_a_first_merge_with_nulls_stops_and_one_of_deletions_leaves_an_empty_table(spark, table):
+    for rows, gone in (([("a", "p", 1), (None, "p", 1)], ()), ([("a", None, 1)], {("a", None)})):
+        with pytest.raises(NullViolation):
+            table.merge(batch(spark, rows, gone))
+        assert not table.exists() and content(table) == {}
+    assert table.merge(batch(spark, [("a", "p", 1)], {("a", "p")})).version == 1
+    assert table.exists() and content(table) == {}
+    table.merge(batch(spark, [("b", "p", 2)]))
+    assert content(table) == {("b", "p"): 2}

@@ -6,15 +6,18 @@ letters, all of them; they are known by their 64-bit XXH64. A term weighs (1 + l
 with G2 the likelihood ratio of term and label: terms that speak for either label lead. Examples are unit
 vectors of these weights.
 
-Index. Examples are ordered so that such of like common words stand together, and cut into blocks of
-`BLOCK`. Terms of one in `COMMON` examples or more, at most `COMMON_TERMS`, are common: their postings are
-columns with the greatest weight of each block beside them. All others have sparse postings.
-
-Search. A text's sparse postings are added up for each example. With the block's greatest weights of the
-common terms this bounds an example's similarity from above. Examples are opened from the greatest bound
-down, some more each time, until no closed one's bound reaches the k-th best score. What may be among the
-k nearest is scored again in double precision and rounded to 12 places, so that ties are ties; these go to
-the smaller id.
+Index. Examples of like common words (of one language, say) form clusters, and these are cut into blocks of
+`BLOCK`. Terms of one in `COMMON` examples of a cluster or more, at most `COMMON_TERMS`, are common there:
+their postings are columns of the cluster with the greatest weight of each block beside them. All others
+have sparse postings.
+
+Search. `AT_ONCE` texts are searched together. A text's sparse postings are added up for each example. With
+the block's greatest weights of the common terms this bounds an example's similarity from above. The cluster
+with the greatest bound is opened first, for all texts that lead to it in one matrix product. Further ones
+are opened in that way where many of their examples have bounds that reach the k-th best score. All other
+examples are opened from the greatest bound down, some more each time, until no closed one's bound reaches
+the k-th best score. What may be among the k nearest is scored again in double precision and rounded to 12
+places, so that ties are ties; these go to the smaller id.
 
 Score. The neighbours vote with their similarities. Votes of the examples, each found by the other folds,
 are turned into rates of toxicity by isotonic regression; this calibration maps a text's vote to its score.
@@ -31,13 +34,14 @@ the hash of the empty text; repeated rows are scored each; further columns are i
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlake.llm.shared import Workspace, prepare, required, whole_text
@@ -45,11 +49,13 @@ from patronlake.llm.shared import Workspace, prepare, required, whole_text
 MAX_EXAMPLES = 10_000
 NEIGHBOURS = 16
 BLOCK = 8  # examples to a block
-COMMON, COMMON_TERMS = 8, 256
+COMMON, COMMON_TERMS = 16, 2048
 OPENED = 64  # examples that are opened first; twice as many each further time
-AT_ONCE = 64  # texts whose bounds are computed together
+AT_ONCE = 128  # texts whose bounds are computed together
+TOGETHER = 4  # texts from which on a cluster is opened by a matrix product
+PRODUCT = 32  # times as much costs an example that is opened by itself
 FOLDS = 5
-CLUSTERS = 64
+CLUSTERS, PIVOTS, PIVOT_TERMS = 8, 64, 256
 PULL = 0.25
 NO_TERM = ""  # stands for a beginning that a word is too short for
 THRESHOLD = 0.7
@@ -107,8 +113,9 @@ def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 class Index:
     """Labelled unit vectors in blocks, and the blocks of each term."""
 
-    def __init__(self, docs, labels, hashes, counts, neighbours: int = NEIGHBOURS):
-        """Of each example its id, its label, and hashes of its terms with their counts."""
+    def __init__(self, docs, labels, hashes, counts, neighbours: int = NEIGHBOURS, calibrate: bool = True):
+        """Of each example its id, its label, and hashes of its terms with their counts. Without `calibrate`
+        `knots` are to be set to the `calibration` of all `votes`."""
         self.k = neighbours
         docs, labels = np.asarray(docs, np.int64), np.asarray(labels, np.float64)
         size = np.array([len(h) for h in hashes], np.int64)
@@ -123,7 +130,10 @@ class Index:
             np.concatenate([np.empty(0, np.uint64), *(hashes[i] for i in full)]), return_inverse=True
         )
         count = np.concatenate([np.empty(0, np.int32), *(counts[i] for i in full)])
-        row, term = np.repeat(np.arange(n, dtype=np.int32), size[full]), term.astype(np.int32)
+        # numbered by frequency, so that what most entries look up lies close together
+        self.number = np.empty(len(self.terms), np.int32)
+        self.number[np.argsort(-np.bincount(term, minlength=len(self.terms)), kind="stable")] = np.arange(len(self.terms))
+        row, term = np.repeat(np.arange(n, dtype=np.int32), size[full]), self.number[term]
         by_term = np.lexsort((term, row))
         row, term, count = row[by_term], term[by_term], count[by_term]
         del by_term
@@ -131,12 +141,7 @@ class Index:
         a, b = (np.bincount(term[on], minlength=len(self.terms)) for on in (toxic, ~toxic))
         marked = int((labels[full] == 1).sum())
         self.idf = (np.log((1 + n) / (1 + a + b)) + 1) * (1 + np.sqrt(likelihood_ratio(a, b, marked, n - marked)))
-        common = np.argsort(-(a + b), kind="stable")[:COMMON_TERMS]
-        common = common[(a + b)[common] * COMMON >= n]
-        self.column = np.full(len(self.terms), -1, np.int32)
-        self.column[common] = np.arange(len(common))
-
-        order = self._order(self._columns(row, term, self._weights(row, term, count, n), n))
+        order, self.starts = self._order(row, term, self._weights(row, term, count, n), a + b, n)
         self.docs, self.labels, size = docs[full][order], labels[full][order], size[full][order]
         begin = np.searchsorted(row, np.arange(n + 1))
         take = _ranges(begin[:-1][order], size)
@@ -145,68 +150,95 @@ class Index:
         self.bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
         self.fold = np.argsort(np.argsort(self.docs, kind="stable")) % FOLDS
         del row, term, count, take, toxic  # the driver is small
-        self._unfold()
-        self.knots = self._calibrate()
+        self._unfolded = False
+        self.knots = calibration(np.empty(0), self.labels)
+        if calibrate:
+            self.knots = calibration(self.votes(range(n)), self.labels)
 
     def _unfold(self) -> None:
-        """Weights and postings. They follow from terms and counts, which alone are sent to the executors."""
+        """Weights and postings. They follow from terms and counts, which alone are sent to the executors,
+        and are made where texts are searched."""
+        if self._unfolded:
+            return
         n = len(self.docs)
         row = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.bounds))
         self.weight = self._weights(row, self.term, self.count, n)
-        self._post(row, self._columns(row, self.term, self.weight, n))
+        self._post(row)
         self._query = np.zeros(len(self.terms))
+        self._unfolded = True
 
     def __getstate__(self):
-        own = ("weight", "posts", "size", "begin", "dense", "peaks", "_query")
-        return {name: value for name, value in self.__dict__.items() if name not in own}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-        self._unfold()
+        own = ("weight", "posts", "size", "begin", "column", "dense", "peaks", "_query")
+        return {name: value for name, value in self.__dict__.items() if name not in own} | {"_unfolded": False}
 
     def _weights(self, row, term, count, n: int) -> np.ndarray:
         weight = (1 + np.log(count, dtype=np.float64)) * self.idf[term]
         return weight / np.sqrt(np.bincount(row, weight * weight, n))[row]
 
-    def _columns(self, row, term, weight, n: int) -> np.ndarray:
-        """Weights of the common terms."""
-        dense = np.zeros((n, int((self.column >= 0).sum())), np.float32)
-        on = self.column[term] >= 0
-        dense[row[on], self.column[term[on]]] = weight[on]
-        return dense
-
-    def _order(self, dense) -> np.ndarray:
-        """Examples by the nearest of some of them, as far as the common terms tell."""
-        if not len(dense):
-            return np.arange(0)
-        like = dense @ dense[np.linspace(0, len(dense) - 1, min(CLUSTERS, len(dense))).astype(int)].T
-        return np.lexsort((-like.max(axis=1), like.argmax(axis=1)))
-
-    def _post(self, row, dense) -> None:
-        """Sparse postings by term; of common terms the greatest weight in each block."""
-        sparse = np.flatnonzero(self.column[self.term] < 0)
+    def _order(self, row, term, weight, found, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Examples by cluster and, within, by the nearest of some of them, as far as the most frequent terms
+        tell; and where each cluster starts, with the end."""
+        if not n:
+            return np.arange(0), np.zeros(1, np.int64)
+        frequent = np.argsort(-found, kind="stable")[:PIVOT_TERMS]
+        place = np.full(len(found), -1, np.int32)
+        place[frequent] = np.arange(len(frequent))
+        dense = np.zeros((n, len(frequent)), np.float32)
+        on = place[term] >= 0
+        dense[row[on], place[term[on]]] = weight[on]
+        dense /= np.maximum(np.sqrt((dense * dense).sum(axis=1, keepdims=True)), 1e-9)
+        like = dense @ dense[np.linspace(0, n - 1, min(PIVOTS, n)).astype(int)].T
+        centres = dense[:1]  # each further one is an example far from those before
+        while len(centres) < min(CLUSTERS, n):
+            centres = np.concatenate([centres, dense[[(dense @ centres.T).max(axis=1).argmin()]]])
+        for _ in range(5):
+            own = (dense @ centres.T).argmax(axis=1)
+            centres = np.stack([dense[own == c].sum(axis=0) for c in range(len(centres))])
+            centres /= np.maximum(np.sqrt((centres * centres).sum(axis=1, keepdims=True)), 1e-9)
+        sizes = np.bincount(own)
+        return np.lexsort((-like.max(axis=1), like.argmax(axis=1), own)), np.concatenate([[0], np.cumsum(sizes[sizes > 0])])
+
+    def _post(self, row) -> None:
+        """For each cluster the columns of its common terms, and their greatest weights by block; sparse
+        postings by term of all else."""
+        self.column = np.full((len(self.starts) - 1, len(self.terms)), -1, np.int16)
+        self.dense, self.peaks, sparse = [], [], []
+        for own, first, end in zip(self.column, self.starts[:-1], self.starts[1:]):
+            a, b = self.bounds[first], self.bounds[end]
+            term = self.term[a:b]
+            found = np.bincount(term, minlength=len(self.terms))
+            common = np.flatnonzero(found * COMMON >= end - first)
+            common = common[np.argsort(-found[common], kind="stable")[:COMMON_TERMS]]
+            own[common] = np.arange(len(common))
+            place = own[term]
+            on = place >= 0
+            dense = np.zeros((end - first, len(common)), np.float32)
+            dense[row[a:b][on] - first, place[on]] = self.weight[a:b][on]
+            self.dense.append(dense)
+            self.peaks.append(np.maximum.reduceat(dense, np.arange(0, len(dense), BLOCK), axis=0).T.copy())
+            sparse.append(a + np.flatnonzero(~on))
+        sparse = np.concatenate([np.empty(0, np.int64), *sparse])
         sparse = sparse[np.argsort(self.term[sparse], kind="stable")]
         self.posts = np.empty(len(sparse), [("at", np.int32), ("weight", np.float32)])
         self.posts["at"], self.posts["weight"] = row[sparse], self.weight[sparse]
         self.size = np.bincount(self.term[sparse], minlength=len(self.terms))
         self.begin = np.cumsum(self.size) - self.size
-        self.dense = dense
-        starts = np.arange(0, len(dense), BLOCK)
-        self.peaks = np.maximum.reduceat(dense, starts, axis=0).T.copy() if len(dense) else dense.T
 
     def row(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers and weights of an example."""
+        self._unfold()
         a, b = self.bounds[i], self.bounds[i + 1]
         return self.term[a:b], self.weight[a:b]
 
     def numbers(self, some: list[str]) -> np.ndarray:
         """A row for each word: the numbers of its three terms, -1 for those that no example has."""
-        wanted = [term for word in some for term in terms_of_word(word)]
-        wanted = np.fromiter(map(hashed, wanted), np.uint64, len(wanted)).reshape(-1, 3)
         if not len(self.terms):
-            return np.full(wanted.shape, -1)
+            return np.full((len(some), 3), -1)
+        terms = _Places()  # words share their beginnings
+        places = np.fromiter((terms[term] for word in some for term in terms_of_word(word)), np.int64, 3 * len(some))
+        wanted = np.fromiter(map(hashed, terms), np.uint64, len(terms))
         at = np.minimum(np.searchsorted(self.terms, wanted), len(self.terms) - 1)
-        return np.where(self.terms[at] == wanted, at, -1)
+        return np.where(self.terms[at] == wanted, self.number[at], -1)[places].reshape(-1, 3)
 
     def vector(self, numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
         """(term numbers, weights) of unit length from rows of `numbers` and counts of their words; None
@@ -230,26 +262,63 @@ class Index:
 
     def all_nearest(self, vectors, k: int, without=None):
         """`nearest` of each vector."""
+        self._unfold()
         for first in range(0, len(vectors), AT_ONCE):
             some = vectors[first : first + AT_ONCE]
-            common = np.zeros((len(some), self.dense.shape[1]), np.float32)
-            for i, (ids, weights) in enumerate(some):
-                on = self.column[ids] >= 0
-                common[i, self.column[ids[on]]] = weights[on]
-            peaks = common @ self.peaks
-            for i, vector in enumerate(some):
-                yield self._nearest(vector, common[i], peaks[i], k, without[first + i] if without is not None else -1)
-
-    def _nearest(self, vector, common, peak, k: int, without: int):
-        ids, weights = vector
-        n, size = len(self.docs), self.size[ids]
-        posts = self.posts.take(_ranges(self.begin[ids], size))
-        sparse = np.bincount(posts["at"], np.repeat(weights, size) * posts["weight"], n)
-        bound = sparse + np.repeat(peak, BLOCK)[:n]
-        if without >= 0:
-            bound[self.fold == without] = 0
-        rows, score = np.empty(0, np.int64), np.empty(0)
-        least, wave, closed = 0.0, OPENED, np.flatnonzero(bound > 0)
+            yield from self._together(some, k, without[first : first + AT_ONCE] if without is not None else None)
+
+    def _together(self, vectors, k: int, without):
+        n, many = len(self.docs), len(vectors)
+        text = np.repeat(np.arange(many), [len(ids) for ids, _ in vectors])
+        ids, weights = (np.concatenate(x) for x in zip(*vectors))
+        sparse = np.empty((many, n), np.float32)
+        for i, (some, theirs) in enumerate(vectors):
+            size = self.size[some]
+            posts = self.posts.take(_ranges(self.begin[some], size))
+            sparse[i] = np.bincount(posts["at"], np.repeat(theirs, size) * posts["weight"], n)
+        common, bound = [], sparse.copy()
+        for column, peaks, first, end in zip(self.column, self.peaks, self.starts[:-1], self.starts[1:]):
+            place = column[ids]
+            on = place >= 0
+            common.append(np.zeros((many, len(peaks)), np.float32))
+            common[-1][text[on], place[on]] = weights[on]
+            bound[:, first:end] += np.repeat(common[-1] @ peaks, BLOCK, axis=1)[:, : end - first]
+        if without is not None:
+            bound[self.fold == np.asarray(without)[:, None]] = -1
+        greatest = np.maximum.reduceat(bound, self.starts[:-1], axis=1)
+        least = np.zeros(many)
+        opened: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in vectors]
+
+        def open_cluster(c: int, some: np.ndarray) -> None:
+            first, end = self.starts[c : c + 2]
+            score = common[c][some] @ self.dense[c].T + sparse[some, first:end]
+            score[bound[some, first:end] < 0] = -1
+            bound[some, first:end] = -1
+            best = np.partition(score, -k, axis=1)[:, -k] if end - first >= k else np.zeros(len(some))
+            least[some] = np.maximum(least[some], best - SLACK)
+            for i, scores in zip(some.tolist(), score):
+                may = np.flatnonzero(scores >= least[i])
+                opened[i].append((first + may, scores[may]))
+
+        lead = greatest.argmax(axis=1)
+        for c in range(len(self.dense)):
+            some = np.flatnonzero(lead == c)
+            if len(some) >= TOGETHER:
+                open_cluster(c, some)
+        for c, (first, end) in enumerate(zip(self.starts[:-1], self.starts[1:])):
+            some = np.flatnonzero((greatest[:, c] >= least - SLACK) & (greatest[:, c] > 0))
+            closed = (bound[some, first:end] >= least[some, None] - SLACK).sum(axis=1)
+            some = some[closed * PRODUCT > end - first]
+            if len(some) >= TOGETHER:
+                open_cluster(c, some)
+        for i, (ids, weights) in enumerate(vectors):
+            yield self._nearest(ids, weights, [x[i] for x in common], sparse[i], bound[i], opened[i], least[i], k)
+
+    def _nearest(self, ids, weights, common, sparse, bound, opened, least: float, k: int):
+        """What is left of a text's search: examples whose bound is above 0 are still closed."""
+        rows, score = (np.concatenate(x) for x in zip((np.empty(0, np.int64), np.empty(0)), *opened))
+        seen = int((bound < 0).sum()) if opened else 0
+        wave, closed = OPENED, np.flatnonzero((bound > 0) & (bound >= least - SLACK))
         while len(closed):
             upper = bound[closed]
             if len(closed) > wave:
@@ -257,9 +326,13 @@ class Index:
                 new, closed = closed[part[:wave]], closed[part[wave:]]
             else:
                 new, closed = closed, closed[:0]
-            rows, score = np.concatenate([rows, new]), np.concatenate([score, sparse[new] + self.dense[new] @ common])
+            new = np.sort(new)
+            found, cut = sparse[new], np.searchsorted(new, self.starts)
+            for c in np.flatnonzero(np.diff(cut)):
+                found[cut[c] : cut[c + 1]] += self.dense[c][new[cut[c] : cut[c + 1]] - self.starts[c]] @ common[c]
+            rows, score, seen = np.concatenate([rows, new]), np.concatenate([score, found]), seen + len(new)
             if len(score) >= k:
-                least = np.partition(score, len(score) - k)[len(score) - k] - SLACK
+                least = max(least, np.partition(score, len(score) - k)[len(score) - k] - SLACK)
             closed = closed[bound[closed] >= least - SLACK]
             wave *= 2
         near = rows[score >= least]
@@ -267,7 +340,7 @@ class Index:
         self._query[ids] = 0
         near, exact = near[exact > 0], exact[exact > 0]
         keep = np.lexsort((self.docs[near], -exact))[:k]
-        return near[keep], exact[keep], len(rows)
+        return near[keep], exact[keep], seen
 
     def _spread(self, ids, weights) -> np.ndarray:
         """The weights by term number, in an array that is kept between texts and is 0 elsewhere."""
@@ -277,30 +350,17 @@ class Index:
     def _scores(self, rows, query) -> np.ndarray:
         if not len(rows):
             return np.empty(0)
-        size = self.bounds[rows + 1] - self.bounds[rows]
-        take = _ranges(self.bounds[rows], size)
-        return np.add.reduceat(query[self.term[take]] * self.weight[take], np.cumsum(size) - size)
+        ends = zip(self.bounds[rows].tolist(), self.bounds[rows + 1].tolist())
+        return np.array([query.take(self.term[a:b]) @ self.weight[a:b] for a, b in ends])
 
     def vote(self, at: np.ndarray, similarity: np.ndarray) -> float:
         """Share of toxic examples among the nearest, weighted by similarity, drawn to the blank rate."""
         return float(((similarity * self.labels[at]).sum() + PULL * self.blank_score) / (similarity.sum() + PULL))
 
-    def _calibrate(self) -> tuple[np.ndarray, np.ndarray]:
-        """Isotonic regression of labels on the votes of the examples, each found by the other folds."""
-        vectors = [self.row(i) for i in range(len(self.docs))]
-        votes = np.array([self.vote(at, near) for at, near, _ in self.all_nearest(vectors, self.k, self.fold.tolist())])
-        if not len(votes):
-            return np.array([0.0, 1.0]), np.array([0.0, 1.0])
-        order = np.argsort(votes, kind="stable")
-        pools: list[list[float]] = []  # sum of labels, count, sum of votes
-        for v, label in zip(votes[order].tolist(), self.labels[order].tolist()):
-            pools.append([label, 1.0, v])
-            while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
-                last = pools.pop()
-                pools[-1] = [x + y for x, y in zip(pools[-1], last)]
-        x = np.array([p[2] / p[1] for p in pools])
-        y = np.array([(p[0] + 0.5) / (p[1] + 1.0) for p in pools])
-        return np.concatenate([[0.0], x, [1.0]]), np.maximum.accumulate(np.concatenate([[y[0] * 0.5], y, [max(y[-1], 0.99)]]))
+    def votes(self, some) -> np.ndarray:
+        """The votes of these examples, each found by the other folds."""
+        vectors = [self.row(i) for i in some]
+        return np.array([self.vote(at, near) for at, near, _ in self.all_nearest(vectors, self.k, self.fold[list(some)])])
 
     def score(self, vector) -> tuple[float, list[tuple[int, int, float]]]:
         """Score and evidence: (doc_id, label, similarity) of the three nearest."""
@@ -319,6 +379,22 @@ class Index:
         return min(1.0, max(0.0, value)), evidence
 
 
+def calibration(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Isotonic regression of labels on votes, as knots."""
+    if not len(votes):
+        return np.array([0.0, 1.0]), np.array([0.0, 1.0])
+    order = np.argsort(votes, kind="stable")
+    pools: list[list[float]] = []  # sum of labels, count, sum of votes
+    for v, label in zip(votes[order].tolist(), labels[order].tolist()):
+        pools.append([label, 1.0, v])
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
+            last = pools.pop()
+            pools[-1] = [x + y for x, y in zip(pools[-1], last)]
+    x = np.array([p[2] / p[1] for p in pools])
+    y = np.array([(p[0] + 0.5) / (p[1] + 1.0) for p in pools])
+    return np.concatenate([[0.0], x, [1.0]]), np.maximum.accumulate(np.concatenate([[y[0] * 0.5], y, [max(y[-1], 0.99)]]))
+
+
 def likelihood_ratio(a: np.ndarray, b: np.ndarray, toxic: int, clean: int) -> np.ndarray:
     """G-squared of term and label: a toxic and b clean examples with the term; toxic, clean examples in all."""
     n, with_term = toxic + clean, a + b
@@ -362,27 +438,57 @@ def learn(
     return Index(
         rows["doc_id"].to_numpy(), rows["label"].to_numpy(),
         [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["hashes"]],
-        [np.frombuffer(x.as_buffer(), np.int32) for x in rows["counts"]], neighbours,
+        [np.frombuffer(x.as_buffer(), np.int32) for x in rows["counts"]], neighbours, calibrate=False,
     )
 
 
-def _scorer(index):
+def _voter(index):
+    def run(batches):
+        for batch in batches:
+            votes = index.value.votes(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.float64())], names=["at", "vote"])
+
+    return run
+
+
+def _calibrated(spark: SparkSession, index: Index, shared) -> tuple[np.ndarray, np.ndarray]:
+    """The calibration; the examples are searched in tasks, so the driver needs no weights or postings."""
+    n = len(index.docs)
+    if not n:
+        return index.knots
+    found = spark.range(n).mapInArrow(_voter(shared), "at long, vote double").toArrow()
+    votes = np.empty(n)
+    votes[found["at"].to_numpy()] = found["vote"].to_numpy()
+    return calibration(votes, index.labels)
+
+
+class _Places(dict):
+    """Words by the order in which they were first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = place = len(self)
+        return place
+
+
+def _scorer(index, knots):
     names = ["doc", "score", "evidence"]
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("similarity", pa.float64())]))
 
     def run(batches):
         model: Index = index.value
-        known: dict[str, np.ndarray] = {}
+        model.knots = knots
+        known, table = _Places(), np.empty((0, 3), np.int64)
         for batch in batches:
-            vectors = []
+            if len(known) > KEPT_WORDS:
+                known, table = _Places(), table[:0]
+            texts = []
             for text in batch.column(1):
                 found = words(text.as_py())
-                if len(known) > KEPT_WORDS:
-                    known.clear()
-                new = [word for word in found if word not in known]
-                known.update(zip(new, model.numbers(new)))
-                numbers = np.array([known[word] for word in found]).reshape(-1, 3)
-                vectors.append(model.vector(numbers, np.fromiter(found.values(), np.float64, len(found))))
+                places = np.fromiter(map(known.__getitem__, found), np.int64, len(found))
+                texts.append((places, np.fromiter(found.values(), np.float64, len(found))))
+            new = list(itertools.islice(known, len(table), None))
+            table = np.concatenate([table, model.numbers(new)])
+            vectors = [model.vector(table[places], counts) for places, counts in texts]
             found = model.all_scores(vectors)
             scores = [value for value, _ in found]
             evidence = [[{"doc_id": d, "label": y, "similarity": s} for d, y, s in near] for _, near in found]
@@ -399,8 +505,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_E
     prepare(spark)
     index = learn(docs, labels, Workspace(spark, "toxicity"), max_examples)
     rows = required(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc"), whole_text().alias("text"))
+    shared = spark.sparkContext.broadcast(index)
     scored = rows.mapInArrow(
-        _scorer(spark.sparkContext.broadcast(index)),
+        _scorer(shared, _calibrated(spark, index, shared)),
         "doc long, score double, evidence array<struct<doc_id:long,label:int,similarity:double>>",
     )
     return scored.select(

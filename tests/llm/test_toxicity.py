@@ -64,6 +64,19 @@ def test_blocks_that_cannot_hold_a_neighbour_stay_closed():
     assert set(model.docs[at].tolist()) <= set(range(2000, 2020)) and opened < 200
 
 
+def test_words_common_in_one_language_alone_are_columns_and_many_texts_together_find_the_same():
+    """Two languages with 40 words each, of which a text has 8: a word is in a tenth of all examples."""
+    draw = random.Random(9)
+    names = [[f"{mark}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)] for mark in "xy"]
+    rows = [draw.sample(names[i % 2], 8) for i in range(800)]
+    hashes = [np.array([X.hashed(w) for w in r], np.uint64) for r in rows]
+    model = X.Index(range(len(rows)), [i % 2 for i in range(800)], hashes, [np.ones(8, np.int32)] * 800, 7)
+    vectors = [model.vector_of(" ".join(draw.sample(names[i % 2], 6) + names[1 - i % 2][:1])) for i in range(60)]
+    for vector, (at, found, opened) in zip(vectors, model.all_nearest(vectors, 7)):
+        assert [(-round(s, 12), d) for d, s in zip(model.docs[at].tolist(), found.tolist())] == by_scoring_all(model, vector, 7)
+        assert opened <= 800 and model.size[vector[0]].sum() < 100  # sparse postings
+
+
 def test_whole_query_against_plain_python(spark, table):
     """TF-IDF, neighbours, similarities: from the rows on, with repeated rows, copies, ties and a long text."""
     draw = random.Random(6)

@@ -11,7 +11,8 @@ Index. Examples of like common words (of one language, say) form clusters, and t
 their postings are columns of the cluster with the greatest weight of each block beside them. All others
 have sparse postings.
 
-Search. `AT_ONCE` texts are searched together. A text's sparse postings are added up for each example. With
+Search. Texts of up to `LETTERS_AT_ONCE` letters are cut into words together, and each of their different
+terms is looked up once. `AT_ONCE` texts are searched together. A text's sparse postings are added up for each example. With
 the block's greatest weights of the common terms this bounds an example's similarity from above. The cluster
 with the greatest bound is opened first, for all texts that lead to it in one matrix product. Further ones
 are opened in that way where many of their examples have bounds that reach the k-th best score. All other
@@ -34,12 +35,15 @@ the hash of the empty text; repeated rows are scored each; further columns are i
 
 from __future__ import annotations
 
-import itertools
 import re
+import sys
 from collections import Counter
+from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,7 +63,8 @@ CLUSTERS, PIVOTS, PIVOT_TERMS = 8, 64, 256
 PULL = 0.25
 NO_TERM = ""  # stands for a beginning that a word is too short for
 THRESHOLD = 0.7
-KEPT_WORDS = 200_000
+BUILT_AT_ONCE = 500  # examples whose terms are unpacked together; the driver is small
+LETTERS_AT_ONCE = 2**22  # of texts that are cut into words together
 SLACK = 1e-5  # of sums in single precision
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -92,6 +97,39 @@ def hashed(term: str) -> int:
     return xxhash.xxh64_intdigest(term)
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")
+
+
+@cache
+def _letters() -> np.ndarray:
+    """Of each code point whether it may be part of a word."""
+    codes = np.arange(sys.maxunicode + 1, dtype="<u4")
+    found = np.zeros(len(codes), bool)
+    found[_codes("".join(_LETTERS.findall(codes.tobytes().decode("utf-32-le", "ignore"))))] = True  # but for surrogates
+    return found
+
+
+def words_of_all(texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray, np.ndarray, np.ndarray]:
+    """`words` of some texts: the different words, and (text, word, count) by their numbers, ordered by text."""
+    lower = [text.lower() for text in texts]
+    joined = "\n".join(lower)
+    codes = _codes(joined)
+    edge = np.flatnonzero(np.diff(_letters()[codes], prepend=False, append=False))  # starts and ends in turn
+    data, at = joined.encode(), edge
+    if len(data) > len(codes):
+        more = sum((codes > last).view(np.uint8) for last in (0x7F, 0x7FF, 0xFFFF))
+        at = edge + np.concatenate([[0], np.cumsum(more, dtype=np.int64)])[edge]
+    if not len(edge):
+        at = np.zeros(1, np.int64)
+    pieces = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(data))
+    found = pieces.take(pa.array(np.arange(0, len(pieces), 2))).dictionary_encode()
+    text = np.searchsorted(np.cumsum([len(x) + 1 for x in lower]), edge[::2], side="right")
+    many = max(1, len(found.dictionary))
+    pair, count = np.unique(text * many + found.indices.to_numpy(), return_counts=True)
+    return found.dictionary, *np.divmod(pair, many), count
+
+
 def _example_terms(batches):
     for batch in batches:
         hashes, counts = [], []
@@ -105,11 +143,29 @@ def _example_terms(batches):
         )
 
 
+def _unpacked(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    """The arrays that the binary values of a column hold, without copies."""
+    found = []
+    for chunk in column.cast(pa.large_binary()).chunks:
+        _, ends, data = chunk.buffers()
+        data = np.frombuffer(data or b"", np.uint8)
+        at = np.frombuffer(ends, np.int64)[chunk.offset : chunk.offset + len(chunk) + 1] if len(chunk) else ()
+        found += [data[a:b].view(kind) for a, b in pairwise(at)]
+    return found
+
+
 def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The numbers of all ranges, one after the other."""
     return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
+def _parts(bounds: np.ndarray):
+    """(first example, end, their entries) of a few examples at a time."""
+    for first in range(0, len(bounds) - 1, BUILT_AT_ONCE):
+        end = min(first + BUILT_AT_ONCE, len(bounds) - 1)
+        yield first, end, slice(bounds[first], bounds[end])
+
+
 class Index:
     """Labelled unit vectors in blocks, and the blocks of each term."""
 
@@ -126,30 +182,42 @@ class Index:
         total = n + len(blank)
         prior = (labels.sum() + 1) / (total + 2)
         self.blank_score = float((blank.sum() + prior) / (len(blank) + 1)) if total else 0.5
-        self.terms, term = np.unique(
-            np.concatenate([np.empty(0, np.uint64), *(hashes[i] for i in full)]), return_inverse=True
-        )
-        count = np.concatenate([np.empty(0, np.int32), *(counts[i] for i in full)])
+        size = size[full]
+        bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        term = np.empty(bounds[-1], np.int32)
+        count = np.empty(bounds[-1], np.min_scalar_type(max((int(counts[i].max()) for i in full), default=0)))
+        own = []
+        for first, end, part in _parts(bounds):
+            here, term[part] = np.unique(np.concatenate([hashes[i] for i in full[first:end]]), return_inverse=True)
+            count[part] = np.concatenate([counts[i] for i in full[first:end]])
+            own.append(here)
+        self.terms = np.unique(np.concatenate([np.empty(0, np.uint64), *own]))
+        a, b = np.zeros((2, len(self.terms)), np.int64)
+        for here, (first, end, part) in zip(own, _parts(bounds)):
+            term[part] = np.searchsorted(self.terms, here)[term[part]]
+            toxic = np.repeat(labels[full[first:end]] == 1, size[first:end])
+            a += np.bincount(term[part][toxic], minlength=len(self.terms))
+            b += np.bincount(term[part][~toxic], minlength=len(self.terms))
         # numbered by frequency, so that what most entries look up lies close together
+        frequent = np.argsort(-(a + b), kind="stable")
         self.number = np.empty(len(self.terms), np.int32)
-        self.number[np.argsort(-np.bincount(term, minlength=len(self.terms)), kind="stable")] = np.arange(len(self.terms))
-        row, term = np.repeat(np.arange(n, dtype=np.int32), size[full]), self.number[term]
-        by_term = np.lexsort((term, row))
-        row, term, count = row[by_term], term[by_term], count[by_term]
-        del by_term
-        toxic = labels[full][row] == 1
-        a, b = (np.bincount(term[on], minlength=len(self.terms)) for on in (toxic, ~toxic))
+        self.number[frequent] = np.arange(len(self.terms))
+        a, b = a[frequent], b[frequent]
+        for first, end, part in _parts(bounds):
+            here = self.number[term[part]]
+            by_term = np.lexsort((here, np.repeat(np.arange(end - first), size[first:end])))
+            term[part], count[part] = here[by_term], count[part][by_term]
         marked = int((labels[full] == 1).sum())
         self.idf = (np.log((1 + n) / (1 + a + b)) + 1) * (1 + np.sqrt(likelihood_ratio(a, b, marked, n - marked)))
-        order, self.starts = self._order(row, term, self._weights(row, term, count, n), a + b, n)
-        self.docs, self.labels, size = docs[full][order], labels[full][order], size[full][order]
-        begin = np.searchsorted(row, np.arange(n + 1))
-        take = _ranges(begin[:-1][order], size)
-        self.term = term[take]
-        self.count = count[take].astype(np.min_scalar_type(int(count.max()) if n else 0))
-        self.bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        order, self.starts = self._order(term, count, bounds, a + b)
+        self.docs, self.labels = docs[full][order], labels[full][order]
+        self.bounds = np.concatenate([[0], np.cumsum(size[order])]).astype(np.int64)
+        self.term, self.count = np.empty_like(term), np.empty_like(count)
+        for first, end, part in _parts(self.bounds):
+            take = _ranges(bounds[order[first:end]], size[order[first:end]])
+            self.term[part], self.count[part] = term[take], count[take]
         self.fold = np.argsort(np.argsort(self.docs, kind="stable")) % FOLDS
-        del row, term, count, take, toxic  # the driver is small
+        del term, count
         self._unfolded = False
         self.knots = calibration(np.empty(0), self.labels)
         if calibrate:
@@ -175,17 +243,20 @@ class Index:
         weight = (1 + np.log(count, dtype=np.float64)) * self.idf[term]
         return weight / np.sqrt(np.bincount(row, weight * weight, n))[row]
 
-    def _order(self, row, term, weight, found, n: int) -> tuple[np.ndarray, np.ndarray]:
+    def _order(self, term, count, bounds, found) -> tuple[np.ndarray, np.ndarray]:
         """Examples by cluster and, within, by the nearest of some of them, as far as the most frequent terms
         tell; and where each cluster starts, with the end."""
+        n = len(bounds) - 1
         if not n:
             return np.arange(0), np.zeros(1, np.int64)
         frequent = np.argsort(-found, kind="stable")[:PIVOT_TERMS]
         place = np.full(len(found), -1, np.int32)
         place[frequent] = np.arange(len(frequent))
         dense = np.zeros((n, len(frequent)), np.float32)
-        on = place[term] >= 0
-        dense[row[on], place[term[on]]] = weight[on]
+        for first, end, part in _parts(bounds):
+            row, column = np.repeat(np.arange(end - first), np.diff(bounds[first : end + 1])), place[term[part]]
+            weight, on = self._weights(row, term[part], count[part], end - first), column >= 0
+            dense[first + row[on], column[on]] = weight[on]
         dense /= np.maximum(np.sqrt((dense * dense).sum(axis=1, keepdims=True)), 1e-9)
         like = dense @ dense[np.linspace(0, n - 1, min(PIVOTS, n)).astype(int)].T
         centres = dense[:1]  # each further one is an example far from those before
@@ -230,30 +301,35 @@ class Index:
         a, b = self.bounds[i], self.bounds[i + 1]
         return self.term[a:b], self.weight[a:b]
 
-    def numbers(self, some: list[str]) -> np.ndarray:
+    def numbers(self, some: pa.LargeStringArray) -> np.ndarray:
         """A row for each word: the numbers of its three terms, -1 for those that no example has."""
         if not len(self.terms):
             return np.full((len(some), 3), -1)
-        terms = _Places()  # words share their beginnings
-        places = np.fromiter((terms[term] for word in some for term in terms_of_word(word)), np.int64, 3 * len(some))
-        wanted = np.fromiter(map(hashed, terms), np.uint64, len(terms))
+        size, mark, no_term = pc.utf8_length(some), pa.scalar("*", some.type), pa.scalar(NO_TERM, some.type)
+        short = (  # as `terms_of_word` has them
+            pc.if_else(
+                pc.greater(size, n), pc.binary_join_element_wise(pc.utf8_slice_codeunits(some, 0, n), mark, no_term), no_term
+            )
+            for n in (4, 5)
+        )
+        terms = pa.concat_arrays([some, *short]).dictionary_encode()  # words share their beginnings
+        wanted = np.fromiter(map(hashed, terms.dictionary.to_numpy(False)), np.uint64, len(terms.dictionary))
         at = np.minimum(np.searchsorted(self.terms, wanted), len(self.terms) - 1)
-        return np.where(self.terms[at] == wanted, self.number[at], -1)[places].reshape(-1, 3)
-
-    def vector(self, numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-        """(term numbers, weights) of unit length from rows of `numbers` and counts of their words; None
-        without any known term."""
-        known = numbers >= 0
-        if not known.any():
-            return None
-        ids, place = np.unique(numbers[known], return_inverse=True)
-        count = np.bincount(place, np.broadcast_to(counts[:, None], numbers.shape)[known])
-        weights = (1 + np.log(count)) * self.idf[ids]
-        return ids, weights / np.sqrt((weights * weights).sum())
+        return np.where(self.terms[at] == wanted, self.number[at], -1)[terms.indices.to_numpy()].reshape(3, -1).T
+
+    def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """(term numbers, weights) of unit length of each text; None without any known term."""
+        some, text, word, count = words_of_all(texts)
+        number = self.numbers(some)[word]
+        known, many = number >= 0, max(1, len(self.terms))
+        pair, place = np.unique((text[:, None] * many + number)[known], return_inverse=True)
+        text, ids = np.divmod(pair, many)
+        weights = (1 + np.log(np.bincount(place, np.broadcast_to(count[:, None], known.shape)[known]))) * self.idf[ids]
+        cuts = pairwise(np.searchsorted(text, np.arange(len(texts) + 1)).tolist())
+        return [(ids[a:b], weights[a:b] / np.sqrt((weights[a:b] ** 2).sum())) if a < b else None for a, b in cuts]
 
     def vector_of(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        found = words(text)
-        return self.vector(self.numbers(list(found)), np.array(list(found.values()), np.float64))
+        return self.vectors([text])[0]
 
     def nearest(self, vector, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
         """Positions and similarities of the k nearest examples with similarity above 0, and how many
@@ -437,8 +513,7 @@ def learn(
     rows = space.put("examples", examples).distinct().toArrow()
     return Index(
         rows["doc_id"].to_numpy(), rows["label"].to_numpy(),
-        [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["hashes"]],
-        [np.frombuffer(x.as_buffer(), np.int32) for x in rows["counts"]], neighbours, calibrate=False,
+        _unpacked(rows["hashes"], np.uint64), _unpacked(rows["counts"], np.int32), neighbours, calibrate=False,
     )
 
 
@@ -462,12 +537,17 @@ def _calibrated(spark: SparkSession, index: Index, shared) -> tuple[np.ndarray,
     return calibration(votes, index.labels)
 
 
-class _Places(dict):
-    """Words by the order in which they were first asked for."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = place = len(self)
-        return place
+def _some(texts: list[str]):
+    """The texts in lists of at most `LETTERS_AT_ONCE` letters, or of one text."""
+    part, size = [], 0
+    for text in texts:
+        if part and size + len(text) > LETTERS_AT_ONCE:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part
 
 
 def _scorer(index, knots):
@@ -477,19 +557,8 @@ def _scorer(index, knots):
     def run(batches):
         model: Index = index.value
         model.knots = knots
-        known, table = _Places(), np.empty((0, 3), np.int64)
         for batch in batches:
-            if len(known) > KEPT_WORDS:
-                known, table = _Places(), table[:0]
-            texts = []
-            for text in batch.column(1):
-                found = words(text.as_py())
-                places = np.fromiter(map(known.__getitem__, found), np.int64, len(found))
-                texts.append((places, np.fromiter(found.values(), np.float64, len(found))))
-            new = list(itertools.islice(known, len(table), None))
-            table = np.concatenate([table, model.numbers(new)])
-            vectors = [model.vector(table[places], counts) for places, counts in texts]
-            found = model.all_scores(vectors)
+            found = [x for part in _some(batch.column(1).to_pylist()) for x in model.all_scores(model.vectors(part))]
             scores = [value for value, _ in found]
             evidence = [[{"doc_id": d, "label": y, "similarity": s} for d, y, s in near] for _, near in found]
             yield pa.RecordBatch.from_arrays(

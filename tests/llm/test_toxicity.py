@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from patronlake.llm import toxicity as X
 
@@ -77,6 +79,78 @@ def test_words_common_in_one_language_alone_are_columns_and_many_texts_together_
         assert opened <= 800 and model.size[vector[0]].sum() < 100  # sparse postings
 
 
+ODD = "ab cdeé\u00dfI\u0130\u03a3\u03c3\u03c2\n\t_1\u00b2\u00bd\u0301\u4e2d\U0001f600\U00010400\0'\u2019\u2167\u0966"
+
+
+def test_binary_columns_are_read_in_place():
+    rows = [np.arange(n, dtype=np.int32) for n in (3, 0, 5, 1)]
+    column = pa.array([r.tobytes() for r in rows], pa.binary())
+    empty = pa.array([], pa.binary())
+    for chunks in ([column], [column.slice(1, 2), empty, column.slice(3), column.slice(1, 1)], [empty], []):
+        found = X._unpacked(pa.chunked_array(chunks, pa.binary()), np.int32)
+        assert [r.tobytes() for r in found] == [x for c in chunks for x in c.to_pylist()]
+
+
+def test_words_of_many_texts_are_those_of_each():
+    draw = random.Random(8)
+    texts = ["", "\n", "abc", "\u00c9_\u00e9", "\u0391\u03a3 \u0391\u03a3", *("".join(draw.choices(ODD, k=draw.randint(0, 50))) for _ in range(1500))]
+    for some in (texts, texts[:1], texts[:2], texts[2:3], texts[-1:]):
+        words, *found = X.words_of_all(some)
+        words, seen = words.to_pylist(), [{} for _ in some]
+        for text, word, count in zip(*(x.tolist() for x in found)):
+            seen[text][words[word]] = count
+        assert seen == [dict(X.words(text)) for text in some] and len(set(words)) == len(words)
+    assert sum(X._some(texts), []) == texts
+
+
+def test_texts_are_cut_and_looked_up_without_python_for_each_word(monkeypatch):
+    """Each different term is hashed once, and vectors are those of plain counts of terms."""
+    draw = random.Random(7)
+    names = ["".join(draw.choices("abcdeé中𐐨", k=draw.randint(1, 8))) for _ in range(300)]
+    texts = [" ".join(draw.choices(names, k=draw.randint(0, 40))) for _ in range(200)]
+    found = [X.term_counts(t) for t in texts[:100]]
+    model = X.Index(
+        range(100), [i % 2 for i in range(100)], [np.array([X.hashed(t) for t in r], np.uint64) for r in found],
+        [np.array(list(r.values()), np.int32) for r in found],
+    )
+    number = dict(zip(model.terms.tolist(), model.number.tolist()))
+    expected = []
+    for text in texts:
+        own = {number[X.hashed(t)]: 1 + math.log(n) for t, n in X.term_counts(text).items() if X.hashed(t) in number}
+        own = {i: w * model.idf[i] for i, w in sorted(own.items())}
+        expected.append((list(own), np.array(list(own.values())) / math.sqrt(sum(w * w for w in own.values()) or 1)))
+    different, calls, plain = {t for text in texts for t in X.term_counts(text)}, [], X.hashed
+    monkeypatch.setattr(X, "hashed", lambda term: calls.append(term) or plain(term))
+    monkeypatch.setattr(X, "terms_of_word", None)
+    for vector, (ids, weights) in zip(model.vectors(texts), expected, strict=True):
+        assert (vector is None) == (not ids)
+        assert vector is None or (vector[0].tolist() == ids and np.allclose(vector[1], weights, rtol=1e-12))
+    assert sorted(x for x in calls if x) == sorted(different)
+
+
+def test_the_index_is_built_a_few_examples_at_a_time():
+    """The same index however many are unpacked together, in less memory than all entries as 64-bit numbers take thrice."""
+    tables = []
+    for n in (1, 7, 10_000):
+        X.BUILT_AT_ONCE = n
+        try:
+            tables.append({name: value for name, value in index(6).__getstate__().items()})
+        finally:
+            X.BUILT_AT_ONCE = 500
+    for other in tables[1:]:
+        for name, value in tables[0].items():
+            assert np.array_equal(np.asarray(value), np.asarray(other[name])), name
+    draw = np.random.default_rng(1)
+    hashes = [draw.integers(0, 50_000, 400).astype(np.uint64) for _ in range(4000)]
+    hashes = [np.unique(h) for h in hashes]
+    counts = [np.ones(len(h), np.int32) for h in hashes]
+    tracemalloc.start()
+    X.Index(range(4000), [i % 2 for i in range(4000)], hashes, counts, calibrate=False)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 3 * 8 * sum(map(len, hashes))
+
+
 def test_whole_query_against_plain_python(spark, table):
     """TF-IDF, neighbours, similarities: from the rows on, with repeated rows, copies, ties and a long text."""
     draw = random.Random(6)

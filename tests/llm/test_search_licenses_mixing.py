@@ -35,6 +35,73 @@ def test_topk_with_ties_repeats_nulls_and_odd_vectors(table):
     assert exact_topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def every_topk(rows, k):
+    """Of all rows, each a query: the nearest 64-bit score, its own row left out, ties to smaller ids, then NULL ids."""
+    most = (1 << 63) - 1
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    out = []
+    for a, (q, x) in enumerate(whole):
+        scored = sorted(
+            (-max(-most, min(most, sum(s * t for s, t in zip(x, y)))), i is None, i or 0) for b, (i, y) in enumerate(whole) if a != b
+        )[:k]
+        out += [(q, r, None if none else i, -s) for r, (s, none, i) in enumerate(scored, 1)]
+    return sorted(map(str, out))
+
+
+def test_topk_sends_no_copies_of_the_queries_through_the_driver(spark, table):
+    draw = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in np.round(draw.normal(size=64), 3)]) for i in range(400)]
+    df = table(rows, "vec_id long, embedding array<double>")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1m")  # 25 copies of 400 queries were joined by broadcast: 5 MB
+    try:
+        found = exact_topk.top_k(df, F.lit(True), 3, candidates_per_block=16).collect()
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert sorted(str(tuple(r)) for r in found) == every_topk(rows, 3)
+
+
+def test_topk_in_many_groups_columns_and_rounds(table):
+    draw = np.random.default_rng(3)
+
+    def vector(i):
+        if i % 4 == 0:  # few of many components
+            v = np.zeros(300)
+            v[draw.integers(0, 300, 3)] = draw.integers(1, 4, 3)
+        else:
+            v = draw.integers(-3, 4, 5 + i % 3) * (10.0 ** (i % 11) if i % 7 == 0 else 1.0)
+        return [float(x) for x in v]
+
+    rows = [(i // 2 if i % 9 else None, vector(i)) for i in range(200)]
+    rows += [(None, [1.0, 2.0])] * 12 + [(7, [1.0, 2.0])] * 12 + [(3, [])]
+    df = table(rows, "vec_id long, embedding array<double>")
+    expected = every_topk(rows, 4)
+    for per_group, block in ((9, 16), (50, 40), (1000, 8192)):  # the first in rounds of four groups
+        found = exact_topk.top_k(df, F.lit(True), 4, candidates_per_block=block, queries_per_group=per_group).collect()
+        assert sorted(str(tuple(r)) for r in found) == expected
+
+
+def test_topk_scores_by_product_and_by_postings():
+    draw = np.random.default_rng(4)
+
+    def row(matrix):
+        n, width = matrix.shape
+        numbers = np.arange(n).tobytes()
+        return {"n": n, "width": width, "kind": str(matrix.dtype), "ids": numbers, "row_numbers": numbers, "weights": matrix.tobytes()}
+
+    few = (draw.integers(1, 99, (640, 3000)) * (draw.random((640, 3000)) < 0.002)).astype(np.int16)
+    many = draw.integers(-99, 99, (640, 3000)).astype(np.int16)
+    for matrix, sparse in ((few, True), (many, False)):
+        block = exact_topk.Block(row(matrix), slice(0, 600))
+        assert block.sparse_for(few[:2]) == sparse and not block.sparse_for(many[:2])
+        exact = matrix.astype(int)[:16] @ matrix[:600].astype(int).T
+        assert (block.scattered(matrix[:16], True) == exact).all()
+        assert (block.scattered(matrix[:16], False) == exact).all()
+        assert (block.product(matrix[:16], np.float64) == exact).all()
+    # a block has no more weights than BLOCK_CELLS, however long a vector among short ones is
+    assert exact_topk._cuts([2, 2, 2, 2, 2], 2) == [0, 2, 4]
+    assert exact_topk._cuts([2, exact_topk.BLOCK_CELLS, 2, 2], 100) == [0, 1, 2]
+
+
 def accepts(template, text):
     words = licenses.words_of(text)
     return licenses.Automaton(template).longest(words, 0) == len(words)

@@ -40,7 +40,7 @@ QUERIES_PER_BLOCK = 1024
 BLOCK_CELLS = 1 << 20  # weights of a block, unless one vector has more
 GROUP_CELLS = 1 << 23  # weights of the queries that a task holds
 COLUMN_CELLS = 1 << 26  # weights of the candidates that a task streams through
-GROUPS_AT_ONCE = 4
+GROUPS_AT_ONCE = 2  # the shuffle of a round may still be there while the next one is written
 UNITS_PER_CORE = 3
 TILE_QUERIES, TILE_ROWS = 256, 1024
 RESULT_QUERIES = 8192  # to a batch of results

@@ -75,7 +75,7 @@ def test_topk_in_many_groups_columns_and_rounds(table):
     rows += [(None, [1.0, 2.0])] * 12 + [(7, [1.0, 2.0])] * 12 + [(3, [])]
     df = table(rows, "vec_id long, embedding array<double>")
     expected = every_topk(rows, 4)
-    for per_group, block in ((9, 16), (50, 40), (1000, 8192)):  # the first in rounds of four groups
+    for per_group, block in ((9, 16), (50, 40), (1000, 8192)):  # the first in rounds of groups
         found = exact_topk.top_k(df, F.lit(True), 4, candidates_per_block=block, queries_per_group=per_group).collect()
         assert sorted(str(tuple(r)) for r in found) == expected
 
